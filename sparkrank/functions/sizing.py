@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 128 * 1024 * 1024
+SALTS = 32
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -33,3 +34,20 @@ def broadcast_if_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFram
     Beyond it no hint is given and the join that uses ``df`` shuffles both sides.
     """
     return F.broadcast(df) if measured_bytes(df) <= limit else df
+
+
+def join_small(
+    rows: DataFrame, small: DataFrame, on: list[str], spread_by: str, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Inner join of a large table with a side that is mostly small.
+
+    Within ``limit`` the small side is broadcast and ``rows`` stay where they
+    are. Beyond it both sides are shuffled by ``on`` and a salt made of
+    ``spread_by``, so that a value held by most of ``rows`` is split over
+    ``SALTS`` tasks; the other side is repeated once per salt.
+    """
+    if measured_bytes(small) <= limit:
+        return rows.join(F.broadcast(small), on)
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*on, "_salt"]).drop("_salt")

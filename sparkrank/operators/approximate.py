@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparkrank.functions.ranking import rank_hits, top_k as cut
-from sparkrank.functions.sizing import broadcast_if_within
+from sparkrank.functions.sizing import broadcast_if_within, join_small
 from sparkrank.functions.vectors import norm, unit_score
 from sparkrank.operators.nearest import assert_dimension, search_vector
 
@@ -77,7 +77,7 @@ def shared_bands(bands: DataFrame, query_bands: DataFrame) -> DataFrame:
     by id the count is local as well.
     """
     return (
-        bands.join(broadcast_if_within(query_bands), ["band", "code"])
+        join_small(bands, query_bands, ["band", "code"], "id")
         .groupBy("query_id", "id")
         .agg(F.count(F.lit(1)).alias("shared"))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrank.functions.ranking import rank_hits
-from sparkrank.functions.sizing import broadcast_if_within
+from sparkrank.functions.sizing import BROADCAST_BYTES, broadcast_if_within, join_small
 from sparkrank.functions.text import analyze
 from sparkrank.operators.index import Index, idf
 
@@ -57,15 +57,16 @@ def keyword_scores(
     tie_breaker: float = TIE_BREAKER,
     k1: float = K1,
     b: float = B,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(query_id, id, score) of every document that shares a term with the query.
 
-    The query side is broadcast when its measured size allows, so the postings
-    are scanned in place; they are bucketed by id, so the sums per
+    The query side is broadcast while it is within ``broadcast_bytes``, so the
+    postings are scanned in place; they are bucketed by id, so the sums per
     (query_id, id) need no shuffle either.
     """
     weights = dict(fields or index.weights)
-    terms = broadcast_if_within(term_weights(index, queries, weights))
+    terms = term_weights(index, queries, weights)
     saturation = F.col("tf") * (k1 + 1) / (
         F.col("tf") + k1 * ((1 - b) + b * F.col("dl") / F.col("avgdl"))
     )
@@ -74,14 +75,12 @@ def keyword_scores(
         F.sum(F.when(F.col("field") == f, part).otherwise(0.0)).alias(f"_s{i}")
         for i, f in enumerate(weights)
     ]
+    score = best_fields([F.col(f"_s{i}") for i in range(len(weights))], tie_breaker)
     return (
-        index.postings.join(terms, ["field", "tok"])
+        join_small(index.postings, terms, ["field", "tok"], "id", broadcast_bytes)
         .groupBy("query_id", "id")
         .agg(*per_field)
-        .select(
-            "query_id", "id",
-            best_fields([F.col(f"_s{i}") for i in range(len(weights))], tie_breaker).alias("score"),
-        )
+        .select("query_id", "id", score.alias("score"))
     )
 
 

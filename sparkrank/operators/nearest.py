@@ -6,7 +6,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,10 +63,18 @@ class _TopK:
         keep = order[place < self.k]
         self.query, self.score, self.ids = self.query[keep], self.score[keep], self.ids[keep]
 
+    def columns(self, names: np.ndarray, id_types: list[pa.DataType]) -> dict[str, pa.Array]:
+        """The kept hits; ``names`` are the query ids in row order of the matrix."""
+        ids = [] if self.ids is None else self.ids.tolist()
+        return {
+            "query_id": pa.array(names[self.query].tolist() if ids else [], id_types[0]),
+            "id": pa.array(ids, id_types[1]),
+            "score": pa.array(self.score, pa.float64()),
+        }
 
-def _ids(column) -> np.ndarray:
-    values = column.to_pylist() if isinstance(column, (pa.Array, pa.ChunkedArray)) else list(column)
-    return np.asarray(values)
+
+def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.asarray(column.to_pylist())
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -100,15 +107,7 @@ def _scan(vectors: DataFrame, query_rows: list, schema: T.StructType, k: int, di
                 continue
             keep, unit_rows = _unit_rows(_matrix(batch.column("embedding")))
             top.add(_ids(batch.column("id"))[keep], unit_rows)
-        if top.ids is not None and len(top.ids):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names[top.query].tolist(), id_types[0]),
-                    pa.array(top.ids.tolist(), id_types[1]),
-                    pa.array(top.score, pa.float64()),
-                ],
-                names=["query_id", "id", "score"],
-            )
+        yield pa.RecordBatch.from_pydict(top.columns(names, id_types))
 
     return vectors.select("id", "embedding").mapInArrow(best, schema)
 
@@ -117,34 +116,39 @@ def _grid(
     vectors: DataFrame, queries: DataFrame, schema: T.StructType, k: int, digits: int,
     vector_cells: int, query_cells: int,
 ) -> DataFrame:
-    """Both sides cut by hash into cells of bounded size; each pair of cells is one group."""
+    """Both sides cut by hash of their id into cells of bounded size; a pair of cells is one group.
+
+    Nothing passes through the driver. The vectors are repeated once per query cell.
+    """
+
     def cell(col: str, n: int):
         return F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
 
     def all_cells(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = vectors.select("id", "embedding", cell("id", vector_cells).alias("vc")).withColumn(
-        "qc", all_cells(query_cells)
+    left = vectors.select(
+        "id", "embedding", cell("id", vector_cells).alias("vc"), all_cells(query_cells).alias("qc")
     )
     right = queries.select(
-        "query_id", F.col("embedding").alias("qv"), cell("query_id", query_cells).alias("qc")
-    ).withColumn("vc", all_cells(vector_cells))
+        "query_id", "embedding", cell("query_id", query_cells).alias("qc"),
+        all_cells(vector_cells).alias("vc"),
+    )
+    id_types = [to_arrow_type(f.dataType) for f in schema.fields[:2]]
 
-    def best(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": [], "id": [], "score": []})
-        if v.empty or q.empty:
-            return empty
-        kept_q, unit_q = _unit_rows(q["qv"].tolist())
-        kept_v, unit_v = _unit_rows(v["embedding"].tolist())
-        if not len(kept_q) or not len(kept_v):
-            return empty
-        top = _TopK(unit_q, k, digits)
-        top.add(_ids(v["id"])[kept_v], unit_v)
-        names = _ids(q["query_id"])[kept_q]
-        return pd.DataFrame({"query_id": names[top.query], "id": top.ids, "score": top.score})
+    def best(v: pa.Table, q: pa.Table) -> pa.Table:
+        hits = _TopK(np.empty((0, 0)), k, digits)
+        names = np.empty(0)
+        if v.num_rows and q.num_rows:
+            kept_q, unit_q = _unit_rows(q.column("embedding").to_pylist())
+            kept_v, unit_v = _unit_rows(v.column("embedding").to_pylist())
+            if len(kept_q) and len(kept_v):
+                names = _ids(q.column("query_id"))[kept_q]
+                hits = _TopK(unit_q, k, digits)
+                hits.add(_ids(v.column("id"))[kept_v], unit_v)
+        return pa.table(hits.columns(names, id_types))
 
-    return left.groupBy("qc", "vc").cogroup(right.groupBy("qc", "vc")).applyInPandas(best, schema)
+    return left.groupBy("qc", "vc").cogroup(right.groupBy("qc", "vc")).applyInArrow(best, schema)
 
 
 def assert_dimension(vectors: DataFrame, dim: int) -> DataFrame:
@@ -175,13 +179,14 @@ def search_vector(
     schema = _hit_schema(query_vectors, vectors)
     checked = assert_dimension(vectors, size["dim"])
     need = size["n"] * (size["dim"] * 8 + top_k * 32)
+    rows = query_vectors.select("query_id", "embedding")
     if need <= query_bytes:
-        partial = _scan(checked, query_vectors.select("query_id", "embedding").collect(), schema, top_k, digits)
+        partial = _scan(checked, rows.collect(), schema, top_k, digits)
     else:
-        rows = vectors.count()
+        stored = vectors.count() * size["dim"] * 8
         partial = _grid(
-            checked, query_vectors, schema, top_k, digits,
-            vector_cells=math.ceil(rows * size["dim"] * 8 / query_bytes),
+            checked, rows, schema, top_k, digits,
+            vector_cells=math.ceil(stored / query_bytes) or 1,
             query_cells=math.ceil(need / query_bytes),
         )
     return rank_hits(partial, top_k)
