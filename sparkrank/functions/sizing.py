@@ -37,16 +37,22 @@ def broadcast_if_within(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFram
 
 
 def join_small(
-    rows: DataFrame, small: DataFrame, on: list[str], spread_by: str, limit: int = BROADCAST_BYTES
+    rows: DataFrame,
+    small: DataFrame,
+    on: list[str],
+    spread_by: str,
+    limit: int = BROADCAST_BYTES,
+    bound: int | None = None,
 ) -> DataFrame:
     """Inner join of a large table with a side that is mostly small.
 
     Within ``limit`` the small side is broadcast and ``rows`` stay where they
     are. Beyond it both sides are shuffled by ``on`` and a salt made of
     ``spread_by``, so that a value held by most of ``rows`` is split over
-    ``SALTS`` tasks; the other side is repeated once per salt.
+    ``SALTS`` tasks; the other side is repeated once per salt. ``bound`` is an
+    upper bound of the size of ``small`` that the caller has measured.
     """
-    if measured_bytes(small) <= limit:
+    if (measured_bytes(small) if bound is None else bound) <= limit:
         return rows.join(F.broadcast(small), on)
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
     repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from sparkrank.functions.ranking import rank_hits, top_k as cut
 from sparkrank.functions.sizing import broadcast_if_within, join_small
 from sparkrank.functions.vectors import norm, unit_score
-from sparkrank.operators.nearest import assert_dimension, search_vector
+from sparkrank.operators.nearest import (
+    QUERY_BYTES, assert_dimension, query_matrix_bytes, score_pairs, search_vector,
+)
 
 BITS = 6
 BANDS = 32
@@ -91,6 +93,7 @@ def search_vector_approx(
     top_k: int = 10,
     num_candidates: int | None = None,
     digits: int = 6,
+    query_bytes: int = QUERY_BYTES,
 ) -> DataFrame:
     """(query_id, id, score, rank): exact scores over the rows that share a band with the query.
 
@@ -107,17 +110,24 @@ def search_vector_approx(
         candidates = cut(
             candidates, num_candidates, ["query_id"], [F.col("shared").desc(), F.col("id").asc()]
         )
-    unit = F.transform("embedding", lambda x: x.cast("double") / norm(F.col("embedding")))
-    queries = query_vectors.where(norm(F.col("embedding")) > 0).select("query_id", unit.alias("qv"))
-    scored = (
-        candidates.select("query_id", "id")
-        .join(vectors.select("id", "embedding"), "id")
-        .join(broadcast_if_within(queries), "query_id")
-        .select("query_id", "id", unit_score(F.col("embedding"), F.col("qv"), digits).alias("score"))
-        .where(F.col("score").isNotNull())
-    )
-    hits = rank_hits(scored, top_k)
-    hits = hits.persist()
+    need, _ = query_matrix_bytes(query_vectors, top_k)
+    if need <= query_bytes:
+        rows = query_vectors.select("query_id", "embedding").collect()
+        scored = score_pairs(candidates, vectors, rows, top_k, digits)
+    else:
+        unit = F.transform("embedding", lambda x: x.cast("double") / norm(F.col("embedding")))
+        queries = query_vectors.where(norm(F.col("embedding")) > 0).select(
+            "query_id", unit.alias("qv")
+        )
+        score = unit_score(F.col("embedding"), F.col("qv"), digits)
+        scored = (
+            candidates.select("query_id", "id")
+            .join(vectors.select("id", "embedding"), "id")
+            .join(queries, "query_id")
+            .select("query_id", "id", score.alias("score"))
+            .where(F.col("score").isNotNull())
+        )
+    hits = rank_hits(scored, top_k).persist()
     found = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
     short = query_vectors.join(found, "query_id", "left").where(
         F.coalesce("n", F.lit(0)) < top_k

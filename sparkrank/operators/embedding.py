@@ -58,16 +58,13 @@ def hashed_embedding(df: DataFrame, id_col: str, text_col: str, dim: int = HASH_
     meaning. Grouping by (id), after one shuffle by id.
     """
     rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id")
-    counts = (
-        rows.select("id", F.explode_outer(tokens(F.col("text"))).alias("tok"))
-        .groupBy("id", "tok")
-        .agg(F.count("tok").alias("tf"))
+    digests = rows.select("id", F.explode_outer(tokens(F.col("text"))).alias("tok")).select(
+        "id", F.md5("tok").alias("digest")
     )
-    digest = F.md5("tok")
-    slot = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint"), F.lit(dim))
-    sign = F.when(F.substring(digest, 9, 1) < "8", 1).otherwise(-1)
+    slot = F.pmod(F.conv(F.substring("digest", 1, 8), 16, 10).cast("bigint"), F.lit(dim))
+    sign = F.when(F.substring("digest", 9, 1) < "8", 1).when(F.col("digest").isNotNull(), -1)
     slots = (
-        counts.select("id", slot.alias("slot"), (sign * F.col("tf")).alias("part"))
+        digests.select("id", slot.alias("slot"), sign.alias("part"))
         .groupBy("id", "slot")
         .agg(F.sum("part").alias("value"))
     )

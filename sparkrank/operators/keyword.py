@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrank.functions.ranking import rank_hits
-from sparkrank.functions.sizing import BROADCAST_BYTES, broadcast_if_within, join_small
+from sparkrank.functions.sizing import BROADCAST_BYTES, join_small, measured_bytes
 from sparkrank.functions.text import analyze
 from sparkrank.operators.index import Index, idf
 
@@ -26,10 +26,9 @@ def query_terms(index: Index, queries: DataFrame) -> DataFrame:
     )
 
 
-def term_weights(index: Index, queries: DataFrame, weights: dict[str, float]) -> DataFrame:
+def term_weights(index: Index, terms: DataFrame, weights: dict[str, float]) -> DataFrame:
     """(query_id, field, tok, weight, avgdl): all of the score that no document changes."""
     boost = F.create_map(*[F.lit(x) for pair in weights.items() for x in pair])
-    terms = broadcast_if_within(query_terms(index, queries))
     stats = index.field_stats.where(F.col("field").isin(list(weights)))
     return (
         index.term_stats.join(terms, "tok")
@@ -61,12 +60,14 @@ def keyword_scores(
 ) -> DataFrame:
     """(query_id, id, score) of every document that shares a term with the query.
 
-    The query side is broadcast while it is within ``broadcast_bytes``, so the
+    The query side is measured, and broadcast while it is within ``broadcast_bytes``, so the
     postings are scanned in place; they are bucketed by id, so the sums per
     (query_id, id) need no shuffle either.
     """
     weights = dict(fields or index.weights)
-    terms = term_weights(index, queries, weights)
+    asked = query_terms(index, queries).persist()
+    size = measured_bytes(asked)
+    terms = term_weights(index, F.broadcast(asked) if size <= broadcast_bytes else asked, weights)
     saturation = F.col("tf") * (k1 + 1) / (
         F.col("tf") + k1 * ((1 - b) + b * F.col("dl") / F.col("avgdl"))
     )
@@ -77,7 +78,9 @@ def keyword_scores(
     ]
     score = best_fields([F.col(f"_s{i}") for i in range(len(weights))], tie_breaker)
     return (
-        join_small(index.postings, terms, ["field", "tok"], "id", broadcast_bytes)
+        join_small(
+            index.postings, terms, ["field", "tok"], "id", broadcast_bytes, size * 2 * len(weights)
+        )
         .groupBy("query_id", "id")
         .agg(*per_field)
         .select("query_id", "id", score.alias("score"))

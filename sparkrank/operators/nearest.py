@@ -47,11 +47,23 @@ class _TopK:
                 kth = np.partition(score, score.shape[1] - self.k, axis=1)[:, score.shape[1] - self.k]
                 bound = np.maximum(bound, kth)
             qi, vi = np.nonzero(score >= bound[:, None])
-            block = ids[at : at + rows][vi]
-            self.query = np.concatenate([self.query, qi])
-            self.score = np.concatenate([self.score, score[qi, vi]])
-            self.ids = block if self.ids is None else np.concatenate([self.ids, block])
-            self._prune()
+            self._take(qi, ids[at : at + rows][vi], score[qi, vi])
+
+    def add_pairs(self, ids: np.ndarray, unit: np.ndarray, row: np.ndarray, query: np.ndarray) -> None:
+        """Only the given pairs of a row of ``unit`` and a query."""
+        step = max(1, BLOCK_CELLS // max(1, unit.shape[1]))
+        for at in range(0, len(row), step):
+            r, q = row[at : at + step], query[at : at + step]
+            cos = np.einsum("ij,ij->i", unit[r], self.q[q])
+            score = np.floor((1 + cos) / 2 * self.scale + 0.5) / self.scale
+            good = score >= self.floor[q]
+            self._take(q[good], ids[r[good]], score[good])
+
+    def _take(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
+        self.query = np.concatenate([self.query, query])
+        self.score = np.concatenate([self.score, score])
+        self.ids = ids if self.ids is None else np.concatenate([self.ids, ids])
+        self._prune()
 
     def _prune(self) -> None:
         order = np.lexsort((self.ids, -self.score, self.query))
@@ -112,6 +124,48 @@ def _scan(vectors: DataFrame, query_rows: list, schema: T.StructType, k: int, di
     return vectors.select("id", "embedding").mapInArrow(best, schema)
 
 
+def query_matrix_bytes(query_vectors: DataFrame, top_k: int) -> tuple[int, int]:
+    """(bytes of the queries with their k best, dimension)."""
+    size = query_vectors.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(1)).alias("dim")
+    ).first()
+    return size["n"] * (size["dim"] * 8 + top_k * 32), size["dim"]
+
+
+def score_pairs(
+    pairs: DataFrame, vectors: DataFrame, query_rows: list, k: int, digits: int
+) -> DataFrame:
+    """(query_id, id, score): the k best of the given (query_id, id) pairs per query and task.
+
+    The queries of a document travel as one list, at most as long as
+    ``query_rows``, which is of checked size.
+    """
+    kept, unit = _unit_rows([r["embedding"] for r in query_rows])
+    names = np.asarray([query_rows[i]["query_id"] for i in kept])
+    order = np.argsort(names)
+    shared = vectors.sparkSession.sparkContext.broadcast((names[order], unit[order]))
+    schema = _hit_schema(pairs, vectors)
+    id_types = [to_arrow_type(f.dataType) for f in schema.fields[:2]]
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, matrix = shared.value
+        top = _TopK(matrix, k, digits)
+        for batch in batches:
+            if batch.num_rows == 0 or len(matrix) == 0:
+                continue
+            keep, unit_rows = _unit_rows(_matrix(batch.column("embedding")))
+            asked = batch.column("query_ids").take(pa.array(keep))
+            row = np.repeat(np.arange(len(keep)), asked.value_lengths().to_numpy(zero_copy_only=False))
+            wanted = _ids(asked.flatten())
+            at = np.minimum(np.searchsorted(names, wanted), len(names) - 1)
+            known = names[at] == wanted
+            top.add_pairs(_ids(batch.column("id"))[keep], unit_rows, row[known], at[known])
+        yield pa.RecordBatch.from_pydict(top.columns(names, id_types))
+
+    asked = pairs.groupBy("id").agg(F.collect_list("query_id").alias("query_ids"))
+    return vectors.select("id", "embedding").join(asked, "id").mapInArrow(best, schema)
+
+
 def _grid(
     vectors: DataFrame, queries: DataFrame, schema: T.StructType, k: int, digits: int,
     vector_cells: int, query_cells: int,
@@ -173,20 +227,16 @@ def search_vector(
     best fit ``query_bytes`` they go to every task as one matrix and the vectors
     are scanned in place; a larger query table meets the vectors cell by cell.
     """
-    size = query_vectors.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.max(F.size("embedding")), F.lit(1)).alias("dim")
-    ).first()
+    need, dim = query_matrix_bytes(query_vectors, top_k)
     schema = _hit_schema(query_vectors, vectors)
-    checked = assert_dimension(vectors, size["dim"])
-    need = size["n"] * (size["dim"] * 8 + top_k * 32)
+    checked = assert_dimension(vectors, dim)
     rows = query_vectors.select("query_id", "embedding")
     if need <= query_bytes:
         partial = _scan(checked, rows.collect(), schema, top_k, digits)
     else:
-        stored = vectors.count() * size["dim"] * 8
         partial = _grid(
             checked, rows, schema, top_k, digits,
-            vector_cells=math.ceil(stored / query_bytes) or 1,
+            vector_cells=math.ceil(vectors.count() * dim * 8 / query_bytes) or 1,
             query_cells=math.ceil(need / query_bytes),
         )
     return rank_hits(partial, top_k)

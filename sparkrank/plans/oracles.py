@@ -311,23 +311,37 @@ CTES: dict[str, str] = {
 }
 
 
-def _sql(final: str, n: int | None = None) -> str:
-    """``final`` after the expressions it needs; ``n`` fills in the number of queries."""
+def _sql(final: str, n: int | None = None, other: dict[str, str] | None = None) -> str:
+    """``final`` after the expressions it needs.
+
+    ``n`` fills in the number of queries, ``other`` replaces expressions by name.
+    """
+    bodies = {**CTES, **(other or {})}
     needed: list[str] = []
 
     def visit(text: str) -> None:
-        for name, body in CTES.items():
-            if name not in needed and re.search(rf"\b(from|join|in \(from)\s+{name}\b|,\s*{name}\b(?=\s*(,|where|$))", text):
+        for name, body in bodies.items():
+            used = rf"\b(from|join)\s+{name}\b|,\s*{name}\b(?=\s*(,|where|$))"
+            if name not in needed and re.search(used, text):
                 visit(body)
                 if name not in needed:
                     needed.append(name)
 
     visit(final)
-    ctes = ", ".join(f"{name} as ({CTES[name].strip()})" for name in needed)
+    ctes = ", ".join(f"{name} as ({bodies[name].strip()})" for name in needed)
     statement = f"with {ctes} {final}" if ctes else final
     return statement.replace("{n}", str(n)) if n is not None else statement
 
 
+# The generated catalog in place of the documents; its vectors are stored as FLOAT.
+_GENERATED = {
+    "products": "select *, description as text from made",
+    "asked": "select query_id, query, query_type from all_asked",
+    "qrels": "select query_id, id from made_qrels",
+    "dense": CTES["dense"].replace("0.0e0) as value", "0.0e0)::float::double as value"),
+}
+
+
 def _grid(k: int, width: int, cell: str) -> str:
     columns = ", ".join(
         f"coalesce(max({cell}) filter (method = '{m}'), '-') as {m}" for m in _METHODS[:3]
@@ -500,4 +514,5 @@ ORACLES: dict[str, str] = {
     "chart_data_by_type": _sql("select query_type, " + ", ".join(
         f"coalesce(max(mrr) filter (method = '{m}'), 0) as {m}" for m in _METHODS)
         + " from by_type group by query_type"),
+    "flow_by_type": _sql("select * from by_type", FILLED_QUERIES, _GENERATED),
 }

@@ -13,6 +13,7 @@ from sparkrank.operators import (
     approximate, embedding, fusion, generation, ingest, keyword, metrics, nearest, reports,
 )
 from sparkrank.operators import index as indexing
+from sparkrank.plans.flow import run_flow
 from sparkrank.plans.workspace import workspace
 from sparkrank.sources import catalog, standin
 from sparkrank.sources.scratch import scratch_root, spread
@@ -575,3 +576,14 @@ def chart_data_by_method(spark, sf_dir):
 def chart_data_by_type(spark, sf_dir):
     by_type = metrics.summarize(workspace(spark, sf_dir).metrics, ("query_type", "method"))
     return reports.chart_by_type(by_type, metrics.METHODS)
+
+
+@register
+def flow_by_type(spark, sf_dir):
+    """All stages on the generated catalog: products, queries, vectors, ingest, index, metrics."""
+    ws = workspace(spark, sf_dir)
+    n = standin.table(spark, sf_dir, "part").count()
+    run = run_flow(
+        spark, scratch_root(spark), ws.templates, ws.query_templates, n, FILLED_QUERIES, stem=False
+    )
+    return run["by_type"]
