@@ -198,7 +198,9 @@ def unmatched_targets(templates: DataFrame, index: DataFrame) -> DataFrame:
     """(query, category, product_type) of targets that no product has."""
     return templates.select(
         "query", "category", F.explode("target_products").alias("product_type")
-    ).join(broadcast_if_within(type_sizes(index)), ["category", "product_type"], "left_anti")
+    ).join(broadcast_if_within(type_sizes(index)), ["category", "product_type"], "left_anti").select(
+        "query", "category", "product_type"
+    )
 
 
 def filler_queries(

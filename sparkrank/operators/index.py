@@ -8,13 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrank.functions.text import analyze
-from sparkrank.sources.scratch import (
-    open_bucketed, shuffle_width, spread, write_bucketed, write_table,
-)
+from sparkrank.sources.scratch import open_bucketed, spread, write_bucketed, write_table
 
 FIELD_WEIGHTS = {"title": 2.0, "description": 1.0}
-POSTING_ORDER = ["field", "tok"]
-SETTINGS = "buckets int, stem boolean, stop array<string>, weights map<string,double>"
+SETTINGS = "stem boolean, stop array<string>, weights map<string,double>"
 
 
 @dataclass(frozen=True)
@@ -79,11 +76,10 @@ def build_index(
 ) -> Index:
     """Write the three index tables below ``path``; postings are bucketed by id."""
     weights = dict(weights or FIELD_WEIGHTS)
-    n = buckets or shuffle_width(docs.sparkSession)
     postings = write_bucketed(
-        build_postings(docs, list(weights), stem, stop), f"{path}/postings", POSTING_ORDER, n
+        build_postings(docs, list(weights), stem, stop), f"{path}/postings", ["field", "tok"], buckets
     )
-    settings = docs.sparkSession.createDataFrame([(n, stem, stop, weights)], SETTINGS)
+    settings = docs.sparkSession.createDataFrame([(stem, stop, weights)], SETTINGS)
     settings.coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
     return Index(
         postings,
@@ -99,7 +95,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
     """An index written earlier, also by another session."""
     kept = spark.read.parquet(f"{path}/settings").first()
     return Index(
-        open_bucketed(spark, f"{path}/postings", kept["buckets"], POSTING_ORDER),
+        open_bucketed(spark, f"{path}/postings"),
         spark.read.parquet(f"{path}/term_stats"),
         spark.read.parquet(f"{path}/field_stats"),
         kept["stem"],

@@ -11,14 +11,13 @@ METHODS = ("bm25", "vector", "hybrid", "hybrid_rrf")
 METRICS = ("precision", "recall", "mrr", "ndcg")
 
 
-def graded_dcg(hits: DataFrame, gains: DataFrame, k: int = 10, digits: int = 6) -> DataFrame:
+def graded_dcg(hits: DataFrame, gains: DataFrame, k: int = 10) -> DataFrame:
     """(query_id, method, dcg) with linear gain; an unlisted document gains 0."""
     gain = F.coalesce("gain", F.lit(0.0))
     return (
         hits.join(gains.select("query_id", "id", "gain"), ["query_id", "id"], "left")
         .groupBy("query_id", "method")
         .agg(F.sum(F.when(F.col("rank") <= k, gain / F.log2(F.col("rank") + 1)).otherwise(0.0)).alias("dcg"))
-        .withColumn("dcg", F.round("dcg", digits))
     )
 
 
@@ -37,7 +36,6 @@ def evaluate(
     queries: DataFrame,
     k: int = 10,
     methods: tuple[str, ...] = METHODS,
-    digits: int = 6,
 ) -> DataFrame:
     """(query_id, query_type, method, precision, recall, mrr, ndcg).
 
@@ -78,13 +76,13 @@ def evaluate(
     return (
         base.join(per_query, ["query_id", "method"], "left")
         .join(n_relevant, "query_id", "left")
-        .select("query_id", "query_type", "method", *[F.round(c, digits).alias(n) for n, c in metrics.items()])
+        .select("query_id", "query_type", "method", *[c.alias(n) for n, c in metrics.items()])
     )
 
 
-def summarize(metrics: DataFrame, by: tuple[str, ...] = ("method",), digits: int = 6) -> DataFrame:
+def summarize(metrics: DataFrame, by: tuple[str, ...] = ("method",)) -> DataFrame:
     """Mean of each metric over the queries of a group."""
-    return metrics.groupBy(*by).agg(*[F.round(F.avg(m), digits).alias(m) for m in METRICS])
+    return metrics.groupBy(*by).agg(*[F.avg(m).alias(m) for m in METRICS])
 
 
 def summarize_method(metrics: DataFrame, method: str) -> DataFrame:
@@ -98,7 +96,7 @@ def long_form(summary: DataFrame, keys: tuple[str, ...] = ("method",)) -> DataFr
     return summary.unpivot(list(keys), list(METRICS), "metric", "value")
 
 
-def improvements(summary: DataFrame, baseline: str = "bm25", digits: int = 6) -> DataFrame:
+def improvements(summary: DataFrame, baseline: str = "bm25") -> DataFrame:
     """(method, metric, improvement) in percent; over a zero baseline 0 or +infinity."""
     rows = long_form(summary)
     base = rows.where(F.col("method") == baseline).select("metric", F.col("value").alias("base"))
@@ -108,7 +106,7 @@ def improvements(summary: DataFrame, baseline: str = "bm25", digits: int = 6) ->
         .join(F.broadcast(base), "metric")
         .select(
             "method", "metric",
-            F.when(F.col("base") > 0, F.round(change, digits))
+            F.when(F.col("base") > 0, change)
             .when(F.col("value") == 0, 0.0)
             .otherwise(float("inf"))
             .alias("improvement"),

@@ -67,8 +67,12 @@ def category_hits(hits: DataFrame, docs: DataFrame, rows: int = 5) -> DataFrame:
 
 def metrics_grid(summary: DataFrame, baseline: str = "bm25") -> DataFrame:
     """(metric, method, value to 4 decimals, improvement to 1 decimal, NULL for the baseline)."""
-    values = long_form(summary).select("metric", "method", F.round("value", 4).alias("value"))
-    change = improvements(summary, baseline).select("metric", "method", F.round("improvement", 1).alias("improvement"))
+    def shown(name: str, digits: int) -> Column:
+        # means of tenths lie exactly between two decimals; sums of doubles do not
+        return F.round(F.round(name, 9), digits).alias(name)
+
+    values = long_form(summary).select("metric", "method", shown("value", 4))
+    change = improvements(summary, baseline).select("metric", "method", shown("improvement", 1))
     return values.join(change, ["metric", "method"], "left")
 
 

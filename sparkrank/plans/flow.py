@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparkrank.operators import embedding, fusion, generation, ingest, keyword, metrics, nearest
 from sparkrank.operators.index import build_index, open_index
 from sparkrank.operators.reports import tag
-from sparkrank.sources.scratch import write_table
+from sparkrank.sources.scratch import open_bucketed, write_bucketed, write_table
 
 STAGES = ("generate", "embed", "ingest", "index")
 
@@ -103,11 +103,13 @@ def run_flow(
     docs = spark.read.parquet(f"{root}/docs")
     if "index" not in skip:
         index = build_index(docs, f"{root}/index", stem=stem)
+        vectors = write_bucketed(docs.select("id", "embedding"), f"{root}/vectors", ["id"])
     else:
         index = open_index(spark, f"{root}/index")
+        vectors = open_bucketed(spark, f"{root}/vectors")
     queries = spark.read.parquet(f"{root}/queries")
     qrels = spark.read.parquet(f"{root}/qrels")
-    hits = search_all(index, docs.select("id", "embedding"), queries, query_vectors, root, k)
+    hits = search_all(index, vectors, queries, query_vectors, root, k)
     per_query = write_table(metrics.evaluate(hits, qrels, queries, k), f"{root}/metrics")
     return {
         "docs": docs,

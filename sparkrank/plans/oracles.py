@@ -137,25 +137,25 @@ CTES: dict[str, str] = {
         from hits h left join qrels r using (query_id, id)""",
     "metrics": f"""
         select a.query_id, coalesce(a.query_type, 'unknown') as query_type, m.method,
-               round(count(distinct j.id) filter (rel and rank <= 10) / 10e0, 6) as precision,
-               round(coalesce(count(distinct j.id) filter (rel and rank <= 10) * 1e0 / max(i.n), 0), 6) as recall,
-               round(coalesce(1e0 / min(rank) filter (rel), 0), 6) as mrr,
-               round(coalesce(sum(1 / log2(rank + 1e0)) filter (rel and rank <= 10) / max(i.idcg), 0), 6) as ndcg
+               count(distinct j.id) filter (rel and rank <= 10) / 10e0 as precision,
+               coalesce(count(distinct j.id) filter (rel and rank <= 10) * 1e0 / max(i.n), 0) as recall,
+               coalesce(1e0 / min(rank) filter (rel), 0) as mrr,
+               coalesce(sum(1 / log2(rank + 1e0)) filter (rel and rank <= 10) / max(i.idcg), 0) as ndcg
         from asked a cross join (select unnest({list(_METHODS)}) as method) m
              left join judged j on j.query_id = a.query_id and j.method = m.method
              left join ideal i on i.query_id = a.query_id
         group by all""",
     "by_method": "select method, "
-    + ", ".join(f"round(avg({m}), 6) as {m}" for m in _METRICS)
+    + ", ".join(f"avg({m}) as {m}" for m in _METRICS)
     + " from metrics group by method",
     "by_type": "select query_type, method, "
-    + ", ".join(f"round(avg({m}), 6) as {m}" for m in _METRICS)
+    + ", ".join(f"avg({m}) as {m}" for m in _METRICS)
     + " from metrics group by all",
     "long_method": " union all ".join(
         f"select method, '{m}' as metric, {m} as value from by_method" for m in _METRICS),
     "change": """
         select v.method, v.metric,
-               case when b.value > 0 then round((v.value - b.value) / b.value * 100, 6)
+               case when b.value > 0 then (v.value - b.value) / b.value * 100
                     when v.value = 0 then 0 else 'inf'::double end as improvement
         from long_method v join long_method b using (metric)
         where b.method = 'bm25' and v.method <> 'bm25'""",
@@ -353,6 +353,7 @@ def _grid(k: int, width: int, cell: str) -> str:
     )
 
 
+_ALL_ROUNDED = ", ".join(f"round({m}, 6) as {m}" for m in _METRICS)
 _DOC = "id, title, description, category, price, brand, rating, brand as attr_source"
 _SCORE2 = "round(score, 2)::decimal(18,2)::varchar"
 _SCORE3 = "round(score, 3)::decimal(18,3)::varchar"
@@ -492,27 +493,27 @@ ORACLES: dict[str, str] = {
         "select query_id, method, category, count(*) as n, "
         "count(*) over (partition by query_id, method) as categories "
         "from hits join products using (id) where rank <= 5 group by query_id, method, category"),
-    "precision_at_k": _sql("select query_id, method, precision from metrics"),
-    "recall_at_k": _sql("select query_id, method, recall from metrics"),
-    "reciprocal_rank": _sql("select query_id, method, mrr from metrics"),
-    "ndcg_at_k": _sql("select query_id, method, ndcg from metrics"),
+    "precision_at_k": _sql("select query_id, method, round(precision, 6) as precision from metrics"),
+    "recall_at_k": _sql("select query_id, method, round(recall, 6) as recall from metrics"),
+    "reciprocal_rank": _sql("select query_id, method, round(mrr, 6) as mrr from metrics"),
+    "ndcg_at_k": _sql("select query_id, method, round(ndcg, 6) as ndcg from metrics"),
     "dcg_graded": _sql(
         "select h.query_id, h.method, round(sum(case when r.id is null then 0 "
         "else (1 + coalesce(p.rating, 0)) / log2(h.rank + 1e0) end), 6) as dcg "
         "from hits h left join qrels r using (query_id, id) left join products p using (id) group by all"),
-    "metrics_per_query": _sql("select * from metrics"),
-    "metrics_by_method": _sql("select * from by_method"),
-    "metrics_one_method": _sql("select * from by_method where method = 'hybrid'"),
-    "metrics_by_type": _sql("select * from by_type"),
-    "improvement_over_baseline": _sql("select * from change"),
+    "metrics_per_query": _sql(f"select query_id, query_type, method, {_ALL_ROUNDED} from metrics"),
+    "metrics_by_method": _sql(f"select method, {_ALL_ROUNDED} from by_method"),
+    "metrics_one_method": _sql(f"select method, {_ALL_ROUNDED} from by_method where method = 'hybrid'"),
+    "metrics_by_type": _sql(f"select query_type, method, {_ALL_ROUNDED} from by_type"),
+    "improvement_over_baseline": _sql("select method, metric, round(improvement, 6) as improvement from change"),
     "metrics_grid": _sql(
-        "select metric, method, round(value, 4) as value, round(improvement, 1) as improvement "
+        "select metric, method, round(round(value, 9), 4) as value, round(round(improvement, 9), 1) as improvement "
         "from long_method left join change using (metric, method)"),
     "chart_data_by_method": _sql("select metric, " + ", ".join(
-        f"coalesce(max(value) filter (method = '{m}'), 0) as {m}" for m in _METHODS)
+        f"round(coalesce(max(value) filter (method = '{m}'), 0), 6) as {m}" for m in _METHODS)
         + " from long_method group by metric"),
     "chart_data_by_type": _sql("select query_type, " + ", ".join(
-        f"coalesce(max(mrr) filter (method = '{m}'), 0) as {m}" for m in _METHODS)
+        f"round(coalesce(max(mrr) filter (method = '{m}'), 0), 6) as {m}" for m in _METHODS)
         + " from by_type group by query_type"),
-    "flow_by_type": _sql("select * from by_type", FILLED_QUERIES, _GENERATED),
+    "flow_by_type": _sql(f"select query_type, method, {_ALL_ROUNDED} from by_type", FILLED_QUERIES, _GENERATED),
 }

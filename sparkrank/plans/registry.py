@@ -37,6 +37,14 @@ def _plain(df: DataFrame) -> DataFrame:
     return df
 
 
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to ``digits``: sums differ in the last bits from engine to engine."""
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.DoubleType):
+            df = df.withColumn(f.name, F.round(f.name, digits))
+    return df
+
+
 def register(fn: Query) -> Query:
     REGISTRY[fn.__name__] = lambda spark, sf_dir: _plain(fn(spark, sf_dir))
     return fn
@@ -510,7 +518,7 @@ def _one_metric(name: str) -> Query:
     def run(spark, sf_dir):
         ws = workspace(spark, sf_dir)
         evaluated = metrics.evaluate(ws.hits, ws.qrels, ws.queries)
-        return evaluated.select("query_id", "method", name)
+        return _rounded(evaluated.select("query_id", "method", name))
 
     return run
 
@@ -531,33 +539,33 @@ def dcg_graded(spark, sf_dir):
     gains = ws.qrels.join(ws.docs.select("id", "rating"), "id").select(
         "query_id", "id", (1 + F.coalesce("rating", F.lit(0.0))).alias("gain")
     )
-    return metrics.graded_dcg(ws.hits, gains)
+    return _rounded(metrics.graded_dcg(ws.hits, gains))
 
 
 @register
 def metrics_per_query(spark, sf_dir):
     ws = workspace(spark, sf_dir)
-    return metrics.evaluate(ws.hits, ws.qrels, ws.queries)
+    return _rounded(metrics.evaluate(ws.hits, ws.qrels, ws.queries))
 
 
 @register
 def metrics_by_method(spark, sf_dir):
-    return metrics.summarize(workspace(spark, sf_dir).metrics)
+    return _rounded(metrics.summarize(workspace(spark, sf_dir).metrics))
 
 
 @register
 def metrics_one_method(spark, sf_dir):
-    return metrics.summarize_method(workspace(spark, sf_dir).metrics, "hybrid")
+    return _rounded(metrics.summarize_method(workspace(spark, sf_dir).metrics, "hybrid"))
 
 
 @register
 def metrics_by_type(spark, sf_dir):
-    return metrics.summarize(workspace(spark, sf_dir).metrics, ("query_type", "method"))
+    return _rounded(metrics.summarize(workspace(spark, sf_dir).metrics, ("query_type", "method")))
 
 
 @register
 def improvement_over_baseline(spark, sf_dir):
-    return metrics.improvements(metrics.summarize(workspace(spark, sf_dir).metrics))
+    return _rounded(metrics.improvements(metrics.summarize(workspace(spark, sf_dir).metrics)))
 
 
 @register
@@ -567,15 +575,14 @@ def metrics_grid(spark, sf_dir):
 
 @register
 def chart_data_by_method(spark, sf_dir):
-    return reports.chart_by_method(
-        metrics.summarize(workspace(spark, sf_dir).metrics), metrics.METHODS
-    )
+    by_method = metrics.summarize(workspace(spark, sf_dir).metrics)
+    return _rounded(reports.chart_by_method(by_method, metrics.METHODS))
 
 
 @register
 def chart_data_by_type(spark, sf_dir):
     by_type = metrics.summarize(workspace(spark, sf_dir).metrics, ("query_type", "method"))
-    return reports.chart_by_type(by_type, metrics.METHODS)
+    return _rounded(reports.chart_by_type(by_type, metrics.METHODS))
 
 
 @register
@@ -586,4 +593,4 @@ def flow_by_type(spark, sf_dir):
     run = run_flow(
         spark, scratch_root(spark), ws.templates, ws.query_templates, n, FILLED_QUERIES, stem=False
     )
-    return run["by_type"]
+    return _rounded(run["by_type"])

@@ -34,29 +34,38 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 def write_bucketed(df: DataFrame, path: str, sort: list[str], buckets: int | None = None) -> DataFrame:
-    """Write hash-bucketed by ``id``; groupings that contain ``id`` then need no shuffle."""
+    """Write hash-bucketed by ``id``; groupings that contain ``id`` then need no shuffle.
+
+    Every write goes to a folder of its own, named by ``<path>/current`` once it
+    is complete, so a failed or repeated write harms no reader.
+    """
     spark = df.sparkSession
     n = buckets or shuffle_width(spark)
-    name = "sr_" + uuid.uuid4().hex
+    build = uuid.uuid4().hex
+    name = f"sr_{build}"
     (
         df.repartition(n, "id")
         .write.bucketBy(n, "id")
         .sortBy(*sort)
-        .option("path", path)
+        .option("path", f"{path}/{build}")
         .saveAsTable(name)
     )
+    pointer = spark.createDataFrame([(build, n, sort)], "build string, buckets int, sort array<string>")
+    pointer.coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
     return spark.table(name)
 
 
-def open_bucketed(spark: SparkSession, path: str, buckets: int, sort: list[str]) -> DataFrame:
-    """Register a folder written by ``write_bucketed`` in another session."""
-    name = "sr_" + uuid.uuid4().hex
+def open_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete write of ``write_bucketed``, also of another session."""
+    current = spark.read.parquet(f"{path}/current").first()
+    location = f"{path}/{current['build']}"
+    name = f"sr_{uuid.uuid4().hex}"
     fields = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields
+        f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(location).schema.fields
     )
     spark.sql(
-        f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY (id) "
-        f"SORTED BY ({', '.join(sort)}) INTO {buckets} BUCKETS LOCATION '{path}'"
+        f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY (id) SORTED BY "
+        f"({', '.join(current['sort'])}) INTO {current['buckets']} BUCKETS LOCATION '{location}'"
     )
     return spark.table(name)
 
