@@ -55,9 +55,12 @@ def hashed_embedding(df: DataFrame, id_col: str, text_col: str, dim: int = HASH_
 
     The md5 of a token gives its slot (hex digits 1-8) and its sign (digit 9). A
     text without tokens gets the zero vector. It carries word overlap only, no
-    meaning. Grouping by (id), after one shuffle by id.
+    meaning. The rows are spread by id once, or not at all if they come from a
+    table bucketed by id; every grouping then stays in its partition.
     """
-    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id")
+    rows = spread(df.select(id_col, text_col), id_col).select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text")
+    )
     digests = rows.select("id", F.explode_outer(tokens(F.col("text"))).alias("tok")).select(
         "id", F.md5("tok").alias("digest")
     )

@@ -15,6 +15,7 @@ from sparkrank.functions.keyed import (
 from sparkrank.functions.ranking import number_rows
 from sparkrank.functions.sizing import broadcast_if_within
 from sparkrank.functions.text import title_case
+from sparkrank.sources.scratch import shuffle_width
 
 SEED = 42
 MIN_RELEVANT, MAX_RELEVANT = 5, 15
@@ -121,12 +122,13 @@ def shuffled(products: DataFrame, seed: int = SEED) -> DataFrame:
     return products.orderBy(keyed_int(seed, "shuffle", F.col("id")), "id")
 
 
-def product_index(products: DataFrame, seed: int = SEED, buckets: int = INDEX_BUCKETS) -> DataFrame:
+def product_index(products: DataFrame, seed: int = SEED, buckets: int | None = None) -> DataFrame:
     """(category, product_type, pos, id): products of a type numbered in hash order.
 
     A long table instead of one id list per type, so that a type with most of
-    the catalog is spread over ``buckets`` parts.
+    the catalog is spread over ``buckets`` parts. Their number changes no position.
     """
+    buckets = buckets or max(INDEX_BUCKETS, 4 * shuffle_width(products.sparkSession))
     hashed = products.select(
         "category", "product_type", "id", keyed_int(seed, "index", F.col("id")).alias("_h")
     )

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrank.functions.text import analyze
-from sparkrank.sources.scratch import open_bucketed, spread, write_bucketed, write_table
+from sparkrank.sources.scratch import (
+    open_bucketed, spread, write_bucketed, write_facts, write_table,
+)
 
 FIELD_WEIGHTS = {"title": 2.0, "description": 1.0}
-SETTINGS = "stem boolean, stop array<string>, weights map<string,double>"
 
 
 @dataclass(frozen=True)
@@ -79,8 +80,13 @@ def build_index(
     postings = write_bucketed(
         build_postings(docs, list(weights), stem, stop), f"{path}/postings", ["field", "tok"], buckets
     )
-    settings = docs.sparkSession.createDataFrame([(stem, stop, weights)], SETTINGS)
-    settings.coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
+    write_facts(
+        docs.sparkSession, f"{path}/settings",
+        stem=F.lit(stem),
+        stop=F.lit(stop).cast("array<string>") if stop else F.lit(None).cast("array<string>"),
+        no_stop=F.lit(stop == []),
+        weights=F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]),
+    )
     return Index(
         postings,
         write_table(build_term_stats(postings), f"{path}/term_stats"),
@@ -99,7 +105,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
         spark.read.parquet(f"{path}/term_stats"),
         spark.read.parquet(f"{path}/field_stats"),
         kept["stem"],
-        tuple(kept["stop"]) if kept["stop"] is not None else None,
+        () if kept["no_stop"] else tuple(kept["stop"]) if kept["stop"] else None,
         kept["weights"],
     )
 

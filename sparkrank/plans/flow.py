@@ -99,8 +99,10 @@ def run_flow(
         embedded = spark.read.parquet(f"{root}/embedded")
         dim = embedding.embedding_stats(embedded).first()["max_dim"]
         ingest.ingest(embedded, f"{root}/catalog", 0, dim)
-        write_table(ingest.current_catalog(ingest.read_log(spark, f"{root}/catalog")), f"{root}/docs")
-    docs = spark.read.parquet(f"{root}/docs")
+        current = ingest.current_catalog(ingest.read_log(spark, f"{root}/catalog"))
+        docs = write_bucketed(current, f"{root}/docs", ["id"])
+    else:
+        docs = open_bucketed(spark, f"{root}/docs")
     if "index" not in skip:
         index = build_index(docs, f"{root}/index", stem=stem)
         vectors = write_bucketed(docs.select("id", "embedding"), f"{root}/vectors", ["id"])

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from sparkrank.functions import porter2
 from sparkrank.functions.text import STOP_WORDS, TOKEN_PATTERN
 from sparkrank.plans.registry import FILLED_QUERIES, NUM_QUERIES
 
@@ -311,6 +312,103 @@ CTES: dict[str, str] = {
 }
 
 
+# --- English stemming as regular expressions over a vocabulary ---------------
+
+_V = "[aeiouy]"
+_SHORT = (
+    "(regexp_matches({w}, '^[aeiouy][^aeiouy]$') "
+    "or regexp_matches({w}, '[^aeiouy][aeiouy][^aeiouywxY]$'))"
+)
+_REGION = f"^[^aeiouy]*{_V}+[^aeiouy]"
+
+
+def _quoted(word: str) -> str:
+    return "'" + word.replace("'", "''") + "'"
+
+
+def _table(pairs: dict[str, str]) -> str:
+    return "map {" + ", ".join(f"{_quoted(k)}: {_quoted(v)}" for k, v in pairs.items()) + "}"
+
+
+def _cut(w: str, n: str) -> str:
+    return f"substr({w}, 1, greatest(length({w}) - {n}, 0))"
+
+
+def _step(name: str, before: str, suffixes, case: str) -> str:
+    """One step over (tok, w, r1, r2): ``case`` sees the suffix s and the base b."""
+    longest = "|".join(sorted(suffixes, key=len, reverse=True))
+    return (
+        f"{name} as (select tok, r1, r2, case {case} else w end as w from ("
+        f"select *, substr(w, 1, length(w) - length(s)) as b from ("
+        f"select *, regexp_extract(w, '({longest})$') as s from {before})))"
+    )
+
+
+def _stems(vocabulary: str) -> str:
+    """Statement for (tok, stem) of the tokens of ``vocabulary``(tok)."""
+    plain = ", ".join(_quoted(w) for w in porter2.WHOLE_WORDS)
+    held = ", ".join(_quoted(w) for w in porter2.AFTER_PLURAL)
+    prefixes = "|".join(porter2.REGION_PREFIXES)
+    doubles = "|".join(porter2.DOUBLES)
+    steps = [
+        f"st_word as (select tok, replace(tok, '’', chr(39)) as o from ({vocabulary}))",
+        "st_marked as (select tok, regexp_replace(regexp_replace(regexp_replace("
+        f"o, '^''', ''), '^y', 'Y'), '({_V})y', '\\1Y', 'g') as w "
+        f"from st_word where length(o) > 2 and o not in ({plain}))",
+        f"st_r1 as (select tok, w, case when regexp_matches(w, '^({prefixes})') "
+        f"then length(regexp_extract(w, '^({prefixes})')) when regexp_matches(w, '{_REGION}') "
+        f"then length(regexp_extract(w, '{_REGION}')) else length(w) end as r1 from st_marked)",
+        f"st_r2 as (select tok, w, r1, case when regexp_matches(substr(w, r1 + 1), '{_REGION}') "
+        f"then r1 + length(regexp_extract(substr(w, r1 + 1), '{_REGION}')) "
+        "else length(w) end as r2 from st_r1)",
+        "st_0 as (select tok, r1, r2, regexp_replace(w, '(''s''|''s|'')$', '') as w from st_r2)",
+        f"st_1a as (select tok, r1, r2, case when w like '%sses' then {_cut('w', '2')} "
+        "when w like '%ied' or w like '%ies' "
+        f"then {_cut('w', 'case when length(w) > 4 then 2 else 1 end')} "
+        "when w like '%us' or w like '%ss' then w "
+        f"when w like '%s' and regexp_matches({_cut('w', '2')}, '{_V}') then {_cut('w', '1')} "
+        "else w end as w from st_0)",
+        f"st_held as (select tok, w from st_1a where w in ({held}))",
+        f"st_go as (select * from st_1a where w not in ({held}))",
+        _step(
+            "st_1b", "st_go", ("eed", "eedly", "ed", "edly", "ing", "ingly"),
+            "when s = '' then w "
+            "when s like 'eed%' then case when length(b) >= r1 then b || 'ee' else w end "
+            f"when not regexp_matches(b, '{_V}') then w "
+            "when regexp_matches(b, '(at|bl|iz)$') then b || 'e' "
+            f"when regexp_matches(b, '({doubles})$') then {_cut('b', '1')} "
+            f"when {_SHORT.format(w='b')} and r1 >= length(b) then b || 'e' when true then b",
+        ),
+        "st_1c as (select tok, r1, r2, case when length(w) > 2 and regexp_matches(w, '[^aeiouy][yY]$') "
+        f"then {_cut('w', '1')} || 'i' else w end as w from st_1b)",
+        _step(
+            "st_2", "st_1c", porter2.STEP2,
+            "when s <> '' and length(b) >= r1 and (s <> 'ogi' or b like '%l') "
+            "and (s <> 'li' or regexp_matches(b, '[cdeghkmnrt]$')) "
+            f"then b || ({_table(porter2.STEP2)})[s]",
+        ),
+        _step(
+            "st_3", "st_2", porter2.STEP3,
+            "when s <> '' and length(b) >= case when s = 'ative' then r2 else r1 end "
+            f"then b || ({_table(porter2.STEP3)})[s]",
+        ),
+        _step(
+            "st_4", "st_3", porter2.STEP4,
+            "when s <> '' and length(b) >= r2 and (s <> 'ion' or regexp_matches(b, '[st]$')) then b",
+        ),
+        "st_5 as (select tok, case when w like '%e' and (length(w) - 1 >= r2 or "
+        f"(length(w) - 1 >= r1 and not {_SHORT.format(w=_cut('w', '1'))})) then {_cut('w', '1')} "
+        f"when w like '%ll' and length(w) - 1 >= r2 then {_cut('w', '1')} else w end as w from st_4)",
+    ]
+    return (
+        f"with {', '.join(steps)} "
+        "select tok, replace(w, 'Y', 'y') as stem from st_5 "
+        "union all select tok, replace(w, 'Y', 'y') from st_held "
+        "union all select tok, o from st_word where length(o) <= 2 "
+        f"union all select tok, ({_table(porter2.WHOLE_WORDS)})[o] from st_word where o in ({plain})"
+    )
+
+
 def _sql(final: str, n: int | None = None, other: dict[str, str] | None = None) -> str:
     """``final`` after the expressions it needs.
 
@@ -342,6 +440,19 @@ _GENERATED = {
 }
 
 
+# The full analyser: tokens of both sides replaced by their stems.
+_STEMMED = {
+    "whole_toks": CTES["kept_toks"],
+    "vocabulary": f"select tok from whole_toks union select unnest({_toks('query')}) from asked",
+    "stems": _stems("from vocabulary"),
+    "kept_toks": "select id, field, stem as tok from whole_toks join stems using (tok)",
+    "asked_toks": f"""
+        select query_id, stem as tok, count(*) as qtf
+        from (select query_id, unnest({_toks('query')}) as tok from asked) join stems using (tok)
+        where tok not in ({_STOP}) group by query_id, stem""",
+}
+
+
 def _grid(k: int, width: int, cell: str) -> str:
     columns = ", ".join(
         f"coalesce(max({cell}) filter (method = '{m}'), '-') as {m}" for m in _METHODS[:3]
@@ -445,6 +556,9 @@ ORACLES: dict[str, str] = {
     "tokens": _ALL_TOKENS.format(kept=_toks("text")),
     "tokens_nostop": _ALL_TOKENS.format(
         kept=f"list_filter({_toks('text')}, lambda t: t not in ({_STOP}))"),
+    "stem_vocabulary": _stems(
+        f"select distinct tok from (select unnest({_toks('text')}) as tok from documents) "
+        f"where tok not in ({_STOP})"),
     "postings": _sql("select id, field, tok, tf, dl from tf join dl using (id, field)"),
     "field_stats": _sql("select field, n, round(avgdl, 6) as avgdl from field_len"),
     "term_idf": _sql(
@@ -466,6 +580,7 @@ ORACLES: dict[str, str] = {
     "bm25_topk": _sql("select * from bm25 where rank <= 10"),
     "bm25_title_only": _sql(_ranked(
         "select query_id, id, round(s, 4) as score from unweighted where field = 'title'", 10)),
+    "bm25_stemmed": _sql("select * from bm25 where rank <= 10", other=_STEMMED),
     "knn_exact": _sql("select * from near where rank <= 10"),
     "knn_precomputed": (
         "with m as (select label, list(x order by p) as q from (select label, p, avg(embedding[p]::double) as x "

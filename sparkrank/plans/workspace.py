@@ -11,7 +11,7 @@ from sparkrank.operators import approximate, embedding, fusion, generation, keyw
 from sparkrank.operators import index as indexing
 from sparkrank.operators.reports import tag
 from sparkrank.sources import standin
-from sparkrank.sources.scratch import scratch_root, spread, write_bucketed, write_table
+from sparkrank.sources.scratch import scratch_root, write_bucketed, write_table
 
 WINDOW = 100
 
@@ -28,7 +28,8 @@ class Workspace:
 
     @cached_property
     def docs(self) -> DataFrame:
-        return self._keep(spread(standin.products(self.spark, self.sf_dir), "id"), "docs")
+        """Bucketed by id like all that is derived from it, so index builds need no shuffle."""
+        return write_bucketed(standin.products(self.spark, self.sf_dir), f"{self.root}/docs", ["id"])
 
     @cached_property
     def queries(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -29,6 +29,12 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_facts(spark: SparkSession, path: str, **facts: Column) -> None:
+    """One row of constants that describes a written table."""
+    row = spark.range(1).select(*[value.alias(name) for name, value in facts.items()])
+    row.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -50,8 +56,7 @@ def write_bucketed(df: DataFrame, path: str, sort: list[str], buckets: int | Non
         .option("path", f"{path}/{build}")
         .saveAsTable(name)
     )
-    pointer = spark.createDataFrame([(build, n, sort)], "build string, buckets int, sort array<string>")
-    pointer.coalesce(1).write.mode("overwrite").parquet(f"{path}/current")
+    write_facts(spark, f"{path}/current", build=F.lit(build), buckets=F.lit(n), sort=F.lit(sort))
     return spark.table(name)
 
 
