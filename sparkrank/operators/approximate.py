@@ -47,7 +47,9 @@ def band_codes(
     key: str = "id",
     origin: list[float] | None = None,
 ) -> DataFrame:
-    """(key, band, code): which side of its ``bits`` planes a vector lies on, per band.
+    """(key, codes): per band, which side of its ``bits`` planes a vector lies on.
+
+    One short row per vector; the bands are unfolded where they are compared.
 
     The planes meet in ``origin``; put it to the centre of vectors that all
     point one way. More bits make smaller buckets: let them grow with log2 of
@@ -68,7 +70,12 @@ def band_codes(
             )
 
     checked = assert_dimension(vectors, dim).select(key, "embedding")
-    return checked.mapInArrow(encode, schema).select(key, F.posexplode("codes").alias("band", "code"))
+    return checked.mapInArrow(encode, schema)
+
+
+def unfold(codes: DataFrame, key: str = "id") -> DataFrame:
+    """(key, band, code), one row per band."""
+    return codes.select(key, F.posexplode("codes").alias("band", "code"))
 
 
 def shared_bands(bands: DataFrame, query_bands: DataFrame) -> DataFrame:
@@ -79,7 +86,7 @@ def shared_bands(bands: DataFrame, query_bands: DataFrame) -> DataFrame:
     by id the count is local as well.
     """
     return (
-        join_small(bands, query_bands, ["band", "code"], "id")
+        join_small(unfold(bands), unfold(query_bands, "query_id"), ["band", "code"], "id")
         .groupBy("query_id", "id")
         .agg(F.count(F.lit(1)).alias("shared"))
     )

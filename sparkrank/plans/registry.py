@@ -456,7 +456,7 @@ def knn_approx(spark, sf_dir):
 
 @register
 def band_table(spark, sf_dir):
-    return workspace(spark, sf_dir).bands
+    return approximate.unfold(workspace(spark, sf_dir).bands)
 
 
 @register

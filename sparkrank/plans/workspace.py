@@ -65,7 +65,7 @@ class Workspace:
     @cached_property
     def bands(self) -> DataFrame:
         codes = approximate.band_codes(self.vectors, embedding.HASH_DIM, origin=self.centre)
-        return write_bucketed(codes, f"{self.root}/bands", ["band", "code"])
+        return write_bucketed(codes, f"{self.root}/bands", ["id"])
 
     @cached_property
     def query_bands(self) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.functions.sizing import broadcast_if_within
+from sparkrank.functions.sizing import BROADCAST_BYTES, broadcast_if_within, measured_bytes
 from sparkrank.functions.keyed import SCALE, keyed_int
 from sparkrank.functions.ranking import number_rows
 from sparkrank.functions.text import tokens, without_stop_words
@@ -74,8 +74,11 @@ def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFram
     checked = F.when(F.size(inner) > 0, inner).otherwise(
         F.raise_error(F.lit("a passage needs an inner token that is no stop word"))
     )
+    # a query of n bytes has at most n / 2 words of some 32 bytes with their id
+    small = measured_bytes(queries) * 16 <= BROADCAST_BYTES
+    hint = F.broadcast if small else lambda df: df
     words = queries.select("query_id", F.explode(F.array_distinct(checked)).alias("tok"))
-    known = index.term_stats.join(broadcast_if_within(words), "tok").groupBy("query_id", "tok").agg(
+    known = index.term_stats.join(hint(words), "tok").groupBy("query_id", "tok").agg(
         F.sum("df").alias("df")
     )
     rarest = (
@@ -84,13 +87,13 @@ def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFram
         .agg(F.min_by("tok", F.struct(F.coalesce("df", F.lit(0)), "tok")).alias("tok"))
     )
     candidates = (
-        index.postings.select("id", "tok").join(broadcast_if_within(rarest), "tok")
+        index.postings.select("id", "tok").join(hint(rarest), "tok")
         .select("query_id", "id").distinct().persist()
     )
     return (
         docs.select("id", F.concat_ws("\n", "title", "description").alias("body"))
         .join(broadcast_if_within(candidates), "id")
-        .join(broadcast_if_within(queries.select("query_id", "query")), "query_id")
+        .join(hint(queries.select("query_id", "query")), "query_id")
         .where(F.contains("body", F.col("query")))
         .select("query_id", "id")
     )

@@ -28,10 +28,10 @@ PT_SCHEMA = (
     "description_templates array<string>"
 )
 QUERY_TEMPLATES = [
-    (0, 0, "gym footwear", "shoes", ["sneaker", "boot"], "synonym"),
+    (0, 0, "trail footwear", "shoes", ["sneaker", "boot"], "synonym"),
     (0, 1, "nothing there", "garden", ["rake"], "natural"),
-    (0, 2, "smoothies", "kitchen", ["blender", "sneaker"], "natural"),
-    (1, 0, "winter boots", "shoes", ["boot"], "keyword"),
+    (0, 2, "fruit drinks", "kitchen", ["blender", "sneaker"], "natural"),
+    (1, 0, "snow boots", "shoes", ["boot"], "keyword"),
     (1, 1, "mix it", "kitchen", ["blender"], "keyword"),
 ]
 QT_SCHEMA = (
@@ -136,7 +136,7 @@ def label(spark, num_queries, n_products=90):
 def test_template_queries(spark):
     made, queries, qrels = label(spark, 3)
     assert [(q["query_id"], q["query"]) for q in sorted(queries)] == [
-        ("query_001", "gym footwear"), ("query_002", "smoothies"), ("query_003", "winter boots"),
+        ("query_001", "trail footwear"), ("query_002", "fruit drinks"), ("query_003", "snow boots"),
     ]
     kinds = {r["id"]: r["product_type"] for r in made.collect()}
     per = collections.Counter((r["query_id"], kinds[r["id"]]) for r in qrels)
@@ -173,7 +173,7 @@ def test_unmatched_targets(spark):
     products, asked = templates(spark)
     index = generation.product_index(generation.generate_products(products, 30))
     rows = {tuple(r) for r in generation.unmatched_targets(asked, index).collect()}
-    assert rows == {("nothing there", "garden", "rake"), ("smoothies", "kitchen", "sneaker")}
+    assert rows == {("nothing there", "garden", "rake"), ("fruit drinks", "kitchen", "sneaker")}
 
 
 def test_json_array_files(spark, tmp_path):

@@ -65,7 +65,7 @@ def tables(spark, points, queries, bits, bands):
     vectors = write_bucketed(v, scratch_root(spark), ["id"])
     q = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(queries)], "query_id bigint, embedding array<double>")
     origin = approximate.centre(vectors, dim)
-    coded = write_bucketed(approximate.band_codes(vectors, dim, bits, bands, origin=origin), scratch_root(spark), ["band"])
+    coded = write_bucketed(approximate.band_codes(vectors, dim, bits, bands, origin=origin), scratch_root(spark), ["id"])
     return vectors, q, coded, approximate.band_codes(q, dim, bits, bands, key="query_id", origin=origin)
 
 
