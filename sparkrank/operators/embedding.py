@@ -50,7 +50,9 @@ def embed(
     return df.mapInArrow(encode, schema)
 
 
-def hashed_embedding(df: DataFrame, id_col: str, text_col: str, dim: int = HASH_DIM) -> DataFrame:
+def hashed_embedding(
+    df: DataFrame, id_col: str, text_col: str, dim: int = HASH_DIM, partitions: int | None = None
+) -> DataFrame:
     """(id_col, embedding): signed token counts folded into ``dim`` slots, unit length.
 
     The md5 of a token gives its slot (hex digits 1-8) and its sign (digit 9). A
@@ -58,7 +60,7 @@ def hashed_embedding(df: DataFrame, id_col: str, text_col: str, dim: int = HASH_
     meaning. The rows are spread by id once, or not at all if they come from a
     table bucketed by id; every grouping then stays in its partition.
     """
-    rows = spread(df.select(id_col, text_col), id_col).select(
+    rows = spread(df.select(id_col, text_col), id_col, partitions=partitions).select(
         F.col(id_col).alias("id"), F.col(text_col).alias("text")
     )
     digests = rows.select("id", F.explode_outer(tokens(F.col("text"))).alias("tok")).select(

@@ -34,15 +34,19 @@ def token_rows(docs: DataFrame, text_col: str, stop: list[str] | None = None, st
 
 
 def build_postings(
-    docs: DataFrame, fields: list[str], stem: bool = True, stop: list[str] | None = None
+    docs: DataFrame,
+    fields: list[str],
+    stem: bool = True,
+    stop: list[str] | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Term frequencies per document and field, with the field length on each row.
 
     The documents are spread by id once; all further grouping is by a key that
     contains id and stays in the partition.
     """
-    spreaded = spread(docs.select("id", *fields), "id")
-    toked = spreaded.select(
+    rows = spread(docs.select("id", *fields), "id", partitions=partitions)
+    toked = rows.select(
         "id", *[analyze(F.col(f), stem, stop).alias(f) for f in fields]
     )
     per_field = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("toks")) for f in fields])
@@ -78,7 +82,8 @@ def build_index(
     """Write the three index tables below ``path``; postings are bucketed by id."""
     weights = dict(weights or FIELD_WEIGHTS)
     postings = write_bucketed(
-        build_postings(docs, list(weights), stem, stop), f"{path}/postings", ["field", "tok"], buckets
+        build_postings(docs, list(weights), stem, stop, buckets),
+        f"{path}/postings", ["field", "tok"], buckets,
     )
     write_facts(
         docs.sparkSession, f"{path}/settings",

@@ -31,11 +31,12 @@ class _TopK:
 
     def __init__(self, unit_queries: np.ndarray, k: int, digits: int):
         self.q, self.k, self.scale = unit_queries, k, 10.0**digits
-        n = len(unit_queries)
-        self.floor = np.full(n, -np.inf)
+        self.floor = np.full(len(unit_queries), -np.inf)
         self.query = np.empty(0, dtype=np.int64)
         self.score = np.empty(0)
-        self.ids: np.ndarray | None = None
+        self.ids = np.empty(0, dtype=np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
     def add(self, ids: np.ndarray, unit: np.ndarray) -> None:
         rows = max(1, BLOCK_CELLS // max(1, len(self.q)))
@@ -60,12 +61,18 @@ class _TopK:
             self._take(q[good], ids[r[good]], score[good])
 
     def _take(self, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> None:
-        self.query = np.concatenate([self.query, query])
-        self.score = np.concatenate([self.score, score])
-        self.ids = ids if self.ids is None else np.concatenate([self.ids, ids])
-        self._prune()
-
-    def _prune(self) -> None:
+        """Sorting waits until the new pairs outnumber the kept ones."""
+        self.new.append((query, score, ids))
+        self.waiting += len(query)
+        if self.waiting > max(BLOCK_CELLS // 4, len(self.query)):
+            self.prune()
+
+    def prune(self) -> None:
+        if not self.waiting:
+            return
+        kept = [(self.query, self.score, self.ids)] if len(self.query) else []
+        self.query, self.score, self.ids = (np.concatenate(c) for c in zip(*kept, *self.new))
+        self.new, self.waiting = [], 0
         order = np.lexsort((self.ids, -self.score, self.query))
         query = self.query[order]
         first = np.searchsorted(query, query, side="left")
@@ -77,10 +84,10 @@ class _TopK:
 
     def columns(self, names: np.ndarray, id_types: list[pa.DataType]) -> dict[str, pa.Array]:
         """The kept hits; ``names`` are the query ids in row order of the matrix."""
-        ids = [] if self.ids is None else self.ids.tolist()
+        self.prune()
         return {
-            "query_id": pa.array(names[self.query].tolist() if ids else [], id_types[0]),
-            "id": pa.array(ids, id_types[1]),
+            "query_id": pa.array(names[self.query].tolist() if len(self.query) else [], id_types[0]),
+            "id": pa.array(self.ids.tolist(), id_types[1]),
             "score": pa.array(self.score, pa.float64()),
         }
 

@@ -30,6 +30,11 @@ def format_hits(hits: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
+def _shown_score(digits: int) -> Column:
+    """Score as text; rounded as a decimal, since scores of few digits often lie between two."""
+    return F.round(F.col("score").cast("decimal(18,6)"), digits).cast("string")
+
+
 def _grid(hits: DataFrame, docs: DataFrame, methods: tuple[str, ...], cell: Column) -> DataFrame:
     titles = docs.select("id", "title").join(broadcast_if_within(hits), "id")
     grid = titles.groupBy("query_id", "rank").pivot("method", list(methods)).agg(F.first(cell))
@@ -40,7 +45,7 @@ def side_by_side(
     hits: DataFrame, docs: DataFrame, width: int = 45, methods: tuple[str, ...] = COMPARED
 ) -> DataFrame:
     """Rank by method, a cell is ``title | score``; ``-`` where a list is shorter."""
-    cell = F.concat(F.substring("title", 1, width), F.lit(" | "), F.round("score", 3).cast("decimal(18,3)"))
+    cell = F.concat(F.substring("title", 1, width), F.lit(" | "), _shown_score(3))
     return _grid(hits, docs, methods, cell)
 
 
@@ -48,9 +53,7 @@ def side_by_side_report(
     hits: DataFrame, docs: DataFrame, rows: int = 5, width: int = 24, methods: tuple[str, ...] = COMPARED
 ) -> DataFrame:
     """Five ranks; scores with three decimals for ``vector``, else two."""
-    score = F.when(
-        F.col("method") == "vector", F.round("score", 3).cast("decimal(18,3)").cast("string")
-    ).otherwise(F.round("score", 2).cast("decimal(18,2)").cast("string"))
+    score = F.when(F.col("method") == "vector", _shown_score(3)).otherwise(_shown_score(2))
     cell = F.concat(F.substring("title", 1, width), F.lit(" ("), score, F.lit(")"))
     return _grid(hits.where(F.col("rank") <= rows), docs, methods, cell)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sparkrank.operators import embedding, fusion, generation, ingest, keyword, metrics, nearest
 from sparkrank.operators.index import build_index, open_index
 from sparkrank.operators.reports import tag
-from sparkrank.sources.scratch import open_bucketed, write_bucketed, write_table
+from sparkrank.sources.scratch import bucket_count, open_bucketed, write_bucketed, write_table
 
 STAGES = ("generate", "embed", "ingest", "index")
 
@@ -95,17 +95,18 @@ def run_flow(
     if "embed" not in skip:
         embed(spark, root, encoder)
     query_vectors = spark.read.parquet(f"{root}/query_vectors")
+    buckets = bucket_count(spark.read.parquet(f"{root}/embedded"))
     if "ingest" not in skip:
         embedded = spark.read.parquet(f"{root}/embedded")
         dim = embedding.embedding_stats(embedded).first()["max_dim"]
         ingest.ingest(embedded, f"{root}/catalog", 0, dim)
         current = ingest.current_catalog(ingest.read_log(spark, f"{root}/catalog"))
-        docs = write_bucketed(current, f"{root}/docs", ["id"])
+        docs = write_bucketed(current, f"{root}/docs", ["id"], buckets)
     else:
         docs = open_bucketed(spark, f"{root}/docs")
     if "index" not in skip:
-        index = build_index(docs, f"{root}/index", stem=stem)
-        vectors = write_bucketed(docs.select("id", "embedding"), f"{root}/vectors", ["id"])
+        index = build_index(docs, f"{root}/index", stem=stem, buckets=buckets)
+        vectors = write_bucketed(docs.select("id", "embedding"), f"{root}/vectors", ["id"], buckets)
     else:
         index = open_index(spark, f"{root}/index")
         vectors = open_bucketed(spark, f"{root}/vectors")

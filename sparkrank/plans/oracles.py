@@ -466,8 +466,8 @@ def _grid(k: int, width: int, cell: str) -> str:
 
 _ALL_ROUNDED = ", ".join(f"round({m}, 6) as {m}" for m in _METRICS)
 _DOC = "id, title, description, category, price, brand, rating, brand as attr_source"
-_SCORE2 = "round(score, 2)::decimal(18,2)::varchar"
-_SCORE3 = "round(score, 3)::decimal(18,3)::varchar"
+_SCORE2 = "round(score::decimal(18,6), 2)::decimal(18,2)::varchar"
+_SCORE3 = "round(score::decimal(18,6), 3)::decimal(18,3)::varchar"
 
 _ALL_TOKENS = f"""
     select id, pos - 1 as pos, toks[pos] as tok

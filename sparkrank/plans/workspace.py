@@ -11,7 +11,7 @@ from sparkrank.operators import approximate, embedding, fusion, generation, keyw
 from sparkrank.operators import index as indexing
 from sparkrank.operators.reports import tag
 from sparkrank.sources import standin
-from sparkrank.sources.scratch import scratch_root, write_bucketed, write_table
+from sparkrank.sources.scratch import bucket_count, scratch_root, write_bucketed, write_table
 
 WINDOW = 100
 
@@ -26,10 +26,17 @@ class Workspace:
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
         return write_table(df, f"{self.root}/{name}")
 
+    @cached_property
+    def buckets(self) -> int:
+        return bucket_count(standin.products(self.spark, self.sf_dir))
+
+    def _keep_bucketed(self, df: DataFrame, name: str) -> DataFrame:
+        return write_bucketed(df, f"{self.root}/{name}", ["id"], self.buckets)
+
     @cached_property
     def docs(self) -> DataFrame:
         """Bucketed by id like all that is derived from it, so index builds need no shuffle."""
-        return write_bucketed(standin.products(self.spark, self.sf_dir), f"{self.root}/docs", ["id"])
+        return self._keep_bucketed(standin.products(self.spark, self.sf_dir), "docs")
 
     @cached_property
     def queries(self) -> DataFrame:
@@ -43,15 +50,17 @@ class Workspace:
 
     @cached_property
     def index(self) -> indexing.Index:
-        return indexing.build_index(self.docs, f"{self.root}/index", stem=self.stem)
+        return indexing.build_index(
+            self.docs, f"{self.root}/index", stem=self.stem, buckets=self.buckets
+        )
 
     @cached_property
     def vectors(self) -> DataFrame:
         """Hashed embeddings; a document without a token cannot be found by vector."""
         text = self.docs.select("id", embedding.combined_text().alias("text"))
-        dense = embedding.hashed_embedding(text, "id", "text")
+        dense = embedding.hashed_embedding(text, "id", "text", partitions=self.buckets)
         findable = dense.where(F.exists("embedding", lambda x: x != 0))
-        return write_bucketed(findable, f"{self.root}/vectors", ["id"])
+        return self._keep_bucketed(findable, "vectors")
 
     @cached_property
     def query_vectors(self) -> DataFrame:
@@ -65,7 +74,7 @@ class Workspace:
     @cached_property
     def bands(self) -> DataFrame:
         codes = approximate.band_codes(self.vectors, embedding.HASH_DIM, origin=self.centre)
-        return write_bucketed(codes, f"{self.root}/bands", ["id"])
+        return self._keep_bucketed(codes, "bands")
 
     @cached_property
     def query_bands(self) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkrank.functions.sizing import measured_bytes
+
+BUCKET_BYTES = 512 * 1024 * 1024
+
 
 def scratch_root(spark: SparkSession) -> str:
     """New folder below ``spark.checkpoint.dir``.
@@ -75,7 +80,18 @@ def open_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return spark.table(name)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Rebalance rows after a scan: one large row group otherwise lands in one task."""
-    n = shuffle_width(df.sparkSession)
+def bucket_count(df: DataFrame) -> int:
+    """Buckets for a table and all that is derived from it: one per core, or more if it is large."""
+    spark = df.sparkSession
+    by_size = math.ceil(measured_bytes(df) / BUCKET_BYTES)
+    return max(spark.sparkContext.defaultParallelism, by_size)
+
+
+def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Rebalance rows after a scan: one large row group otherwise lands in one task.
+
+    No shuffle happens if ``df`` comes from a table bucketed by ``keys`` into as
+    many buckets.
+    """
+    n = partitions or shuffle_width(df.sparkSession)
     return df.repartition(n, *[F.col(k) for k in keys])

@@ -15,6 +15,8 @@ from sparkrank.functions.ranking import number_rows
 from sparkrank.functions.text import tokens, without_stop_words
 from sparkrank.operators.index import Index
 
+MAX_DOMAIN = 10_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -100,9 +102,19 @@ def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFram
 
 
 def product_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Template table of the generator: the attribute domains of ``part`` per type."""
+    """Template table of the generator: the attribute domains of ``part`` per type.
+
+    The lists of a template hold what a person would write down: at most
+    ``MAX_DOMAIN`` distinct values each, which is checked before they are built.
+    """
     part = table(spark, sf_dir, "part")
     words = F.split("p_name", " ")
+    domains = [F.approx_count_distinct(c).alias(c) for c in ("p_name", "p_brand", "p_size")]
+    widest = part.groupBy("p_type", F.get(words, F.lit(1)).alias("noun")).agg(*domains).agg(
+        F.max(F.greatest("p_name", "p_brand", "p_size")).alias("n")
+    ).first()["n"]
+    if (widest or 0) > MAX_DOMAIN:
+        raise ValueError(f"{widest} distinct values are no template list")
     return (
         part.select(
             F.col("p_type").alias("category"),

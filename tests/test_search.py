@@ -156,6 +156,9 @@ def test_knn_in_many_blocks(spark, monkeypatch):
     whole.add(ids, vectors)
     monkeypatch.setattr(nearest, "BLOCK_CELLS", 12)
     top.add(ids, vectors)
+    top.prune()
+    whole.prune()
+    assert len(whole.query) == 20
     assert top.query.tolist() == whole.query.tolist()
     assert top.ids.tolist() == whole.ids.tolist()
 
