@@ -33,7 +33,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s.kind.isin(*pii.BASE_KINDS))
     counts = [
-        F.size(F.filter("spans", lambda s, kind=kind: s.kind == kind)).cast("bigint").alias(f"n_{kind}")
+        F.expr(f"size(filter(spans, s -> s.kind = '{kind}'))").cast("bigint").alias(f"n_{kind}")
         for kind in pii.BASE_KINDS
     ]
     return found.select(
