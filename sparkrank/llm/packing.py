@@ -19,6 +19,7 @@ gives no row.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Callable
 from functools import cache
@@ -35,14 +36,17 @@ TOKENS = 2048
 #: Words kept per generation in a Python worker, about 100 MB in the two.
 WORDS = 400_000
 SPLIT = str.maketrans("\n\t", "  ")
+#: A word of Latin letters and the punctuation after it, which the tokenizer cuts
+#: off; without the one letter that lower-cases to two code points.
+LETTERS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-/:-@\\[-`{-~]+)?")
 
 
 class Encoder:
     """Ids of a text, as little-endian 32-bit data, word by word with a bounded memory of words.
 
-    Only for tokenizers whose words end at white space: ids of a text are then
-    those of its words in turn. Words not seen in the last two generations are
-    encoded together.
+    Only for tokenizers that lower-case and whose words end at white space and
+    between letters and punctuation: ids of a text are then those of its words
+    in turn. Words not seen in the last two generations are encoded together.
     """
 
     def __init__(self, path: str, words: int = WORDS):
@@ -51,6 +55,15 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words, self.old, self.new = words, {}, {}
 
+    @staticmethod
+    def _parts(word: str) -> tuple[str, ...]:
+        """Parts whose ids in turn are those of the word, so that fewer different ones are encoded."""
+        cut = LETTERS.fullmatch(word)
+        if not cut:
+            return (word,)
+        letters = cut[1].lower() if cut[1].isascii() else cut[1]
+        return (letters, cut[2]) if cut[2] else (letters,)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Data per text; the texts of a call should fit in memory some ten times."""
         split = [text.translate(SPLIT).split(" ") for text in texts]
@@ -63,9 +76,12 @@ class Encoder:
                 else:
                     missing.add(word)
         if missing:
-            missing = list(missing)
-            for word, got in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                new[word] = np.array(got.ids, "<u4").tobytes()
+            parts = {word: self._parts(word) for word in missing}
+            unknown = list({part for own in parts.values() for part in own if part not in new and part not in old})
+            for part, got in zip(unknown, self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
+                new[part] = np.array(got.ids, "<u4").tobytes()
+            for word, own in parts.items():
+                new[word] = b"".join([new[part] if part in new else old[part] for part in own])
         found = [b"".join(map(new.__getitem__, words)) for words in split]
         if len(new) > self.words:
             self.old, self.new = new, {}
@@ -91,8 +107,8 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, tokens: int = TOKENS,
     """(doc_id, piece, start, length, ids_crc32): documents cut into pieces of ``tokens`` ids.
 
     A document is its ids, no special ones, then ``end``; only the last piece may
-    be shorter. ``tokenizer`` is the path of a file with words that end at white
-    space, by default ``word_bpe_49k.json`` of the installed vocabularies.
+    be shorter. ``tokenizer`` is the path of a file as ``Encoder``
+    describes, by default ``word_bpe_49k.json`` of the installed vocabularies.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
