@@ -7,19 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.llm import lines, packing, pii, quality, simhash
+from sparkrank.llm import hnsw, lines, packing, pieces, pii, quality, simhash, topk, toxicity, urls
 from sparkrank.llm.shared import table
+from sparkrank.llm.vectors import divisible
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.search(table(spark, sf_dir, "embeddings"), divisible(20), k=20)
+
+
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), divisible(50), k=5, scale=256)
+
+
+def op5_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_nbest(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
@@ -46,14 +67,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
+    "op3_hnsw": op3_hnsw,
+    "op4_topk": op4_topk,
+    "op5_nbest_pieces": op5_nbest_pieces,
     "op6_simhash": op6_simhash,
+    "op7_url_filter": op7_url_filter,
     "op8_line_dedup": op8_line_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_topk": """
+WITH v AS (
+    SELECT DISTINCT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT) FOR x IN embedding] AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+    SELECT a.vec_id AS query_id, b.vec_id,
+           CAST(list_sum([p[1] * p[2] FOR p IN list_zip(a.q, b.q)]) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored
+)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+""",
     "op8_line_dedup": r"""
 WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 lines AS (
