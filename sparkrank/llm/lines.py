@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkrank.llm.shared import Batches, kept, texts, width
+from sparkrank.llm.shared import Batches, kept, per_batch, replaced, texts, width
 
 SPACES = b" \t\n\r\x0b\x0c"
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -183,8 +183,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
     )
 
 
-@F.udf(T.StringType(), useArrow=True)
-def _apply(text: str | None, keep: bytes | None) -> str | None:
+def _kept_lines(text: str | None, keep: bytes | None) -> str | None:
     if keep is None:
         return text
     lines = (text or "").split("\n")
@@ -192,8 +191,8 @@ def _apply(text: str | None, keep: bytes | None) -> str | None:
     return "\n".join(line for line, bit in zip(lines, bits.tolist(), strict=True) if bit)
 
 
-def _line_count() -> Column:
-    text = F.coalesce("text", F.lit(""))
+def _line_count(text: Column) -> Column:
+    text = F.coalesce(text, F.lit(""))
     return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("bigint")
 
 
@@ -213,8 +212,16 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs
         docs["doc_id"].eqNullSafe(side["_doc"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == side["_row"]),
         "left",
     )
-    return joined.select(
-        *[_apply("text", "_keep").alias("text") if c == "text" else docs[c] for c in docs.columns],
-        _line_count().alias("n_lines"),
+    counted = joined.select(
+        *[docs[c] for c in docs.columns],
+        _line_count(docs["text"]).alias("n_lines"),
         F.coalesce("_dropped", F.lit(0)).cast("bigint").alias("n_dropped"),
+        "_keep",
     )
+    at = docs.columns.index("text")
+
+    def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+        rows = zip(batch.column(at).to_pylist(), batch.column("_keep").to_pylist(), strict=True)
+        return replaced(batch, "text", [_kept_lines(*row) for row in rows])
+
+    return per_batch(counted, make, counted.schema).drop("_keep")

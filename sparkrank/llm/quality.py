@@ -184,9 +184,10 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **shri
     """
     model = fit(_examples(document_statistics(docs), labels), **shrinkage)
 
-    @F.pandas_udf(T.BooleanType())
-    def good(text: pd.Series) -> pd.Series:
-        x = np.array([statistics(t) for t in text], float).reshape(-1, len(FEATURES))
-        return pd.Series(model.scores(x) >= threshold)
+    at = docs.columns.index("text")
 
-    return docs.where(good("text"))
+    def good(batch: pa.RecordBatch) -> pa.RecordBatch:
+        x = np.array([statistics(t) for t in texts(batch.column(at))])
+        return batch.filter(pa.array(model.scores(x) >= threshold))
+
+    return per_batch(docs, good, docs.schema)

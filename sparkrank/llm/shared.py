@@ -7,10 +7,13 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkrank.sources.scratch import scratch_root, write_table
 
 Batches = Iterator[pa.RecordBatch]
+#: Rows that a Python worker unpacks at a time.
+ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,13 +34,13 @@ def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
-    """Apply ``make`` to every Arrow batch where it lies."""
+def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | T.StructType) -> DataFrame:
+    """Apply ``make`` to the rows where they lie, ``ROWS`` at a time."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            if batch.num_rows:
-                yield make(batch)
+            for at in range(0, batch.num_rows, ROWS):
+                yield make(batch.slice(at, ROWS))
 
     return df.mapInArrow(run, schema)
 
@@ -45,3 +48,10 @@ def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], s
 def texts(column: pa.Array) -> list[str]:
     """Values as Python strings, null as empty."""
     return [t or "" for t in column.to_pylist()]
+
+
+def replaced(batch: pa.RecordBatch, name: str, values: list[str | None]) -> pa.RecordBatch:
+    """``batch`` with other strings in one column."""
+    at = batch.schema.get_field_index(name)
+    field = batch.schema.field(at)
+    return batch.set_column(at, field, pa.array(values, field.type))
