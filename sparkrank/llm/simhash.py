@@ -11,6 +11,8 @@ no pair within the radius is lost.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -25,57 +27,65 @@ from sparkrank.llm.shared import kept, per_batch
 SEED = 42
 #: A bucket of up to this many fingerprints is searched in one task; it is 256 KB.
 BUCKET = 32_768
-ALL_BITS = (1 << 64) - 1
 HASHED = 1 << 16
 
 
-def _majority(words: list[bytes], shingle: int) -> int:
-    n = max(1, len(words) - shingle + 1)
+class Features(NamedTuple):
+    """Shingles of ``shingle`` words, each as often as it occurs or, without ``repeats``, once."""
+
+    shingle: int = 3
+    repeats: bool = True
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def fingerprint_of(words: list[bytes], features: Features = Features()) -> int:
+    """64 bits, unsigned; zero without a word."""
+    if not words:
+        return 0
+    k, n = features.shingle, max(1, len(words) - features.shingle + 1)
+    shingles = words if k == 1 else [b" ".join(words[i : i + k]) for i in range(n)]
+    if not features.repeats:
+        shingles = list(set(shingles))
     ones = np.zeros(64, np.int64)
-    for at in range(0, n, HASHED):
-        upto = min(n, at + HASHED)
-        hashes = np.fromiter(
-            (xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), SEED) for i in range(at, upto)),
-            np.dtype("<u8"),
-            upto - at,
-        )
+    for at in range(0, len(shingles), HASHED):
+        part = shingles[at : at + HASHED]
+        hashes = np.fromiter((xxhash.xxh64_intdigest(one, SEED) for one in part), np.dtype("<u8"), len(part))
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
+    return int(np.packbits(ones * 2 > len(shingles), bitorder="little").view("<u8")[0])
 
 
-def fingerprint_of(text: str | None, shingle: int = 3) -> int:
-    """64 bits, unsigned; a text without a word has fingerprint zero."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return _majority(words, shingle) if words else 0
+def fingerprints(docs: DataFrame, kinds: dict[str, Features], key: str = "doc_id") -> DataFrame:
+    """(``key``, a long per entry of ``kinds``) per document: its fingerprints, signed.
 
-
-def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(``key``, fp) per document; fp is the fingerprint as a signed long.
-
-    The whole text counts, A-Z lower-cased, words split at ASCII white space,
-    repeated shingles counted as often as they occur. Null and empty texts get
-    fingerprint zero. One row per input row; other columns are ignored.
+    The whole text counts, A-Z lower-cased, words split at ASCII white space.
+    Null and empty texts get fingerprint zero. One row per input row; columns
+    other than ``key`` and text are ignored.
     """
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        fps = np.fromiter(
-            (fingerprint_of(t, shingle) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows
-        )
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=[key, "fp"])
+        split = [words_of(t) for t in batch.column(1).to_pylist()]
+        made = [
+            np.fromiter((fingerprint_of(w, f) for w in split), np.uint64, len(split)).view(np.int64)
+            for f in kinds.values()
+        ]
+        return pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, made)], names=[key, *kinds])
 
     kind = docs.schema[key].dataType.simpleString()
-    return per_batch(docs.select(key, text), make, f"`{key}` {kind}, fp bigint")
+    columns = ", ".join(f"`{name}` bigint" for name in kinds)
+    return per_batch(docs.select(key, "text"), make, f"`{key}` {kind}, {columns}")
 
 
-def covering_masks(radius: int, free: int = ALL_BITS, level: int = 0) -> list[int]:
-    """2^(radius + 1) - 1 masks over the bits of ``free``; see the module's text.
+def covering_masks(radius: int, level: int = 0) -> list[int]:
+    """2^(radius + 1) - 1 masks of 64 bits; see the module's text.
 
     Codes are dealt out in turn over a shuffled order of the bits (``level``
     seeds it), so each table keeps a bit more than half of them.
     """
-    bits = [i for i in range(64) if free >> i & 1]
-    np.random.default_rng(SEED + level).shuffle(bits)
+    bits = np.random.default_rng(SEED + level).permutation(64).tolist()
     codes = (1 << radius + 1) - 1
     return [
         sum(1 << bit for at, bit in enumerate(bits) if (v & (at % codes + 1)).bit_count() & 1)
@@ -90,122 +100,166 @@ def _signed(value: int) -> int:
 LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-@F.pandas_udf(T.ArrayType(LINK))
-def _forest(buckets: pd.Series, radius: pd.Series) -> pd.Series:
-    """Links that join what is within the radius in each bucket: a spanning forest, not all pairs."""
-    return pd.Series([spanning_links(np.asarray(b), int(r)) for b, r in zip(buckets, radius, strict=True)])
-
-
-def spanning_links(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
-    rest, links = np.unique(fps.astype(np.int64)).view(np.uint64), []
+def spanning_links(
+    nodes: np.ndarray, fps: np.ndarray, checks: np.ndarray, radius: int, check_radius: int
+) -> list[tuple[int, int]]:
+    """Links that join what is within both radii: a spanning forest, not all pairs."""
+    order = np.argsort(nodes, kind="stable")
+    nodes, fps, checks = nodes[order], fps[order].view(np.uint64), checks[order].view(np.uint64)
+    rest, links = np.arange(len(nodes)), []
     while len(rest) > 1:
         frontier, rest = [rest[0]], rest[1:]
         while frontier and len(rest):
             at = frontier.pop()
-            near = np.bitwise_count(rest ^ at) <= radius
+            near = np.bitwise_count(fps[rest] ^ fps[at]) <= radius
+            if check_radius < 64:
+                near &= np.bitwise_count(checks[rest] ^ checks[at]) <= check_radius
             if near.any():
                 found, rest = rest[near], rest[~near]
                 frontier.extend(found)
-                here = int(at.astype(np.int64))
-                links += [(here, int(x)) for x in found.view(np.int64)]
+                links += [(int(nodes[at]), int(nodes[x])) for x in found]
     return links
 
 
-def _table_keys(rows: DataFrame, paths: list[tuple[int, int]], radius: int, level: int) -> tuple[Column, list[tuple[int, int]]]:
-    """One (path, key) per mask of the next level; a path stands for the masks passed so far."""
-    below: list[tuple[int, int]] = []
-    by_path: dict[int, list[Column]] = {}
-    for path, fixed in paths:
-        free = ALL_BITS & ~fixed
-        by_path[path] = []
-        for mask in covering_masks(radius, free, level):
-            number, together = len(below), fixed | mask
-            below.append((number, together))
-            by_path[path].append(
-                F.struct(F.lit(number).alias("path"), F.col("fp").bitwiseAND(F.lit(_signed(together))).alias("key"))
-            )
-    if len(paths) == 1:
-        return F.array(*by_path[paths[0][0]]), below
-    return F.coalesce(*[F.when(F.col("path") == p, F.array(*s)) for p, s in by_path.items()]), below
-
-
-def links_within(fps: DataFrame, radius: int = 2, bucket: int = BUCKET) -> DataFrame:
-    """Links (a, b) whose components are those of all pairs within ``radius``.
-
-    ``fps`` has distinct longs in ``fp``. Every fingerprint goes to its bucket in
-    each covering table; a bucket's size is counted first. Buckets of two are
-    compared in place, those up to ``bucket`` are searched in one task that
-    returns a spanning forest of what is within the radius. A larger bucket is
-    split again by a covering family over the bits it does not fix, so that no
-    pair is lost and no task ever holds more than ``bucket`` fingerprints; as
-    each split fixes half of the remaining bits and fingerprints are distinct, a
-    bucket with log2(``bucket``) free bits cannot be too large, which ends it.
+def _forest(radius: int, check_radius: int):
+    @F.pandas_udf(T.ArrayType(LINK))
+    def forest(nodes: pd.Series, fps: pd.Series, checks: pd.Series) -> pd.Series:
+        rows = (map(np.asarray, row) for row in zip(nodes, fps, checks, strict=True))
+        return pd.Series([spanning_links(*row, radius, check_radius) for row in rows])
+
+    return forest
+
+
+NODE = ["node", "fp", "check"]
+#: A bucket: the bits it fixes, their values, and a part of it (0: all of it).
+PLACE = ["fixed", "key", "part"]
+
+
+def _tables(rows: DataFrame, radius: int, level: int) -> DataFrame:
+    """Every row once per mask of the level, which fixes more bits.
+
+    The covering property holds for the bits that are still free as it does for
+    all of them, so one family per level serves all buckets.
     """
-    rows = fps.select("fp")
-    paths, level, found = [(0, 0)], 0, []
-    while True:
-        keys, paths = _table_keys(rows, paths, radius, level)
-        rows = rows.select("fp", F.explode(keys).alias("k")).select("fp", "k.path", "k.key")
-        sizes = (
-            rows.groupBy("path", "key")
-            .agg(F.count("*").alias("n"), F.min("fp").alias("lo"), F.max("fp").alias("hi"))
-            .where("n > 1")
-        )
-        sizes = kept(sizes)
-        found.append(
-            sizes.where((F.col("n") == 2) & (F.bit_count(F.col("lo").bitwiseXOR(F.col("hi"))) <= radius)).select(
-                F.col("lo").alias("a"), F.col("hi").alias("b")
-            )
-        )
-        middle = rows.join(sizes.where((F.col("n") > 2) & (F.col("n") <= bucket)).select("path", "key"), ["path", "key"])
-        found.append(
-            middle.groupBy("path", "key")
-            .agg(F.collect_list("fp").alias("fps"))
-            .select(F.explode(_forest("fps", F.lit(radius))).alias("e"))
-            .select("e.a", "e.b")
+    masks = F.array(*[F.lit(_signed(m)) for m in covering_masks(radius, level)])
+    more = rows.select(*NODE, "fixed", F.explode(masks).alias("mask"))
+    fixed = F.col("fixed").bitwiseOR(F.col("mask"))
+    found = more.select(*NODE, fixed.alias("fixed"))
+    found = found if level == 0 else found.distinct()
+    return found.select(*NODE, "fixed", F.col("fp").bitwiseAND(F.col("fixed")).alias("key"), F.lit(0).alias("part"))
+
+
+def _pairs_of_parts(rows: DataFrame, largest: int, bucket: int) -> DataFrame:
+    """Every row once per pair of parts of its bucket that it is in."""
+    parts = max(2, -(-4 * largest // bucket))
+    own = F.pmod(F.xxhash64("node"), F.lit(parts)).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.lit(parts - 1)), lambda o: o != own)
+    pairs = F.transform(others, lambda o: F.least(own, o) * parts + F.greatest(own, o) + 1)
+    return rows.select(*NODE, "fixed", "key", F.explode(pairs).alias("part"))
+
+
+def _search(rows: DataFrame, radius: int, check_radius: int, bucket: int | None) -> tuple[list[DataFrame], DataFrame]:
+    """Links within the buckets of up to ``bucket`` rows, and the sizes of all with two or more."""
+    member = F.struct(*NODE)
+    sizes = kept(
+        rows.groupBy(*PLACE)
+        .agg(
+            F.count("*").alias("n"),
+            F.min(member).alias("lo"),
+            F.max(member).alias("hi"),
+            (F.min("fp") == F.max("fp")).alias("equal"),
         )
+        .where("n > 1")
+    )
+    near = F.bit_count(F.col("lo.fp").bitwiseXOR(F.col("hi.fp"))) <= radius
+    if check_radius < 64:
+        near &= F.bit_count(F.col("lo.check").bitwiseXOR(F.col("hi.check"))) <= check_radius
+    two = sizes.where((F.col("n") == 2) & near).select(F.col("lo.node").alias("a"), F.col("hi.node").alias("b"))
+    several = sizes.where((F.col("n") > 2) & (F.lit(bucket is None) | (F.col("n") <= F.lit(bucket or 0))))
+    gathered = rows.join(several.select(*PLACE), PLACE).groupBy(*PLACE).agg(F.collect_list(member).alias("m"))
+    forest = _forest(radius, check_radius)("m.node", "m.fp", "m.check")
+    return [two, gathered.select(F.explode(forest).alias("e")).select("e.a", "e.b")], sizes
+
+
+def links_within(nodes: DataFrame, radius: int, check_radius: int = 64, bucket: int = BUCKET) -> DataFrame:
+    """Links (a, b) whose components are those of all pairs within the radii.
+
+    ``nodes`` are different (node, fp, check), all longs; a pair links if its fp
+    differ in at most ``radius`` bits and its check in at most ``check_radius``.
+    Every node goes to its bucket in each covering table; a bucket's size is
+    counted first. Buckets of two are compared in place, those up to ``bucket``
+    are searched in one task that returns a spanning forest of what links. A
+    larger bucket is split again by a covering family, which fixes half of its
+    free bits, so no pair is lost and no task holds more. If all its fp are equal
+    (with very many different checks) it is cut into parts of even size instead,
+    and each pair of parts is searched.
+    """
+    rows, level, found = nodes.select(*NODE, F.lit(0).cast("bigint").alias("fixed")), 0, []
+    while True:
+        rows = _tables(rows, radius, level)
+        links, sizes = _search(rows, radius, check_radius, bucket)
+        found += links
         large = sizes.where(F.col("n") > bucket)
-        big = [r["path"] for r in large.select("path").distinct().collect()]  # at most one per table
-        if not big:
+        counts = {r["equal"]: r["n"] for r in large.groupBy("equal").agg(F.max("n").alias("n")).collect()}
+        if not counts:
+            break
+        again = kept(rows.join(large.select(*PLACE, "equal"), PLACE).select(*NODE, "fixed", "key", "equal"))
+        if True in counts:
+            parts = _pairs_of_parts(again.where("equal"), counts[True], bucket)
+            found += _search(parts, radius, check_radius, None)[0]
+        if False not in counts:
             break
-        rows = kept(rows.join(large.select("path", "key"), ["path", "key"]).select("fp", "path").distinct())
-        paths, level = [p for p in paths if p[0] in set(big)], level + 1
+        rows, level = again.where("not equal").select(*NODE, "fixed"), level + 1
     links = found[0]
     for more in found[1:]:
         links = links.unionByName(more)
     return links
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, radius: int = 2, bucket: int = BUCKET) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    features: Features = Features(),
+    radius: int = 2,
+    check: tuple[Features, int] | None = None,
+    bucket: int = BUCKET,
+) -> DataFrame:
     """doc_id, fp (long) and component_id per row of ``docs``.
 
-    component_id is the smallest doc_id that can be reached over links of at
-    most ``radius`` differing bits, its own included; rows without an id are
-    linked as well but give no component its name (null if nothing else does).
-    Repeated rows stay. Documents of equal fingerprints are one node, so a group
-    of exact copies, however large, costs as much as one document.
+    Documents link if the fingerprints of their ``features`` differ in at most
+    ``radius`` bits and, with ``check``, those of the check's features in at
+    most its number of bits. component_id is the smallest doc_id that can be
+    reached over links, its own included; rows without an id are linked as well
+    but name no component (null if nothing else does). Repeated rows stay.
+    Documents of equal fingerprints are one node, so a group of exact copies,
+    however large, costs as much as one document.
     """
-    rows = kept(fingerprints(docs, shingle))
-    nodes = kept(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    roots = components(links_within(nodes, radius, bucket))
-    named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
+    kinds = {"fp": features, "check": check[0]} if check else {"fp": features}
+    made = fingerprints(docs, kinds)
+    rows = kept(made if check else made.withColumn("check", F.lit(0).cast("bigint")))
+    distinct = rows.groupBy("fp", "check").agg(F.min("doc_id").alias("least_id"))
+    number = F.monotonically_increasing_id() if check else F.col("fp")
+    nodes = kept(distinct.withColumn("node", number))
+    roots = components(links_within(nodes, radius, check[1] if check else 64, bucket)).withColumnRenamed("node", "at")
+    named = kept(
+        nodes.join(roots, nodes["node"] == roots["at"], "left").select(
+            "fp", "check", "least_id", F.coalesce("root", "node").alias("root")
+        )
     )
-    named = kept(named)
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    return rows.join(named.select("fp", "root").join(names, "root"), "fp").select("doc_id", "fp", "component_id")
+    ids = named.select("fp", "check", "root").join(names, "root")
+    return rows.join(ids, ["fp", "check"]).select("doc_id", "fp", "component_id")
 
 
-def dedup(docs: DataFrame, shingle: int = 5, radius: int = 2, bucket: int = BUCKET) -> DataFrame:
+def dedup(docs: DataFrame, *similar, **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
 
-    All columns are kept. Of rows that repeat that doc_id one stays; rows
+    Arguments are those of ``near_duplicates``. All columns are kept. Of rows that repeat that doc_id one stays; rows
     without an id stay only if no document of their component has one, and then
     one of them. The rest is decided on narrow rows, texts are shuffled once.
     """
     numbered = kept(docs.withColumn("_row", F.monotonically_increasing_id()))
     pairs = near_duplicates(
-        numbered.drop("doc_id").select(F.col("_row").alias("doc_id"), "text"), shingle, radius, bucket
+        numbered.drop("doc_id").select(F.col("_row").alias("doc_id"), "text"), *similar, **options
     ).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
     ids = numbered.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_order"))
     chosen = (
