@@ -17,5 +17,8 @@ def norm(a: Column) -> Column:
 
 
 def unit_score(a: Column, unit: Column, digits: int = 6) -> Column:
-    """(1 + cos) / 2 against a vector of length 1, NULL when ``a`` has no length."""
+    """(1 + cos) / 2 against a vector of length 1, NULL when ``a`` has no length.
+
+    Not a number when ``a`` is not finite; callers leave such rows out.
+    """
     return F.round((1 + F.try_divide(dot(a, unit), norm(a))) / 2, digits)

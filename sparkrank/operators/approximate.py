@@ -33,8 +33,9 @@ def hyperplanes(dim: int, bits: int, bands: int, seed: int) -> np.ndarray:
 
 
 def centre(vectors: DataFrame, dim: int) -> list[float]:
-    """Mean vector: ``dim`` numbers, from one aggregate."""
-    means = vectors.agg(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(dim)])
+    """Mean of the finite vectors: ``dim`` numbers, from one aggregate."""
+    finite = F.forall("embedding", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    means = vectors.where(finite).agg(*[F.avg(F.get("embedding", F.lit(i)).cast("double")) for i in range(dim)])
     return [x or 0.0 for x in means.first()]
 
 
@@ -118,6 +119,8 @@ def search_vector_approx(
             candidates, num_candidates, ["query_id"], [F.col("shared").desc(), F.col("id").asc()]
         )
     need, _ = query_matrix_bytes(query_vectors, top_k)
+    if need == 0:
+        return search_vector(vectors, query_vectors, top_k, digits)
     if need <= query_bytes:
         rows = query_vectors.select("query_id", "embedding").collect()
         scored = score_pairs(candidates, vectors, rows, top_k, digits)
@@ -132,7 +135,7 @@ def search_vector_approx(
             .join(vectors.select("id", "embedding"), "id")
             .join(queries, "query_id")
             .select("query_id", "id", score.alias("score"))
-            .where(F.col("score").isNotNull())
+            .where(F.col("score").isNotNull() & ~F.isnan("score"))
         )
     hits = rank_hits(scored, top_k).persist()
     found = hits.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))

@@ -18,7 +18,8 @@ BATCH_SIZE = 32
 
 
 def combined_text(title: str = "title", description: str = "description") -> Column:
-    return F.concat(F.col(title), F.lit(". "), F.col(description))
+    """Title and description in one text; a missing one counts as empty."""
+    return F.concat(F.coalesce(title, F.lit("")), F.lit(". "), F.coalesce(description, F.lit("")))
 
 
 def embed(

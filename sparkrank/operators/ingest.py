@@ -39,6 +39,7 @@ def reject_reason(dim: int) -> Column:
         .when(vector.isNull(), "missing embedding")
         .when(F.size(vector) != dim, "wrong dimension")
         .when(F.exists(vector, lambda x: x.isNull() | F.isnan(x)), "not a number")
+        .when(F.exists(vector, lambda x: F.abs(x) == float("inf")), "not finite")
         .when(~F.exists(vector, lambda x: x != 0), "zero vector")
     )
 
@@ -48,13 +49,19 @@ def ingest(
 ) -> DataFrame:
     """Append one batch; returns its one-row stats (total, success, failed).
 
-    Rows need (id, seq) unique inside a batch if order matters; without ``seq``
-    an id may occur once per batch.
+    Rows of one id are ordered by ``seq``. Without that column nothing says
+    which row is newer, so all rows of an id that repeats are rejected.
     """
     docs = to_documents(batch)
+    reason = reject_reason(dim)
     if "seq" not in docs.columns:
-        docs = docs.withColumn("seq", F.lit(0).cast("bigint"))
-    checked = docs.withColumn("reason", reject_reason(dim))
+        repeated = docs.groupBy("id").count().where("count > 1").select(F.col("id").alias("_again"))
+        docs = docs.join(repeated, docs["id"] == repeated["_again"], "left").withColumn(
+            "seq", F.lit(0).cast("bigint")
+        )
+        reason = F.coalesce(reason, F.when(F.col("_again").isNotNull(), "duplicate id"))
+    checked = docs.withColumn("reason", reason).drop("_again")
+    docs = docs.drop("_again")
     if raise_on_error and not checked.where(F.col("reason").isNotNull()).isEmpty():
         raise RejectedRows("the batch holds invalid rows, nothing was written")
     path = f"{target.rstrip('/')}/batch={int(batch_no)}"

@@ -19,11 +19,14 @@ BLOCK_CELLS = 4_000_000  # similarities held at once in a task
 
 
 def _unit_rows(values) -> tuple[np.ndarray, np.ndarray]:
-    """(kept row numbers, unit vectors); vectors without length are left out."""
+    """(kept row numbers, unit vectors); vectors without a finite, positive length are left out."""
+    if len(values) == 0:
+        return np.empty(0, dtype=np.int64), np.empty((0, 0))
     m = np.asarray(values, dtype=np.float64).reshape(len(values), -1)
-    length = np.sqrt((m * m).sum(axis=1))
-    keep = np.flatnonzero(length > 0)
-    return keep, m[keep] / length[keep, None]
+    largest = np.abs(m).max(axis=1, initial=0.0)
+    keep = np.flatnonzero(np.isfinite(largest) & (largest > 0))
+    scaled = m[keep] / largest[keep, None]
+    return keep, scaled / np.sqrt((scaled * scaled).sum(axis=1))[:, None]
 
 
 class _TopK:
@@ -230,12 +233,17 @@ def search_vector(
 ) -> DataFrame:
     """(query_id, id, score, rank) with score (1 + cos) / 2.
 
+    Vectors that are zero or hold a non-finite component neither find nor are
+    found. Without a query there is no hit.
+
     ``query_vectors`` is (query_id, embedding). While the queries and their k
     best fit ``query_bytes`` they go to every task as one matrix and the vectors
     are scanned in place; a larger query table meets the vectors cell by cell.
     """
     need, dim = query_matrix_bytes(query_vectors, top_k)
     schema = _hit_schema(query_vectors, vectors)
+    if need == 0:
+        return rank_hits(vectors.sparkSession.createDataFrame([], schema), top_k)
     checked = assert_dimension(vectors, dim)
     rows = query_vectors.select("query_id", "embedding")
     if need <= query_bytes:

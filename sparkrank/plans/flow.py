@@ -1,6 +1,6 @@
 """From templates to metrics in stages that hand on written tables.
 
-generate -> embed -> ingest -> index -> evaluate. A stage named in ``skip``
+generate -> embed -> ingest -> index -> evaluate -> report. A stage named in ``skip``
 reuses the tables of an earlier run in the same folder.
 """
 
@@ -11,7 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.operators import embedding, fusion, generation, ingest, keyword, metrics, nearest
+from sparkrank.operators import (
+    embedding, fusion, generation, ingest, keyword, metrics, nearest, reports,
+)
 from sparkrank.operators.index import build_index, open_index
 from sparkrank.operators.reports import tag
 from sparkrank.sources.scratch import bucket_count, open_bucketed, write_bucketed, write_table
@@ -83,7 +85,7 @@ def run_flow(
     k: int = 10,
     skip: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
-    """Run the stages not named in ``skip`` and evaluate; returns hits, metrics and summaries."""
+    """Run the stages not named in ``skip``, evaluate and report; returns hits, metrics and reports."""
     unknown = set(skip) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
@@ -114,10 +116,18 @@ def run_flow(
     qrels = spark.read.parquet(f"{root}/qrels")
     hits = search_all(index, vectors, queries, query_vectors, root, k)
     per_query = write_table(metrics.evaluate(hits, qrels, queries, k), f"{root}/metrics")
-    return {
-        "docs": docs,
-        "hits": hits,
-        "metrics": per_query,
-        "by_method": metrics.summarize(per_query),
+    return {"docs": docs, "hits": hits, "metrics": per_query, **report(root, docs, hits, per_query)}
+
+
+def report(root: str, docs: DataFrame, hits: DataFrame, per_query: DataFrame) -> dict[str, DataFrame]:
+    """The last stage: summaries, improvements over BM25 and comparison tables, each written."""
+    by_method = write_table(metrics.summarize(per_query), f"{root}/reports/by_method")
+    tables = {
         "by_type": metrics.summarize(per_query, ("query_type", "method")),
+        "improvements": metrics.improvements(by_method),
+        "metrics_grid": reports.metrics_grid(by_method),
+        "side_by_side": reports.side_by_side_report(hits, docs),
+        "category_hits": reports.category_hits(hits, docs),
     }
+    written = {name: write_table(df, f"{root}/reports/{name}") for name, df in tables.items()}
+    return {"by_method": by_method, **written}

@@ -10,7 +10,6 @@ import re
 
 from sparkrank.functions import porter2
 from sparkrank.functions.text import STOP_WORDS, TOKEN_PATTERN
-from sparkrank.plans.registry import FILLED_QUERIES, NUM_QUERIES
 
 _RX = TOKEN_PATTERN.replace("'", "''")
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -93,7 +92,7 @@ CTES: dict[str, str] = {
         "from field_scores group by all", 100),
     # vectors
     "texts": """
-        select 'd' as side, id, title || '. ' || description as text from products
+        select 'd' as side, id, coalesce(title, '') || '. ' || coalesce(description, '') as text from products
         union all select 'q', query_id, query from asked""",
     "slots": f"""
         select side, id, ('0x' || substr(md5(tok), 1, 8))::bigint % 64 as slot,
@@ -409,7 +408,11 @@ def _stems(vocabulary: str) -> str:
     )
 
 
-def _sql(final: str, n: int | None = None, other: dict[str, str] | None = None) -> str:
+NUM_QUERIES = "(select count(*) from wishes)"
+FILLED_QUERIES = "(select count(*) + count(*) // 3 + 1 from wishes)"
+
+
+def _sql(final: str, n: str | None = None, other: dict[str, str] | None = None) -> str:
     """``final`` after the expressions it needs.
 
     ``n`` fills in the number of queries, ``other`` replaces expressions by name.
@@ -535,7 +538,7 @@ ORACLES: dict[str, str] = {
         "select w.query, w.category, x.product_type from wishes w "
         "join wanted x using (stage, template_no) "
         "where (x.category, x.product_type) not in (select (category, product_type) from stock)"),
-    "combined_text": _sql("select id, title || '. ' || description as text from products"),
+    "combined_text": _sql("select id, coalesce(title, '') || '. ' || coalesce(description, '') as text from products"),
     "embed_hashed": _sql("select id, pos, round(value, 6) as value from dense where side = 'd'"),
     "embed_queries": _sql(
         "select id as query_id, pos, round(value, 6) as value from dense where side = 'q'"),
@@ -630,5 +633,15 @@ ORACLES: dict[str, str] = {
     "chart_data_by_type": _sql("select query_type, " + ", ".join(
         f"round(coalesce(max(mrr) filter (method = '{m}'), 0), 6) as {m}" for m in _METHODS)
         + " from by_type group by query_type"),
+    "flow_improvements": _sql(
+        "select method, metric, round(improvement, 6) as improvement from change", FILLED_QUERIES, _GENERATED),
+    "flow_report": _sql(_grid(
+        5, 24, f"t || ' (' || case when method = 'vector' then {_SCORE3} else {_SCORE2} end || ')'"),
+        FILLED_QUERIES, _GENERATED),
+    "flow_category_hits": _sql(
+        "select query_id, method, category, count(*) as n, "
+        "count(*) over (partition by query_id, method) as categories "
+        "from hits join products using (id) where rank <= 5 group by query_id, method, category",
+        FILLED_QUERIES, _GENERATED),
     "flow_by_type": _sql(f"select query_type, method, {_ALL_ROUNDED} from by_type", FILLED_QUERIES, _GENERATED),
 }

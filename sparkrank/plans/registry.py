@@ -13,16 +13,13 @@ from sparkrank.operators import (
     approximate, embedding, fusion, generation, ingest, keyword, metrics, nearest, reports,
 )
 from sparkrank.operators import index as indexing
-from sparkrank.plans.flow import run_flow
 from sparkrank.plans.workspace import workspace
 from sparkrank.sources import catalog, standin
-from sparkrank.sources.scratch import scratch_root, spread
+from sparkrank.sources.scratch import scratch_root
 from sparkrank.streaming.ingest_stream import start_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 DIM = 64
-NUM_QUERIES = 450
-FILLED_QUERIES = 600
 
 REGISTRY: dict[str, Query] = {}
 
@@ -73,13 +70,13 @@ def scan_queries_qrels(spark, sf_dir):
 
 @register
 def embedded_only(spark, sf_dir):
-    kept = catalog.embedded_only(standin.embedded_products(spark, sf_dir))
+    kept = catalog.embedded_only(standin.embedded_products(spark, sf_dir, rated=False))
     return kept.select("id", "title", F.size("embedding").alias("dim"))
 
 
 @register
 def embedding_coverage(spark, sf_dir):
-    return catalog.embedding_coverage(standin.embedded_products(spark, sf_dir))
+    return catalog.embedding_coverage(standin.embedded_products(spark, sf_dir, rated=False))
 
 
 @register
@@ -101,7 +98,7 @@ def roundtrip_vectors(spark, sf_dir):
 
 @register
 def to_documents(spark, sf_dir):
-    docs = ingest.to_documents(standin.embedded_products(spark, sf_dir))
+    docs = ingest.to_documents(standin.embedded_products(spark, sf_dir, rated=False))
     return docs.select(
         "id", "title", "category", "brand", "price", "product_type",
         F.size("attributes").alias("attributes"),
@@ -176,13 +173,13 @@ def ingest_streaming(spark, sf_dir):
 @register
 def verify_ingest(spark, sf_dir):
     docs = ingest.current_catalog(_ingested(spark, sf_dir))
-    expected = catalog.embedded_only(standin.embedded_products(spark, sf_dir)).count()
+    expected = catalog.embedded_only(standin.embedded_products(spark, sf_dir, rated=False)).count()
     return ingest.verify_ingest(docs, expected)
 
 
 @register
 def sample_docs(spark, sf_dir):
-    return ingest.sample_documents(standin.products(spark, sf_dir).select("id", "title", "category"))
+    return ingest.sample_documents(standin.catalog(spark, sf_dir).select("id", "title", "category"))
 
 
 @register
@@ -229,35 +226,41 @@ def product_index(spark, sf_dir):
     return generation.product_index(workspace(spark, sf_dir).made_products)
 
 
-def _labelled(spark, sf_dir, num_queries):
+def _query_count(spark, sf_dir, filled: bool) -> int:
+    """As many queries as there are templates; ``filled``: a third more, made of product types."""
+    ws = workspace(spark, sf_dir)
+    return ws.filled_queries if filled else ws.query_templates.count()
+
+
+def _labelled(spark, sf_dir, filled: bool):
     ws = workspace(spark, sf_dir)
     return generation.generate_queries(
-        ws.templates, ws.query_templates, ws.product_index, num_queries
+        ws.templates, ws.query_templates, ws.product_index, _query_count(spark, sf_dir, filled)
     )
 
 
 @register
 def gen_queries(spark, sf_dir):
-    queries, qrels = _labelled(spark, sf_dir, NUM_QUERIES)
+    queries, qrels = _labelled(spark, sf_dir, filled=False)
     sizes = qrels.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_relevant"))
     return queries.join(sizes, "query_id")
 
 
 @register
 def sample_qrels(spark, sf_dir):
-    return _labelled(spark, sf_dir, NUM_QUERIES)[1]
+    return _labelled(spark, sf_dir, filled=False)[1]
 
 
 @register
 def gen_filler_queries(spark, sf_dir):
-    queries, qrels = _labelled(spark, sf_dir, FILLED_QUERIES)
+    queries, qrels = _labelled(spark, sf_dir, filled=True)
     sizes = qrels.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_relevant"))
     return queries.where(F.col("query_type") == "generated").join(sizes, "query_id")
 
 
 @register
 def query_type_counts(spark, sf_dir):
-    return catalog.query_type_counts(_labelled(spark, sf_dir, FILLED_QUERIES)[0])
+    return catalog.query_type_counts(_labelled(spark, sf_dir, filled=True)[0])
 
 
 @register
@@ -271,7 +274,7 @@ def gen_unmatched_targets(spark, sf_dir):
 
 @register
 def combined_text(spark, sf_dir):
-    return standin.products(spark, sf_dir).select("id", embedding.combined_text().alias("text"))
+    return standin.catalog(spark, sf_dir).select("id", embedding.combined_text().alias("text"))
 
 
 def _long(vectors: DataFrame, key: str) -> DataFrame:
@@ -282,7 +285,7 @@ def _long(vectors: DataFrame, key: str) -> DataFrame:
 
 @register
 def embed_hashed(spark, sf_dir):
-    docs = standin.products(spark, sf_dir).select("id", embedding.combined_text().alias("text"))
+    docs = standin.catalog(spark, sf_dir).select("id", embedding.combined_text().alias("text"))
     return _long(embedding.hashed_embedding(docs, "id", "text"), "id")
 
 
@@ -305,9 +308,7 @@ def _open_length_encoder():
 
 @register
 def embed_plugin(spark, sf_dir):
-    docs = spread(
-        standin.products(spark, sf_dir).select("id", embedding.combined_text().alias("text")), "id"
-    )
+    docs = standin.catalog(spark, sf_dir).select("id", embedding.combined_text().alias("text"))
     encoded = embedding.embed(docs, "text", _open_length_encoder)
     return encoded.select("id", F.posexplode("embedding").alias("pos", "value"))
 
@@ -315,7 +316,7 @@ def embed_plugin(spark, sf_dir):
 @register
 def attach_embeddings(spark, sf_dir):
     vectors = standin.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    joined = embedding.attach_embeddings(standin.products(spark, sf_dir), vectors)
+    joined = embedding.attach_embeddings(standin.catalog(spark, sf_dir), vectors)
     return joined.select(
         "id", "title", F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first_value")
     )
@@ -336,9 +337,7 @@ def embedding_preview(spark, sf_dir):
 
 
 def _texts(spark, sf_dir):
-    return spread(
-        standin.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text"), "id"
-    )
+    return standin.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 @register
@@ -375,7 +374,7 @@ def term_idf(spark, sf_dir):
 
 @register
 def filter_keyword(spark, sf_dir):
-    found = indexing.filter_keyword(standin.products(spark, sf_dir), category="fr", brand="src7")
+    found = indexing.filter_keyword(standin.catalog(spark, sf_dir), category="fr", brand="src7")
     return found.select("id", "title", "category", "brand")
 
 
@@ -387,24 +386,24 @@ def filter_range(spark, sf_dir):
 
 @register
 def filter_attribute(spark, sf_dir):
-    found = indexing.filter_attribute(standin.products(spark, sf_dir), "source", "src3")
+    found = indexing.filter_attribute(standin.catalog(spark, sf_dir), "source", "src3")
     return found.select("id", "title")
 
 
 @register
 def facet_counts(spark, sf_dir):
-    return indexing.facet_counts(standin.products(spark, sf_dir), "category", "brand")
+    return indexing.facet_counts(standin.catalog(spark, sf_dir), "category", "brand")
 
 
 @register
 def sort_title_keyword(spark, sf_dir):
-    titled = indexing.title_keyword(standin.products(spark, sf_dir))
+    titled = indexing.title_keyword(standin.catalog(spark, sf_dir))
     return titled.select("id", "title_keyword").orderBy("title_keyword", "id")
 
 
 @register
 def attribute_facets(spark, sf_dir):
-    return indexing.attribute_facets(standin.products(spark, sf_dir))
+    return indexing.attribute_facets(standin.catalog(spark, sf_dir))
 
 
 # --- retrieval ---------------------------------------------------------------
@@ -588,9 +587,19 @@ def chart_data_by_type(spark, sf_dir):
 @register
 def flow_by_type(spark, sf_dir):
     """All stages on the generated catalog: products, queries, vectors, ingest, index, metrics."""
-    ws = workspace(spark, sf_dir)
-    n = standin.table(spark, sf_dir, "part").count()
-    run = run_flow(
-        spark, scratch_root(spark), ws.templates, ws.query_templates, n, FILLED_QUERIES, stem=False
-    )
-    return _rounded(run["by_type"])
+    return _rounded(workspace(spark, sf_dir).flow["by_type"])
+
+
+@register
+def flow_improvements(spark, sf_dir):
+    return _rounded(workspace(spark, sf_dir).flow["improvements"])
+
+
+@register
+def flow_report(spark, sf_dir):
+    return workspace(spark, sf_dir).flow["side_by_side"]
+
+
+@register
+def flow_category_hits(spark, sf_dir):
+    return workspace(spark, sf_dir).flow["category_hits"]

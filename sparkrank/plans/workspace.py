@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sparkrank.operators import approximate, embedding, fusion, generation, keyword, metrics, nearest
 from sparkrank.operators import index as indexing
 from sparkrank.operators.reports import tag
+from sparkrank.plans.flow import run_flow
 from sparkrank.sources import standin
 from sparkrank.sources.scratch import bucket_count, scratch_root, write_bucketed, write_table
 
@@ -130,17 +131,41 @@ class Workspace:
     def product_index(self) -> DataFrame:
         return self._keep(generation.product_index(self.made_products), "product_index")
 
+    @cached_property
+    def filled_queries(self) -> int:
+        """A third more queries than templates."""
+        n = self.query_templates.count()
+        return n + n // 3 + 1
+
+    @cached_property
+    def flow(self) -> dict[str, DataFrame]:
+        """All stages on the generated catalog, with as many products as ``part`` has rows."""
+        n = standin.table(self.spark, self.sf_dir, "part").count()
+        return run_flow(
+            self.spark, f"{self.root}/flow", self.templates, self.query_templates, n,
+            self.filled_queries, stem=False,
+        )
+
     @cached_property
     def metrics(self) -> DataFrame:
         return self._keep(metrics.evaluate(self.hits, self.qrels, self.queries), "metrics")
 
 
-_OPEN: dict[tuple[str, str, bool], Workspace] = {}
+INPUTS = ("documents", "benchmark", "labels", "part", "region")
+_OPEN: dict[tuple[str, str, bool], tuple[tuple[str, ...], Workspace]] = {}
+
+
+def _files(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    return tuple(sorted(f for name in INPUTS for f in standin.table(spark, sf_dir, name).inputFiles()))
 
 
 def workspace(spark: SparkSession, sf_dir: str, stem: bool = False) -> Workspace:
-    """The workspace of this application and data folder."""
+    """The workspace of this application and data folder, a new one if its files have changed.
+
+    Files are told apart by name: writers give new ones with every write.
+    """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), stem)
-    if key not in _OPEN:
-        _OPEN[key] = Workspace(spark, sf_dir, stem)
-    return _OPEN[key]
+    files = _files(spark, sf_dir)
+    if key not in _OPEN or _OPEN[key][0] != files:
+        _OPEN[key] = (files, Workspace(spark, sf_dir, stem))
+    return _OPEN[key][1]

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from sparkrank.functions.sizing import measured_bytes
 
 BUCKET_BYTES = 512 * 1024 * 1024
+#: Spark allows 100,000; beyond this number buckets grow instead.
+MAX_BUCKETS = 50_000
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -84,7 +86,7 @@ def bucket_count(df: DataFrame) -> int:
     """Buckets for a table and all that is derived from it: one per core, or more if it is large."""
     spark = df.sparkSession
     by_size = math.ceil(measured_bytes(df) / BUCKET_BYTES)
-    return max(spark.sparkContext.defaultParallelism, by_size)
+    return min(MAX_BUCKETS, max(spark.sparkContext.defaultParallelism, by_size))
 
 
 def spread(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:

@@ -6,7 +6,10 @@ into title and body, and each item of ``benchmark`` is one query.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from itertools import islice
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrank.functions.sizing import BROADCAST_BYTES, broadcast_if_within, measured_bytes
@@ -16,6 +19,7 @@ from sparkrank.functions.text import tokens, without_stop_words
 from sparkrank.operators.index import Index
 
 MAX_DOMAIN = 10_000
+SHORT_BLOCK = 200
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +43,11 @@ def as_products(documents: DataFrame) -> DataFrame:
     )
 
 
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without a rating: no join, so a scan reads only what is asked for."""
+    return as_products(table(spark, sf_dir, "documents")).withColumn("rating", F.lit(None).cast("double"))
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog of all documents; the rating is the quality label, where there is one."""
     ratings = table(spark, sf_dir, "labels").select(
@@ -47,10 +56,11 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_products(table(spark, sf_dir, "documents")).join(ratings, "id", "left")
 
 
-def embedded_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def embedded_products(spark: SparkSession, sf_dir: str, rated: bool = True) -> DataFrame:
     """Catalog with the precomputed vectors; NULL where a document has none."""
+    docs = products(spark, sf_dir) if rated else catalog(spark, sf_dir)
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
-    return products(spark, sf_dir).join(vectors, "id", "left")
+    return docs.join(vectors, "id", "left")
 
 
 def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,19 +73,36 @@ def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _blocks(queries: DataFrame) -> Iterator[list[Row]]:
+    rows = queries.toLocalIterator()
+    while block := list(islice(rows, SHORT_BLOCK)):
+        yield block
+
+
+def _containing(body: DataFrame, block: list[Row]) -> DataFrame:
+    """(query_id, id) of the texts that contain a query of ``block``, in one pass over them."""
+    asked = F.array(*[F.struct(F.lit(r["query_id"]).alias("query_id"), F.lit(r["query"]).alias("query")) for r in block])
+    hits = F.filter(asked, lambda q: F.contains(F.col("body"), q["query"]))
+    return body.select("id", F.explode(hits).alias("q")).select("q.query_id", "id")
+
+
 def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFrame:
     """(query_id, id) where the text of the document contains the text of the query.
 
     ``index`` holds the unstemmed tokens of ``docs``. A document that contains a
     text has all its inner tokens, so the rarest of them is looked up in the
     postings and only the documents found there are compared in full. The outer
-    tokens are left out: they may be parts of longer words of the document.
+    tokens are left out: they may be parts of longer words of the document. A
+    query without an inner token that is no stop word is looked for in all
+    texts, ``SHORT_BLOCK`` such queries in a pass.
     """
     inner = tokens(F.col("query"))
     inner = without_stop_words(F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0))))
-    checked = F.when(F.size(inner) > 0, inner).otherwise(
-        F.raise_error(F.lit("a passage needs an inner token that is no stop word"))
-    )
+    body = docs.select("id", F.concat_ws("\n", "title", "description").alias("body"))
+    short = queries.where(F.col("query").isNotNull() & (F.size(inner) == 0)).select("query_id", "query")
+    scanned = [_containing(body, block) for block in _blocks(short)]
+    queries = queries.where(F.size(inner) > 0)
+    checked = inner
     # a query of n bytes has at most n / 2 words of some 32 bytes with their id
     small = measured_bytes(queries) * 16 <= BROADCAST_BYTES
     hint = F.broadcast if small else lambda df: df
@@ -92,13 +119,15 @@ def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFram
         index.postings.select("id", "tok").join(hint(rarest), "tok")
         .select("query_id", "id").distinct().persist()
     )
-    return (
-        docs.select("id", F.concat_ws("\n", "title", "description").alias("body"))
-        .join(broadcast_if_within(candidates), "id")
+    found = (
+        body.join(broadcast_if_within(candidates), "id")
         .join(hint(queries.select("query_id", "query")), "query_id")
         .where(F.contains("body", F.col("query")))
         .select("query_id", "id")
     )
+    for more in scanned:
+        found = found.unionByName(more)
+    return found
 
 
 def product_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from sparkrank.plans.oracles import ORACLES
+from sparkrank.plans.registry import REGISTRY
 
 SF_DIR = "/root/testdata/sf0.001"
 duckdb = pytest.importorskip("duckdb")
@@ -20,7 +21,8 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTRY) == set(ORACLES)
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
