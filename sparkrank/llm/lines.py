@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkrank.llm.shared import Batches, kept, per_batch, replaced, texts, width
+from sparkrank.llm.shared import Batches, in_batches, kept, per_batch, replaced, texts, width
 
 SPACES = b" \t\n\r\x0b\x0c"
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -78,7 +78,7 @@ def line_hashes(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                 h1, h2, at, *rest = (pa.array(c, pa.int64()) for c in zip(*found, strict=True))
                 yield pa.RecordBatch.from_arrays([h1, h2, batch.column(0).take(at), *rest], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(
         make, f"h1 bigint, h2 bigint, doc_id {kind}, row bigint, pos bigint, lines bigint"
     )
 

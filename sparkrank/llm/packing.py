@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkrank.llm.shared import Batches, kept, texts, width
+from sparkrank.llm.shared import Batches, in_batches, kept, texts, width
 
 TOKENS = 2048
 #: Words kept per generation in a Python worker, about 100 MB in the two.
@@ -135,7 +135,7 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, tokens: int = TOKENS,
                     names=names,
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return in_batches(docs.select("doc_id", "text")).mapInArrow(
         make, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
     )
 

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from sparkrank.sources.scratch import scratch_root, write_table
 
 Batches = Iterator[pa.RecordBatch]
-#: Rows that a Python worker unpacks at a time.
-ROWS = 1024
+#: Rows of text in an Arrow batch, and rows that a Python worker unpacks at a time.
+BATCH, ROWS = 1000, 128
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +42,7 @@ def per_batch(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch], s
             for at in range(0, batch.num_rows, ROWS):
                 yield make(batch.slice(at, ROWS))
 
-    return df.mapInArrow(run, schema)
+    return in_batches(df).mapInArrow(run, schema)
 
 
 def texts(column: pa.Array) -> list[str]:
@@ -50,6 +50,18 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``; from now on the session hands rows to Python in batches of at most ``BATCH``.
+
+    The usual 10,000 rows are too many where a row holds a whole document.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH:
+        conf.set(name, BATCH)
+    return df
+
+
 def replaced(batch: pa.RecordBatch, name: str, values: list[str | None]) -> pa.RecordBatch:
     """``batch`` with other strings in one column."""
     at = batch.schema.get_field_index(name)

@@ -14,19 +14,17 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sparkrank.llm.components import components
-from sparkrank.llm.shared import kept, per_batch
+from sparkrank.llm.shared import Batches, kept, per_batch, width
 
 SEED = 42
-#: A bucket of up to this many fingerprints is searched in one task; it is 256 KB.
-BUCKET = 32_768
+#: A bucket of up to this many fingerprints is searched in one task; it is 3 MB.
+BUCKET = 65_536
 HASHED = 1 << 16
 
 
@@ -67,12 +65,12 @@ def fingerprints(docs: DataFrame, kinds: dict[str, Features], key: str = "doc_id
     """
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        split = [words_of(t) for t in batch.column(1).to_pylist()]
-        made = [
-            np.fromiter((fingerprint_of(w, f) for w in split), np.uint64, len(split)).view(np.int64)
-            for f in kinds.values()
-        ]
-        return pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, made)], names=[key, *kinds])
+        made = np.zeros((len(kinds), batch.num_rows), np.uint64)
+        for at, text in enumerate(batch.column(1).to_pylist()):
+            words = words_of(text)
+            made[:, at] = [fingerprint_of(words, f) for f in kinds.values()]
+        columns = [pa.array(row) for row in made.view(np.int64)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], names=[key, *kinds])
 
     kind = docs.schema[key].dataType.simpleString()
     columns = ", ".join(f"`{name}` bigint" for name in kinds)
@@ -97,9 +95,6 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-LINK = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
-
-
 def spanning_links(
     nodes: np.ndarray, fps: np.ndarray, checks: np.ndarray, radius: int, check_radius: int
 ) -> list[tuple[int, int]]:
@@ -122,17 +117,42 @@ def spanning_links(
 
 
 def _forest(radius: int, check_radius: int):
-    @F.pandas_udf(T.ArrayType(LINK))
-    def forest(nodes: pd.Series, fps: pd.Series, checks: pd.Series) -> pd.Series:
-        rows = (map(np.asarray, row) for row in zip(nodes, fps, checks, strict=True))
-        return pd.Series([spanning_links(*row, radius, check_radius) for row in rows])
-
-    return forest
+    """Links of the buckets of a partition that is sorted by bucket; one bucket is held at a time."""
+
+    def links_of(nodes: np.ndarray, fps: np.ndarray, checks: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
+        sizes = np.diff(starts)
+        a = starts[:-1][sizes == 2]
+        near = np.bitwise_count((fps[a] ^ fps[a + 1]).view(np.uint64)) <= radius
+        if check_radius < 64:
+            near &= np.bitwise_count((checks[a] ^ checks[a + 1]).view(np.uint64)) <= check_radius
+        links = list(zip(nodes[a[near]].tolist(), nodes[a[near] + 1].tolist(), strict=True))
+        for at in np.flatnonzero(sizes > 2):
+            own = slice(starts[at], starts[at + 1])
+            links += spanning_links(nodes[own], fps[own], checks[own], radius, check_radius)
+        return links
+
+    def run(batches: Batches) -> Batches:
+        held = np.zeros((5, 0), np.int64)
+        for batch in batches:
+            held = np.hstack([held, np.stack([c.to_numpy() for c in batch.columns])])
+            node, fp, check, fixed, part = held
+            key = fp & fixed
+            new = np.flatnonzero((np.diff(key) != 0) | (np.diff(fixed) != 0) | (np.diff(part) != 0)) + 1
+            if len(new):
+                yield _links(links_of(node, fp, check, np.concatenate([[0], new])))
+                held = held[:, new[-1] :]
+        if held.shape[1]:
+            yield _links(links_of(*held[:3], np.array([0, held.shape[1]])))
+
+    return run
+
+
+def _links(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*links, strict=True) if links else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
 NODE = ["node", "fp", "check"]
-#: A bucket: the bits it fixes, their values, and a part of it (0: all of it).
-PLACE = ["fixed", "key", "part"]
 
 
 def _tables(rows: DataFrame, radius: int, level: int) -> DataFrame:
@@ -143,42 +163,29 @@ def _tables(rows: DataFrame, radius: int, level: int) -> DataFrame:
     """
     masks = F.array(*[F.lit(_signed(m)) for m in covering_masks(radius, level)])
     more = rows.select(*NODE, "fixed", F.explode(masks).alias("mask"))
-    fixed = F.col("fixed").bitwiseOR(F.col("mask"))
-    found = more.select(*NODE, fixed.alias("fixed"))
+    found = more.select(*NODE, F.col("fixed").bitwiseOR(F.col("mask")).alias("fixed"))
     found = found if level == 0 else found.distinct()
-    return found.select(*NODE, "fixed", F.col("fp").bitwiseAND(F.col("fixed")).alias("key"), F.lit(0).alias("part"))
+    return found.withColumn("part", F.lit(0).cast("bigint"))
 
 
 def _pairs_of_parts(rows: DataFrame, largest: int, bucket: int) -> DataFrame:
     """Every row once per pair of parts of its bucket that it is in."""
     parts = max(2, -(-4 * largest // bucket))
-    own = F.pmod(F.xxhash64("node"), F.lit(parts)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.lit(parts))
     others = F.filter(F.sequence(F.lit(0), F.lit(parts - 1)), lambda o: o != own)
-    pairs = F.transform(others, lambda o: F.least(own, o) * parts + F.greatest(own, o) + 1)
-    return rows.select(*NODE, "fixed", "key", F.explode(pairs).alias("part"))
-
-
-def _search(rows: DataFrame, radius: int, check_radius: int, bucket: int | None) -> tuple[list[DataFrame], DataFrame]:
-    """Links within the buckets of up to ``bucket`` rows, and the sizes of all with two or more."""
-    member = F.struct(*NODE)
-    sizes = kept(
-        rows.groupBy(*PLACE)
-        .agg(
-            F.count("*").alias("n"),
-            F.min(member).alias("lo"),
-            F.max(member).alias("hi"),
-            (F.min("fp") == F.max("fp")).alias("equal"),
-        )
-        .where("n > 1")
-    )
-    near = F.bit_count(F.col("lo.fp").bitwiseXOR(F.col("hi.fp"))) <= radius
-    if check_radius < 64:
-        near &= F.bit_count(F.col("lo.check").bitwiseXOR(F.col("hi.check"))) <= check_radius
-    two = sizes.where((F.col("n") == 2) & near).select(F.col("lo.node").alias("a"), F.col("hi.node").alias("b"))
-    several = sizes.where((F.col("n") > 2) & (F.lit(bucket is None) | (F.col("n") <= F.lit(bucket or 0))))
-    gathered = rows.join(several.select(*PLACE), PLACE).groupBy(*PLACE).agg(F.collect_list(member).alias("m"))
-    forest = _forest(radius, check_radius)("m.node", "m.fp", "m.check")
-    return [two, gathered.select(F.explode(forest).alias("e")).select("e.a", "e.b")], sizes
+    pairs = F.transform(others, lambda o: (F.least(own, o) * parts + F.greatest(own, o) + 1).cast("bigint"))
+    return rows.select(*NODE, "fixed", F.explode(pairs).alias("part"))
+
+
+def _key() -> Column:
+    return F.col("fp").bitwiseAND(F.col("fixed")).alias("key")
+
+
+def _search(rows: DataFrame, radius: int, check_radius: int) -> DataFrame:
+    """Links within the buckets of ``rows``, each searched in one task."""
+    dealt = rows.repartition(width(rows.sparkSession), "fixed", "part", _key())
+    ordered = dealt.sortWithinPartitions("fixed", "part", _key()).select(*NODE, "fixed", "part")
+    return ordered.mapInArrow(_forest(radius, check_radius), "a bigint, b bigint")
 
 
 def links_within(nodes: DataFrame, radius: int, check_radius: int = 64, bucket: int = BUCKET) -> DataFrame:
@@ -186,27 +193,33 @@ def links_within(nodes: DataFrame, radius: int, check_radius: int = 64, bucket:
 
     ``nodes`` are different (node, fp, check), all longs; a pair links if its fp
     differ in at most ``radius`` bits and its check in at most ``check_radius``.
-    Every node goes to its bucket in each covering table; a bucket's size is
-    counted first. Buckets of two are compared in place, those up to ``bucket``
-    are searched in one task that returns a spanning forest of what links. A
-    larger bucket is split again by a covering family, which fixes half of its
-    free bits, so no pair is lost and no task holds more. If all its fp are equal
-    (with very many different checks) it is cut into parts of even size instead,
-    and each pair of parts is searched.
+    Every node goes to its bucket in each covering table. Sizes are counted
+    first, on keys alone and with partial sums. A bucket of up to ``bucket``
+    nodes is searched in one task, which returns a spanning forest of what
+    links. A larger one is split again by a covering family, which fixes half of
+    its free bits, so no pair is lost and no task holds more. If all its fp are
+    equal (with very many different checks) it is cut into parts of even size
+    instead, and each pair of parts is searched.
     """
     rows, level, found = nodes.select(*NODE, F.lit(0).cast("bigint").alias("fixed")), 0, []
     while True:
         rows = _tables(rows, radius, level)
-        links, sizes = _search(rows, radius, check_radius, bucket)
-        found += links
-        large = sizes.where(F.col("n") > bucket)
+        large = kept(
+            rows.groupBy("fixed", _key())
+            .agg(F.count("*").alias("n"), (F.min("fp") == F.max("fp")).alias("equal"))
+            .where(F.col("n") > bucket)
+        )
         counts = {r["equal"]: r["n"] for r in large.groupBy("equal").agg(F.max("n").alias("n")).collect()}
         if not counts:
+            found.append(_search(rows, radius, check_radius))
             break
-        again = kept(rows.join(large.select(*PLACE, "equal"), PLACE).select(*NODE, "fixed", "key", "equal"))
+        keyed = rows.withColumn("key", _key())
+        small = keyed.join(large, ["fixed", "key"], "left_anti")
+        found.append(_search(small, radius, check_radius))
+        again = kept(keyed.join(large, ["fixed", "key"]).select(*NODE, "fixed", "equal"))
         if True in counts:
             parts = _pairs_of_parts(again.where("equal"), counts[True], bucket)
-            found += _search(parts, radius, check_radius, None)[0]
+            found.append(_search(parts, radius, check_radius))
         if False not in counts:
             break
         rows, level = again.where("not equal").select(*NODE, "fixed"), level + 1
