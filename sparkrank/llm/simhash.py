@@ -80,13 +80,15 @@ def fingerprints(docs: DataFrame, kinds: dict[str, Features], key: str = "doc_id
 def covering_masks(radius: int, level: int = 0) -> list[int]:
     """2^(radius + 1) - 1 masks of 64 bits; see the module's text.
 
-    Codes are dealt out in turn over a shuffled order of the bits (``level``
-    seeds it), so each table keeps a bit more than half of them.
+    Codes are dealt out from the largest down, and again when used up, over a
+    shuffled order of the bits (``level`` seeds it): up to a radius of 6 each
+    table then keeps half of the bits or a few more. Beyond, codes are drawn.
     """
-    bits = np.random.default_rng(SEED + level).permutation(64).tolist()
-    codes = (1 << radius + 1) - 1
+    rng = np.random.default_rng(SEED + level)
+    bits, codes = rng.permutation(64).tolist(), (1 << radius + 1) - 1
+    own = [codes - at % codes for at in range(64)] if radius <= 6 else (1 + rng.choice(codes, 64, False)).tolist()
     return [
-        sum(1 << bit for at, bit in enumerate(bits) if (v & (at % codes + 1)).bit_count() & 1)
+        sum(1 << bit for bit, code in zip(bits, own, strict=True) if (v & code).bit_count() & 1)
         for v in range(1, codes + 1)
     ]
 
