@@ -206,6 +206,12 @@ def links_within(nodes: DataFrame, radius: int, check_radius: int = 64, bucket:
     rows, level, found = nodes.select(*NODE, F.lit(0).cast("bigint").alias("fixed")), 0, []
     while True:
         rows = _tables(rows, radius, level)
+        # Counts by a hash of the bucket are never too low, so none above the
+        # bound means no large bucket; only else are buckets counted exactly.
+        hashed = rows.groupBy(F.xxhash64("fixed", "part", _key()).alias("h")).count()
+        if hashed.where(F.col("count") > bucket).isEmpty():
+            found.append(_search(rows, radius, check_radius))
+            break
         large = kept(
             rows.groupBy("fixed", _key())
             .agg(F.count("*").alias("n"), (F.min("fp") == F.max("fp")).alias("equal"))
