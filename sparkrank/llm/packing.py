@@ -36,7 +36,6 @@ from sparkrank.llm.shared import Batches, in_batches, kept, texts, width
 TOKENS = 2048
 #: Words kept per generation in a Python worker, about 100 MB in the two.
 WORDS = 400_000
-SPLIT = str.maketrans("\n\t", "  ")
 #: A word of Latin letters and the punctuation after it, which the tokenizer cuts
 #: off; without the one letter that lower-cases to two code points.
 SIGNS = re.compile("[!-&(-/:-@\\[-`{-~]+")
@@ -111,7 +110,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Data per text; the texts of a call should fit in memory some ten times."""
-        split = [text.translate(SPLIT).split(" ") for text in texts]
+        split = [text.replace("\n", " ").replace("\t", " ").split(" ") for text in texts]
         old, new = self.old, self.new
         missing = set()
         for words in split:
