@@ -157,7 +157,7 @@ def search(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block: in
     """query_id, rank, vec_id, score: the ``k`` largest integer products per query row.
 
     Candidates are all rows but those of the query's id; ties go to the smaller
-    vec_id. ``is_query`` is a condition on vec_id. Buckets are the Arrow batches
+    vec_id. Products are exact; one beyond 64 bits counts as the largest such number. ``is_query`` is a condition on vec_id. Buckets are the Arrow batches
     of partitions sorted by length; queries pass the driver in blocks of
     ``block`` rows, each of which reads the sorted vectors once.
     """

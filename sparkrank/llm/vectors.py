@@ -49,7 +49,7 @@ def representatives(rows: DataFrame, most: int) -> DataFrame:
 
 def matrix(column: pa.Array, dim: int) -> np.ndarray:
     """Rows of a list column as doubles."""
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
 
 
 def query_blocks(queries: DataFrame, block: int = BLOCK) -> Iterator[Queries]:
