@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkrank.llm.shared import kept, per_batch, remainder, texts
+from sparkrank.llm.shared import kept, per_batch, remainder, smallest, texts
 
 WORD = re.compile(r"\w+")
 #: Bounds of the training sample: distinct texts, those with the smallest hashes.
@@ -130,7 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
 
     def drawn(rows: DataFrame, n: int, positive: bool) -> DataFrame:
         once = rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"))
-        return once.orderBy("h").limit(n).select("doc_id", F.lit(positive).alias("positive"))
+        return smallest(kept(once), n).select("doc_id", F.lit(positive).alias("positive"))
 
     chosen = drawn(narrow.join(toxic_ids, "doc_id", "left_semi"), positives, True).unionByName(
         drawn(narrow, unlabelled, False)

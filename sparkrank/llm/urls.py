@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrank.llm.shared import per_batch
+from sparkrank.llm.shared import kept, per_batch, smallest
 
 #: (verdict, rule): host, then the start of the path.
 RULES = (
@@ -196,7 +196,7 @@ def fit(pages: DataFrame, rules: Rules, sample: int = SAMPLE) -> Trees:
         for url in batch.column(0).to_pylist():
             host, path, _ = split(url)
             if found := rules.fit(host, path):
-                key = xxhash.xxh64_intdigest(url.encode("utf-8", "surrogatepass")) >> 1
+                key = xxhash.xxh64_intdigest(url.encode("utf-8", "surrogatepass")) - (1 << 63)
                 rows.append((key, found[1] == "allow", suffix(host), features(url)))
         columns = list(zip(*rows, strict=True)) or [()] * 4
         kinds = [pa.int64(), pa.bool_(), pa.string(), pa.list_(pa.float64())]
@@ -205,7 +205,7 @@ def fit(pages: DataFrame, rules: Rules, sample: int = SAMPLE) -> Trees:
         )
 
     labelled = per_batch(pages.select("url"), make, "h bigint, allow boolean, suffix string, x array<double>")
-    chosen = labelled.dropDuplicates(["h"]).orderBy("h").limit(sample).toPandas()
+    chosen = smallest(kept(labelled.dropDuplicates(["h"])), sample).toPandas()
     return grow([list(v) for v in chosen["x"]], list(chosen["suffix"]), chosen["allow"].to_numpy(bool))
 
 
