@@ -271,6 +271,15 @@ def near_duplicates(
     return rows.join(ids, ["fp", "check"]).select("doc_id", "fp", "component_id")
 
 
+def one_of_each(numbered: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Of each _group in ``pairs(_row, _group)`` the row of ``numbered`` with the smallest doc_id, without _row."""
+    ids = numbered.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_order"))
+    chosen = (
+        pairs.join(ids, "_row").groupBy("_group").agg(F.min("_order").alias("_order")).select(F.col("_order._row").alias("_row"))
+    )
+    return numbered.join(chosen, "_row", "left_semi").drop("_row")
+
+
 def dedup(docs: DataFrame, *similar, **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
 
@@ -282,11 +291,7 @@ def dedup(docs: DataFrame, *similar, **options) -> DataFrame:
     pairs = near_duplicates(
         numbered.drop("doc_id").select(F.col("_row").alias("doc_id"), "text"), *similar, **options
     ).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    ids = numbered.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_order"))
-    chosen = (
-        pairs.join(ids, "_row").groupBy("_group").agg(F.min("_order").alias("_order")).select(F.col("_order._row").alias("_row"))
-    )
-    return numbered.join(chosen, "_row", "left_semi").drop("_row")
+    return one_of_each(numbered, pairs)
 
 
 def hexadecimal(fp: Column) -> Column:
