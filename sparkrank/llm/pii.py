@@ -51,7 +51,21 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 #: Sixteen digits or more of a chain; shorter chains cannot pass.
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9]){15,}+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Z0-9])")
+#: Only the head of a number; what follows it may belong to the text.
+IBAN = re.compile(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?=\x20?[A-Z0-9])")
+IBAN_REST = re.compile(r"(?:\x20?[A-Z0-9]){11,30}+")
+IBAN_END = re.compile(r"[A-Z0-9](?![A-Z0-9])")
+#: Lengths by country, blanks left out.
+IBAN_LENGTH = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
 
@@ -104,11 +118,30 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
             yield m.span()
 
 
+def _iban_end(text: str, start: int) -> int | None:
+    """Where the number that begins at ``start`` ends, if one does.
+
+    It ends where a run of its characters does. The length of its country goes
+    first, then the longest run; a country without one may end at any.
+    """
+    rest = IBAN_REST.match(text, start + 4)
+    if not rest:
+        return None
+    ends = [m.end() for m in IBAN_END.finditer(text[start : rest.end() + 1]) if m.end() <= rest.end() - start]
+    codes = {start + e: code for e in reversed(ends) if 15 <= len(code := text[start : start + e].replace(" ", "")) <= 34}
+    if length := IBAN_LENGTH.get(text[start : start + 2]):
+        longest = next(iter(codes), None)
+        codes = {e: c for e, c in codes.items() if len(c) == length} | {e: c for e, c in codes.items() if e == longest}
+    return next((e for e, code in codes.items() if mod97(code)), None)
+
+
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in IBAN.finditer(text):
-        code = m[0].replace(" ", "")
-        if 15 <= len(code) <= 34 and mod97(code):
-            yield m.span()
+    at = 0
+    while m := IBAN.search(text, at):
+        end = _iban_end(text, m.start())
+        if end:
+            yield m.start(), end
+        at = end or m.end()
 
 
 FINDERS = {

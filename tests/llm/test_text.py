@@ -53,6 +53,28 @@ def test_long_runs_take_linear_time(text):
     pii.spans_of(text)
 
 
+IBANS = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947", "FR1420041010050500013M02606"]
+
+
+@pytest.mark.parametrize("after", ["", ".", ", x", " thanks", " Thanks", " 12 May", " A B C D E F G H I J K L M N", " 7", " AB12 3", "\nX"])
+@pytest.mark.parametrize("iban", IBANS)
+def test_iban_ends_before_what_follows(iban, after):
+    text = f"IBAN {iban}{after}"
+    assert [s[:3] for s in pii.spans_of(text) if s.kind == "iban"] == [("iban", 5, 5 + len(iban))]
+    assert pii.masked(text) == f"IBAN [IBAN]{after}"
+
+
+def test_ibans_in_a_row_and_wrong_ones():
+    assert pii.masked(f"bank {' '.join(IBANS)} Thanks") == "bank [IBAN] [IBAN] [IBAN] [IBAN] Thanks"
+    for text in ("DE88 3704 0044 0532 0130 00 Thanks", "XDE89 3704 0044 0532 0130 00 A", "DE89 3704 0044 0532 0130 00A B", "DE89 3704 A"):
+        assert not [s for s in pii.spans_of(f"bank {text}") if s.kind == "iban"]
+
+
+@pytest.mark.parametrize("text", ["AB12 " * 40_000, "AB12" * 50_000, "DE89 " + "A " * 100_000, "DE893704004405320130 00 " * 10_000])
+def test_long_runs_of_iban_heads_take_linear_time(text):
+    pii.spans_of(text)
+
+
 def test_mask_keeps_rows_and_columns(spark):
     rows = [(i, t, "x", 1.0) for i, t in enumerate([*TEXTS, "é a@b.co"])] + [(None, "1.2.3.4", None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spans string, score double")
