@@ -62,14 +62,17 @@ class Seeded(NamedTuple):
     least: np.ndarray
 
 
-def _seed(queries: Queries, head: np.ndarray, k: int) -> Seeded:
-    """Bounds from the head: its (k+1)-th best, as a query may be in it."""
+def _seed(queries: Queries, head: np.ndarray, k: int, ids: np.ndarray | None = None) -> Seeded:
+    """Bounds from the head: its k-th best among rows of other ids than the query's; without ``ids`` all are others."""
     lengths = np.sqrt((queries.vectors**2).sum(axis=1))
     least = np.full(len(queries.ids), -np.inf)
-    if len(head) > k:
+    if len(head) >= k:
         for at in range(0, len(least), ROWS):
             scores = products(queries.vectors[at : at + ROWS], head)
-            least[at : at + ROWS] = np.partition(scores, len(head) - k - 1, axis=1)[:, len(head) - k - 1]
+            if ids is not None:
+                scores[queries.ids[at : at + ROWS][:, None] == ids[None, :]] = -LONGEST - 1
+            kth = np.partition(scores, len(head) - k, axis=1)[:, len(head) - k]
+            least[at : at + ROWS] = np.where(kth < -LONGEST, -np.inf, kth)
     return Seeded(queries, lengths, least)
 
 
@@ -171,7 +174,7 @@ def search(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, block: in
     for queries in query_blocks(rows.where(is_query).select("vec_id", "v", "dim"), block):
         dim = queries.vectors.shape[1]
         own = sorted_rows.where(F.col("dim") == dim).select("vec_id", "v", "length")
-        longest = own.orderBy(F.col("length").desc(), "vec_id").limit(head).select("v").toArrow()
-        seeded = _seed(queries, matrix(longest.column("v").combine_chunks(), dim), k)
+        longest = own.orderBy(F.col("length").desc(), "vec_id").limit(head).select("vec_id", "v").toArrow()
+        seeded = _seed(queries, matrix(longest.column("v").combine_chunks(), dim), k, longest.column("vec_id").to_numpy())
         parts.append(kept(best(own.mapInArrow(_search(seeded, k), HITS), k)))
     return union(parts, best(spark.createDataFrame([], HITS), k))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkrank.llm import hnsw, topk
+from sparkrank.llm.queries import ORACLES
 from sparkrank.llm.vectors import divisible
 
 SCHEMA = "vec_id long, embedding array<float>, rank int, score double"
@@ -54,6 +55,20 @@ def test_topk_equals_brute_force(spark, lengths):
     assert sorted(map(tuple, found.collect())) == expected
 
 
+@pytest.mark.parametrize("copies", [2, 12])
+def test_topk_of_an_id_with_different_long_vectors(spark, copies):
+    """The rows of a query's own id stand above all others, as the SQL has it they are no hits."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = np.random.default_rng(11)
+    rows = [(i, np.round(rng.normal(size=6), 3).tolist()) for i in range(1, 400)]
+    rows += [(50, [9.0 + c, *np.round(rng.normal(size=5), 3).tolist()]) for c in range(copies)]
+    given = frame(spark, rows)
+    embeddings = given.toArrow()  # noqa: F841
+    expected = duckdb.sql(ORACLES["op4_topk"]).fetchall()
+    found = sorted(map(tuple, topk.search(given, divisible(50), head=40).collect()))
+    assert found == sorted(expected) and len(found) == 5 * 7
+
+
 def test_buckets_prune_but_lose_nothing():
     rng = np.random.default_rng(5)
     p = np.floor(256 * rng.normal(size=(3000, 16)) * np.exp(rng.normal(size=(3000, 1))))
