@@ -122,6 +122,25 @@ def test_recall_on_the_given_vectors(spark, spread):
     assert len(found) == 20 * 100 and hit / len(found) >= 0.95
 
 
+@pytest.mark.parametrize("spread", [0.0, 1.0])
+def test_recall_of_full_shards(spark, spread):
+    """Production parameters on three full shards: given vectors, perturbed and of equal or unequal lengths."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").toPandas()
+    base, rng, n = np.array(given["embedding"].tolist(), float), np.random.default_rng(12), 3 * hnsw.SHARD
+    v = base[rng.integers(0, len(base), n)]
+    v = v + rng.normal(size=v.shape) * 0.5 * v.std()
+    v = (v * np.exp(spread * np.sin(np.arange(n)))[:, None]).astype(np.float32)
+    rows = spark.createDataFrame(list(enumerate(v.tolist())), "vec_id long, embedding array<float>")
+    assert hnsw.build_index(rows, 20).count() == 3
+    found = hnsw.search(rows, divisible(20), k=20).toPandas()
+    w, hit = v.astype(float), 0
+    for q, own in found.groupby("query_id"):
+        scores = w @ w[q]
+        scores[q] = -np.inf
+        hit += len(set(np.argpartition(-scores, 20)[:20]) & set(own["vec_id"]))
+    assert len(found) == 20 * -(-n // 20) and hit / len(found) >= 0.9
+
+
 def test_no_rows(spark):
     none = frame(spark, [])
     assert topk.search(none, divisible(50)).count() == 0
