@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.llm import hnsw, lines, packing, pieces, pii, quality, simhash, topk, toxicity, urls
+from sparkrank.llm import divergence, hnsw, lines, packing, pieces, pii, quality, simhash, topk, toxicity, urls
 from sparkrank.llm.shared import table
 from sparkrank.llm.vectors import divisible
 
@@ -66,6 +66,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_quality": op2_quality,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -116,5 +121,50 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op11_source_divergence": r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+    FROM documents
+),
+words AS (
+    SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs
+),
+terms AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+counts AS (
+    SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n
+    FROM words JOIN terms USING (lang, term) GROUP BY lang, source, term
+),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+sizes AS (
+    SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS own,
+           (SELECT count(*) FROM terms t WHERE t.lang = g.lang) AS v
+    FROM groups g LEFT JOIN counts c USING (lang, source) GROUP BY g.lang, g.source
+),
+shares AS (
+    SELECT s.lang, s.source, t.term, coalesce(c.n, 0) AS n,
+           CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (s.own + 5 * s.v) AS BIGINT) AS p
+    FROM sizes s JOIN terms t USING (lang) LEFT JOIN counts c USING (lang, source, term)
+),
+whole AS (
+    SELECT lang, term, CAST(1 + (1000000000::HUGEINT * (sum(n) + 5))
+        // (sum(sum(n)) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS BIGINT) AS q
+    FROM shares GROUP BY lang, term
+),
+found AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+           coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term
+                     WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    UNION ALL
+    SELECT s.lang, s.source, 'term', s.term, s.p - w.q FROM shares s JOIN whole w USING (lang, term)
+    WHERE s.n > 0 AND s.p > w.q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r FROM found
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 50
 """,
 }
