@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.llm import divergence, hnsw, lines, packing, pieces, pii, quality, simhash, topk, toxicity, urls, variants
+from sparkrank.llm import divergence, hidden, hnsw, lines, packing, pieces, pii, quality, simhash, topk, toxicity, urls, variants
 from sparkrank.llm.shared import table
 from sparkrank.llm.vectors import divisible
 
@@ -70,6 +70,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(table(spark, sf_dir, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_packing": op10_packing,
     "op11_source_divergence": op11_source_divergence,
+    "op12_hidden_markov": op12_hidden_markov,
     "op13_spelling_variants": op13_spelling_variants,
 }
 
