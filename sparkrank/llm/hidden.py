@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrank.llm.counting import Tally, parts_of
-from sparkrank.llm.shared import Batches, in_batches, kept, remainder
+from sparkrank.llm.shared import ROWS, Batches, in_batches, kept, remainder
 
 FOLDS, HELD_OUT = 5, 1
 FREQUENT, CLASSES, LETTERS, DISCOUNT = 1e-5, 1024, 3, 0.5
@@ -222,31 +222,42 @@ def vocabulary(train: DataFrame) -> Vocabulary:
     return Vocabulary(counts, tokens, words, own, symbols, types)
 
 
+class _Symbols(dict):
+    """Symbols of the frequent words; any other word gets that of its class."""
+
+    def __missing__(self, word: bytes) -> int:
+        return len(self) + class_of(word)
+
+
 def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
     """_row, doc_id, held_out, n_tokens, symbols, base (of frequent words), rare and times (the other words) per row."""
-    own, whole, classes = known.own, known.whole, len(known.own)
+    own, whole = known.own, known.whole
+    names = ["_row", "doc_id", "held_out", "n_tokens", "symbols", "base", "rare", "times"]
 
     def make(batches: Batches) -> Batches:
-        logs = {word: math.log10((c + 0.5) / whole) for word, (_, c) in own.items()}
-        numbers = {word: at for word, (at, _) in own.items()}
-        for batch in batches:
-            for at in range(batch.num_rows):
-                symbols, base, rare = [], 0.0, Counter()
-                for words in words_in_parts(batch.column(3)[at].as_py()):
-                    part = [numbers.get(w, -1) for w in words]
-                    other = [w for w, symbol in zip(words, part, strict=True) if symbol < 0]
-                    if other:
-                        rare.update(other)
-                        fill = iter([classes + class_of(w) for w in other])
-                        part = [next(fill) if symbol < 0 else symbol for symbol in part]
-                    base += math.fsum(logs[w] for w in words if w in logs)
-                    symbols.append(np.array(part, np.int32))
-                symbols = np.concatenate(symbols)
-                columns = [c.slice(at, 1) for c in batch.columns[:3]]
-                columns += [pa.array([len(symbols)], pa.int64()), pa.array([symbols], pa.list_(pa.int32())), pa.array([base])]
-                columns += [pa.array([list(rare)], pa.list_(pa.binary())).cast(pa.list_(pa.string()))]
-                columns += [pa.array([list(rare.values())], pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, names=["_row", "doc_id", "held_out", "n_tokens", "symbols", "base", "rare", "times"])
+        number = _Symbols((word, at) for word, (at, _) in own.items()).__getitem__
+        logs = np.zeros(len(own) + CLASSES)
+        logs[: len(own)] = [math.log10((c + 0.5) / whole) for _, c in own.values()]
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, ROWS):
+                batch = whole_batch.slice(at, ROWS)
+                symbols, base, rare = [], [], []
+                for text in batch.column(3):
+                    parts, others = [], Counter()
+                    for words in words_in_parts(text.as_py()):
+                        part = np.fromiter(map(number, words), np.int32, len(words))
+                        others.update([words[i] for i in np.flatnonzero(part >= len(own)).tolist()])
+                        parts.append(part)
+                    symbols.append(np.concatenate(parts))
+                    base.append(float(logs[symbols[-1]].sum()))
+                    rare.append(others)
+                size = np.array([len(one) for one in symbols], np.int64)
+                ends, flat = _offsets(size), pa.array([w for one in rare for w in one], pa.binary()).cast(pa.string())
+                kinds = _offsets(np.array([len(one) for one in rare], np.int64))
+                times = pa.array([n for one in rare for n in one.values()], pa.int64())
+                columns = [*batch.columns[:3], pa.array(size), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(symbols)))]
+                columns += [pa.array(base), pa.ListArray.from_arrays(kinds, flat), pa.ListArray.from_arrays(kinds, times)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
@@ -256,6 +267,10 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
     return in_batches(docs.select("_row", "doc_id", "held_out", "text")).mapInArrow(make, schema)
 
 
+def _offsets(sizes: np.ndarray) -> pa.Array:
+    return pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+
+
 def _batches(batches: Batches, column: int) -> Iterator[tuple[list[pa.RecordBatch], Batch]]:
     """Rows of about ``TOKENS`` tokens together, and their sequences."""
     held, size = [], 0
@@ -353,7 +368,8 @@ def score_documents(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS)
     held_out = (remainder(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out")
     rows = docs.select("doc_id", held_out, "text")
     known = vocabulary(rows.where("NOT held_out"))
-    sequences = kept(encoded(rows.withColumn("_row", F.monotonically_increasing_id()), known))
+    # Sequences of about one length together take the fewest steps.
+    sequences = kept(encoded(rows.withColumn("_row", F.monotonically_increasing_id()), known).sortWithinPartitions("n_tokens"))
     model = train(sequences.where("NOT held_out"), known.symbols, states, rounds)
     scored = likelihoods(sequences, model).join(_rare_sums(sequences, known), "_row", "left").na.fill(0)
     return scored.select(
