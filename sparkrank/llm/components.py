@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkrank.llm.shared import kept
+from sparkrank.llm.shared import forget, kept
 
 
 def _both(edges: DataFrame) -> DataFrame:
@@ -46,13 +46,15 @@ def components(edges: DataFrame) -> DataFrame:
     log2 of the longest path squared at worst. Groupings keep one minimum per
     node and task, so a node with very many links meets in no single task; the
     joins are ordinary ones that adaptive execution splits. Each round is
-    written to the shared folder, which bounds the lineage; the driver sees one
-    count and one checksum per round.
+    written to the shared folder, which bounds the lineage, and the one before is
+    removed; the driver sees one count and one checksum per round.
     """
     edges = kept(edges.select("a", "b").where("a <> b").distinct())
     before = _digest(edges)
     while before[0]:
-        edges = kept(_small_star(_large_star(edges)))
+        after_round = kept(_small_star(_large_star(edges)))
+        forget(edges)
+        edges = after_round
         after = _digest(edges)
         if after == before:
             break

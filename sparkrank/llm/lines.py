@@ -9,8 +9,9 @@ result is a compressed bitmap of kept lines per document, no text.
 
 Defined cases: a null text is one empty line and stays null; rows that share a
 doc_id count as one document, each with its own bitmap; rows without an id count
-as one document below all others. Lines come back as they were, only whole lines
-go. An empty table gives no row.
+as one document below all others. Repeated rows come back each. Lines come back
+as they were, only whole lines go. An empty table gives no row. Columns besides
+doc_id and text are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkrank.llm.shared import Batches, in_batches, kept, per_batch, replaced, texts, width
+from sparkrank.llm.shared import Batches, free_names, in_batches, kept, per_batch, replaced, texts, width
 
 SPACES = b" \t\n\r\x0b\x0c"
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -196,32 +197,43 @@ def _line_count(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("bigint")
 
 
-def without_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
-    """``docs`` with the kept lines as text, plus ``n_lines`` (before) and ``n_dropped``.
+def without_repeated_lines(
+    docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, counts: tuple[str, str] = ("n_lines", "n_dropped")
+) -> DataFrame:
+    """``docs`` with the kept lines as text, plus two columns, the lines before and those dropped.
 
-    The bitmaps are written and measured; up to ``BROADCAST_BYTES`` they go to
-    the documents, beyond it both sides are shuffled by document.
+    Columns of ``docs`` with a name of ``counts`` are replaced, all others stay,
+    whatever their names. The bitmaps are written and measured; up to
+    ``BROADCAST_BYTES`` they go to the documents, beyond it both sides are
+    shuffled by document.
     """
     bitmaps = kept(keep_bitmaps(docs, min_chars, min_docs))
     size = bitmaps.agg(F.coalesce(F.sum(F.octet_length("keep") + 64), F.lit(0)).alias("b")).first()["b"]
+    doc, row, dropped, keep = free_names([*docs.columns, *counts], "_doc", "_row", "_dropped", "_keep")
     side = bitmaps.select(
-        F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), F.col("dropped").alias("_dropped"), F.col("keep").alias("_keep")
+        F.col("doc_id").alias(doc), F.col("row").alias(row), F.col("dropped").alias(dropped), F.col("keep").alias(keep)
     )
     joined = docs.join(
         F.broadcast(side) if size <= BROADCAST_BYTES else side,
-        docs["doc_id"].eqNullSafe(side["_doc"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == side["_row"]),
+        docs["doc_id"].eqNullSafe(side[doc]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == side[row]),
         "left",
     )
     counted = joined.select(
-        *[docs[c] for c in docs.columns],
-        _line_count(docs["text"]).alias("n_lines"),
-        F.coalesce("_dropped", F.lit(0)).cast("bigint").alias("n_dropped"),
-        "_keep",
+        *[F.col(f"`{c}`") for c in docs.columns if c.lower() not in [n.lower() for n in counts]],
+        _line_count(F.col("text")).alias(counts[0]),
+        F.coalesce(dropped, F.lit(0)).cast("bigint").alias(counts[1]),
+        keep,
     )
-    at = docs.columns.index("text")
+    at = counted.columns.index("text")
 
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = zip(batch.column(at).to_pylist(), batch.column("_keep").to_pylist(), strict=True)
+        rows = zip(batch.column(at).to_pylist(), batch.column(keep).to_pylist(), strict=True)
         return replaced(batch, "text", [_kept_lines(*row) for row in rows])
 
-    return per_batch(counted, make, counted.schema).drop("_keep")
+    return per_batch(counted, make, counted.schema).drop(keep)
+
+
+def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
+    """``docs`` with the kept lines as text, and its own columns only."""
+    names = tuple(free_names(docs.columns, "n_lines", "n_dropped"))
+    return without_repeated_lines(docs, min_chars, min_docs, names).select(*[f"`{c}`" for c in docs.columns])

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparkrank.functions.sizing import broadcast_if_within
 from sparkrank.sources.scratch import scratch_root, write_table
 
 Batches = Iterator[pa.RecordBatch]
@@ -21,9 +23,88 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_recording: list[list[DataFrame]] = []
+
+
 def kept(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut."""
-    return write_table(df, scratch_root(df.sparkSession))
+    made = write_table(df, scratch_root(df.sparkSession))
+    for tables in _recording:
+        tables.append(made)
+    return made
+
+
+@contextmanager
+def recorded() -> Iterator[list[DataFrame]]:
+    """The tables that ``kept`` makes meanwhile."""
+    tables: list[DataFrame] = []
+    _recording.append(tables)
+    try:
+        yield tables
+    finally:
+        _recording.remove(tables)
+
+
+def _folders(df: DataFrame) -> set[str]:
+    return {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+
+
+def forget(*tables: DataFrame, but: DataFrame | None = None) -> None:
+    """Remove the folders of tables made by ``kept`` that nothing reads any more.
+
+    Only folders below ``spark.checkpoint.dir`` go, and none that ``but`` reads.
+    """
+    for df in tables:
+        spark = df.sparkSession
+        base = spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            continue
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        root = hadoop.Path(base)
+        system = root.getFileSystem(conf)
+        below = system.makeQualified(root).toString().rstrip("/") + "/"
+        for folder in _folders(df) - (_folders(but) if but is not None else set()):
+            path = system.makeQualified(hadoop.Path(folder))
+            if path.toString().startswith(below):
+                system.delete(path, True)
+
+
+def only(df: DataFrame, rows: DataFrame, at: Column, name: str = "_row") -> DataFrame:
+    """The rows of ``df`` whose number ``at`` is one of the longs in ``rows``.
+
+    Numbers become bitmaps of 64 rows. These are written and measured: as long
+    as they are small they go to ``df``, whose rows stay where they are, beyond
+    that both sides are shuffled.
+    """
+    block = F.shiftright(F.col(name), 6).alias("_block")
+    bit = F.expr(f"shiftleft(1L, cast({name} & 63 as int))")
+    bits = kept(rows.groupBy(block).agg(F.bit_or(bit).alias("_bits")))
+    joined = df.join(broadcast_if_within(bits), F.shiftright(at, 6) == F.col("_block"))
+    own = F.call_function("shiftright", F.col("_bits"), at.bitwiseAND(F.lit(63)).cast("int"))
+    return joined.where(own.bitwiseAND(F.lit(1)) == 1).select(*[df[f"`{c}`"] for c in df.columns])
+
+
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """``names``, with underscores in front where ``columns`` has such a name."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """(_row, _doc), written: a number per row, and the row as it is, so that no name can clash."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    return kept(docs.select(F.monotonically_increasing_id().alias("_row"), whole))
+
+
+def rows_of(numbered: DataFrame, rows: DataFrame) -> DataFrame:
+    """The given rows of ``numbered_rows`` whose _row is in ``rows``."""
+    return only(numbered, rows, numbered["_row"]).select("_doc.*")
 
 
 def remainder(doc_id: Column, parts: int) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrank.llm.components import components
-from sparkrank.llm.shared import Batches, kept, per_batch, width
+from sparkrank.llm.shared import Batches, kept, numbered_rows, per_batch, rows_of, width
 
 SEED = 42
 #: A bucket of up to this many fingerprints is searched in one task; it is 3 MB.
@@ -271,27 +271,20 @@ def near_duplicates(
     return rows.join(ids, ["fp", "check"]).select("doc_id", "fp", "component_id")
 
 
-def one_of_each(numbered: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Of each _group in ``pairs(_row, _group)`` the row of ``numbered`` with the smallest doc_id, without _row."""
-    ids = numbered.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("_order"))
-    chosen = (
-        pairs.join(ids, "_row").groupBy("_group").agg(F.min("_order").alias("_order")).select(F.col("_order._row").alias("_row"))
-    )
-    return numbered.join(chosen, "_row", "left_semi").drop("_row")
-
-
 def dedup(docs: DataFrame, *similar, **options) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the smallest doc_id.
 
-    Arguments are those of ``near_duplicates``. All columns are kept. Of rows that repeat that doc_id one stays; rows
-    without an id stay only if no document of their component has one, and then
-    one of them. The rest is decided on narrow rows, texts are shuffled once.
+    Arguments are those of ``near_duplicates``. All columns are kept, whatever
+    their names. Of rows that repeat that doc_id one stays; rows without an id
+    stay only if no document of their component has one, and then one of them.
+    An empty table gives no row. Texts are not shuffled while the bitmaps of the
+    rows that stay are small.
     """
-    numbered = kept(docs.withColumn("_row", F.monotonically_increasing_id()))
-    pairs = near_duplicates(
-        numbered.drop("doc_id").select(F.col("_row").alias("doc_id"), "text"), *similar, **options
-    ).select(F.col("doc_id").alias("_row"), F.col("component_id").alias("_group"))
-    return one_of_each(numbered, pairs)
+    numbered = numbered_rows(docs)
+    found = near_duplicates(numbered.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text")), *similar, **options)
+    ids = numbered.select("_row", F.struct(F.col("_doc.doc_id").isNull().alias("no_id"), F.col("_doc.doc_id"), "_row").alias("first"))
+    chosen = found.join(ids, found["doc_id"] == ids["_row"]).groupBy("component_id").agg(F.min("first").alias("first"))
+    return rows_of(numbered, chosen.select(F.col("first._row").alias("_row")))
 
 
 def hexadecimal(fp: Column) -> Column:

@@ -1,12 +1,14 @@
 """Near-duplicates of the pipeline against the five-word similarity of every pair."""
 
-from collections import defaultdict
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkrank.llm import similar
+from sparkrank.llm import similar, simhash
+from sparkrank.llm.shared import forget, kept, only, recorded
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = 200
@@ -125,3 +127,66 @@ def test_keys_miss_as_few_as_the_formula_says():
         same = sum(a == b for a, b in zip(similar.keys_of(own), similar.keys_of(other), strict=True))
         shared, met = shared + same, met + (same > 0)
     assert met == 400 and abs(shared / (400 * similar.BANDS) - 0.8**6) < 0.02
+
+
+def plain_links(sets):
+    parent = list(range(len(sets)))
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for i in range(len(sets)):
+        for j in range(i):
+            if similarity(sets[i], sets[j]) >= 0.8:
+                parent[find(i)] = find(j)
+    return [find(i) for i in range(len(sets))]
+
+
+def test_links_span_what_all_pairs_join():
+    rng = np.random.default_rng(12)
+    for _ in range(60):
+        base = rng.choice(60, 25, replace=False)
+        sets = []
+        for _ in range(rng.integers(2, 40)):
+            one = set(base.tolist()) - set(rng.choice(base, rng.integers(0, 8)).tolist())
+            sets.append(one | set(rng.choice(60, rng.integers(0, 5)).tolist()))
+        links = similar.similar_links(list(range(len(sets))), [np.array(sorted(s), np.uint64) for s in sets])
+        assert all(similarity(sets[a], sets[b]) >= 0.8 for a, b in links)
+        wanted = plain_links(sets)
+        assert len(links) == len(sets) - len(set(wanted)) and all(wanted[a] == wanted[b] for a, b in links)
+
+
+def test_groups_without_links_are_not_compared_in_pairs():
+    """Templates: half of the shingles are common to all sets, and each has its own."""
+    sets = [np.array([*range(10), *range(100 + 10 * i, 110 + 10 * i)], np.uint64) for i in range(8000)]
+    started = time.process_time()
+    assert similar.similar_links(list(range(len(sets))), sets) == []
+    assert time.process_time() - started < 1.0
+
+
+def test_clashing_names_stay(spark):
+    rows = [(1, "a b c", 5, "x", 1, 2), (2, "a b c", 6, "y", 3, 4), (3, "other", 7, "z", 5, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row long, _doc string, node int, _bits int")
+    for made in (similar.dedup(docs), simhash.dedup(docs)):
+        assert made.columns == docs.columns and sorted(map(tuple, made.collect())) == [rows[0], rows[2]]
+
+
+def test_bitmaps_choose_rows(spark):
+    rows = spark.range(0, 1000, 1, 7).select(F.monotonically_increasing_id().alias("_row"), "id")
+    wanted = kept(rows.where("id % 3 = 0 or id > 800"))
+    assert only(kept(rows), wanted.select("_row"), F.col("_row")).select("id").exceptAll(wanted.select("id")).isEmpty()
+    assert only(kept(rows), wanted, F.col("_row")).count() == wanted.count()
+
+
+def test_forget_removes_only_its_own_tables(spark, tmp_path):
+    given = str(tmp_path / "given")
+    spark.range(3).write.parquet(given)
+    with recorded() as made:
+        one, two = kept(spark.range(5)), kept(spark.range(6))
+    assert len(made) == 2
+    forget(*made, spark.read.parquet(given), but=two.where("id > 1"))
+    assert spark.read.parquet(given).count() == 3 and two.count() == 6
+    with pytest.raises(Exception):
+        one.count()
