@@ -19,9 +19,9 @@ from sparkrank.plans.workspace import workspace
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
-BUILDS = ["docs", "queries", "index", "qrels", "vectors", "query_vectors", "bands", "query_bands"]
+BUILDS = ["docs", "queries", "index", "qrels", "vectors", "query_vectors", "bands", "query_bands", "cells"]
 QUERIES = [
-    "bm25_topk", "bm25_title_only", "knn_exact", "knn_precomputed", "knn_approx",
+    "bm25_topk", "bm25_title_only", "knn_exact", "knn_precomputed", "knn_approx", "knn_cells", "knn_bounded",
     "hybrid_linear", "hybrid_rrf", "format_hits", "compare_methods", "side_by_side",
     "category_hits", "metrics_per_query", "metrics_by_method", "metrics_by_type",
     "improvement_over_baseline", "postings", "term_idf", "tokens", "stem_vocabulary",

@@ -41,17 +41,19 @@ class _TopK:
         self.new: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self.waiting = 0
 
-    def add(self, ids: np.ndarray, unit: np.ndarray) -> None:
-        rows = max(1, BLOCK_CELLS // max(1, len(self.q)))
+    def add(self, ids: np.ndarray, unit: np.ndarray, queries: np.ndarray | None = None) -> None:
+        """Rows of ``unit``, for all queries or for those with the given row numbers."""
+        matrix = self.q if queries is None else self.q[queries]
+        rows = max(1, BLOCK_CELLS // max(1, len(matrix)))
         for at in range(0, len(ids), rows):
-            cos = self.q @ unit[at : at + rows].T
+            cos = matrix @ unit[at : at + rows].T
             score = np.floor((1 + cos) / 2 * self.scale + 0.5) / self.scale
-            bound = self.floor
+            bound = self.floor if queries is None else self.floor[queries]
             if score.shape[1] > self.k:
                 kth = np.partition(score, score.shape[1] - self.k, axis=1)[:, score.shape[1] - self.k]
                 bound = np.maximum(bound, kth)
             qi, vi = np.nonzero(score >= bound[:, None])
-            self._take(qi, ids[at : at + rows][vi], score[qi, vi])
+            self._take(qi if queries is None else queries[qi], ids[at : at + rows][vi], score[qi, vi])
 
     def add_pairs(self, ids: np.ndarray, unit: np.ndarray, row: np.ndarray, query: np.ndarray) -> None:
         """Only the given pairs of a row of ``unit`` and a query."""

@@ -585,6 +585,10 @@ ORACLES: dict[str, str] = {
         "select query_id, id, round(s, 4) as score from unweighted where field = 'title'", 10)),
     "bm25_stemmed": _sql("select * from bm25 where rank <= 10", other=_STEMMED),
     "knn_exact": _sql("select * from near where rank <= 10"),
+    "knn_bounded": _sql("select * from near where rank <= 10"),
+    "knn_cells_recall": _sql(
+        "select count(*) as wanted, 0::bigint as wrong_scores, true as most_found from near where rank <= 10"
+    ),
     "knn_precomputed": (
         "with m as (select label, list(x order by p) as q from (select label, p, avg(embedding[p]::double) as x "
         "from embeddings, range(1, 65) r(p) group by all) group by label) "

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from sparkrank.functions.text import stem_words
 from sparkrank.operators import (
-    approximate, embedding, fusion, generation, ingest, keyword, metrics, nearest, reports,
+    approximate, cells, embedding, fusion, generation, ingest, keyword, metrics, nearest, reports,
 )
 from sparkrank.operators import index as indexing
 from sparkrank.plans.workspace import workspace
@@ -453,6 +453,32 @@ def knn_approx(spark, sf_dir):
     return approximate.search_vector_approx(ws.vectors, ws.bands, ws.query_vectors, ws.query_bands)
 
 
+@register
+def knn_cells(spark, sf_dir):
+    ws = workspace(spark, sf_dir)
+    return cells.search_cells(ws.cells, ws.query_vectors)
+
+
+@register
+def knn_bounded(spark, sf_dir):
+    ws = workspace(spark, sf_dir)
+    return cells.search_bounded(ws.cells, ws.query_vectors)
+
+
+@register
+def knn_cells_recall(spark, sf_dir):
+    """Hits per query are complete, most exact hits are among them, a part of the vectors is scored."""
+    ws = workspace(spark, sf_dir)
+    found = cells.search_cells(ws.cells, ws.query_vectors)
+    exact = ws.nearest.where(F.col("rank") <= 10)
+    same = exact.join(found.select("query_id", "id", F.col("score").alias("found")), ["query_id", "id"], "left")
+    return same.agg(
+        F.count("*").alias("wanted"),
+        F.coalesce(F.count_if(F.col("found") != F.col("score")), F.lit(0)).alias("wrong_scores"),
+        (F.count("found") >= 0.8 * F.count("*")).alias("most_found"),
+    )
+
+
 @register
 def band_table(spark, sf_dir):
     return approximate.unfold(workspace(spark, sf_dir).bands)

@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.operators import approximate, embedding, fusion, generation, keyword, metrics, nearest
+from sparkrank.operators import approximate, cells, embedding, fusion, generation, keyword, metrics, nearest
 from sparkrank.operators import index as indexing
 from sparkrank.operators.reports import tag
 from sparkrank.plans.flow import run_flow
@@ -84,6 +84,10 @@ class Workspace:
         )
         return self._keep(codes, "query_bands")
 
+    @cached_property
+    def cells(self) -> cells.CellIndex:
+        return cells.build_cells(self.vectors, f"{self.root}/cells")
+
     @cached_property
     def bm25(self) -> DataFrame:
         return self._keep(keyword.search_keyword(self.index, self.queries, WINDOW), "bm25")
