@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sparkrank.functions.ranking import rank_hits, top_k as cut
 from sparkrank.functions.sizing import broadcast_if_within
 from sparkrank.operators.index import Index
-from sparkrank.operators.keyword import keyword_scores
+from sparkrank.operators.keyword import combined, field_scores
 
 RRF_CONSTANT = 60
 RRF_WINDOW = 100
@@ -54,9 +54,14 @@ def search_hybrid(
     bm25_boost: float = 1.0,
     vector_boost: float = 1.0,
     digits: int = 4,
+    matches: DataFrame | None = None,
 ) -> DataFrame:
-    """Weighted sum; the text part is the best field alone. ``vector_hits`` = the k nearest."""
-    text = keyword_scores(index, queries, tie_breaker=0.0)
+    """Weighted sum; the text part is the best field alone. ``vector_hits`` = the k nearest.
+
+    ``matches`` are the ``field_scores`` of the same queries, where a keyword
+    search has written them already: both derive from one pass over the postings.
+    """
+    text = combined(field_scores(index, queries) if matches is None else matches, tie_breaker=0.0)
     nearest = vector_hits.where(F.col("rank") <= top_k)
     return fuse_linear(text, nearest, top_k, bm25_boost, vector_boost, digits)
 

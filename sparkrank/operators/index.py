@@ -13,11 +13,13 @@ from sparkrank.sources.scratch import (
 )
 
 FIELD_WEIGHTS = {"title": 2.0, "description": 1.0}
+#: Folders of the postings, by the hash of the token; a search reads those of its tokens.
+SHARDS = 16
 
 
 @dataclass(frozen=True)
 class Index:
-    """postings(id, field, tok, tf, dl), term_stats(field, tok, df), field_stats(field, n, avgdl)."""
+    """postings(id, field, tok, tf, dl, shard), term_stats(field, tok, df), field_stats(field, n, avgdl)."""
 
     postings: DataFrame
     term_stats: DataFrame
@@ -25,6 +27,16 @@ class Index:
     stem: bool = True
     stop: tuple[str, ...] | None = None
     weights: dict[str, float] = field(default_factory=lambda: dict(FIELD_WEIGHTS))
+    shards: int = SHARDS
+
+    def postings_of(self, tokens: DataFrame) -> DataFrame:
+        """The postings in the folders of ``tokens(tok)``; their numbers, at most ``shards``, become a partition filter."""
+        found = tokens.select(shard_of(F.col("tok"), self.shards).alias("shard")).distinct().collect()
+        return self.postings.where(F.col("shard").isin(sorted(r["shard"] for r in found)))
+
+
+def shard_of(tok: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(tok), F.lit(shards)).cast("int")
 
 
 def token_rows(docs: DataFrame, text_col: str, stop: list[str] | None = None, stem: bool = False) -> DataFrame:
@@ -78,19 +90,19 @@ def build_index(
     stem: bool = True,
     stop: list[str] | None = None,
     buckets: int | None = None,
+    shards: int = SHARDS,
 ) -> Index:
-    """Write the three index tables below ``path``; postings are bucketed by id."""
+    """Write the three index tables below ``path``; postings are bucketed by id within folders by token hash."""
     weights = dict(weights or FIELD_WEIGHTS)
-    postings = write_bucketed(
-        build_postings(docs, list(weights), stem, stop, buckets),
-        f"{path}/postings", ["field", "tok"], buckets,
-    )
+    rows = build_postings(docs, list(weights), stem, stop, buckets).withColumn("shard", shard_of(F.col("tok"), shards))
+    postings = write_bucketed(rows, f"{path}/postings", ["field", "tok"], buckets, "shard")
     write_facts(
         docs.sparkSession, f"{path}/settings",
         stem=F.lit(stem),
         stop=F.lit(stop).cast("array<string>") if stop else F.lit(None).cast("array<string>"),
         no_stop=F.lit(stop == []),
         weights=F.create_map(*[F.lit(x) for pair in weights.items() for x in pair]),
+        shards=F.lit(shards),
     )
     return Index(
         postings,
@@ -99,6 +111,7 @@ def build_index(
         stem,
         tuple(stop) if stop is not None else None,
         weights,
+        shards,
     )
 
 
@@ -112,6 +125,7 @@ def open_index(spark: SparkSession, path: str) -> Index:
         kept["stem"],
         () if kept["no_stop"] else tuple(kept["stop"]) if kept["stop"] else None,
         kept["weights"],
+        kept["shards"],
     )
 
 

@@ -49,18 +49,18 @@ def best_fields(scores: list[Column], tie_breaker: float) -> Column:
     return best + F.lit(tie_breaker) * (total - best)
 
 
-def keyword_scores(
+def field_scores(
     index: Index,
     queries: DataFrame,
     fields: dict[str, float] | None = None,
-    tie_breaker: float = TIE_BREAKER,
     k1: float = K1,
     b: float = B,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """(query_id, id, score) of every document that shares a term with the query.
+    """(query_id, id, _s0, _s1, ..): weighted score per field of every document that shares a term with the query.
 
-    The query side is measured, and broadcast while it is within ``broadcast_bytes``, so the
+    Only the folders of the queries' tokens are read. The query side is
+    measured, and broadcast while it is within ``broadcast_bytes``, so the
     postings are scanned in place; they are bucketed by id, so the sums per
     (query_id, id) need no shuffle either.
     """
@@ -76,15 +76,29 @@ def keyword_scores(
         F.sum(F.when(F.col("field") == f, part).otherwise(0.0)).alias(f"_s{i}")
         for i, f in enumerate(weights)
     ]
-    score = best_fields([F.col(f"_s{i}") for i in range(len(weights))], tie_breaker)
-    return (
-        join_small(
-            index.postings, terms, ["field", "tok"], "id", broadcast_bytes, size * 2 * len(weights)
-        )
-        .groupBy("query_id", "id")
-        .agg(*per_field)
-        .select("query_id", "id", score.alias("score"))
+    joined = join_small(
+        index.postings_of(asked), terms, ["field", "tok"], "id", broadcast_bytes, size * 2 * len(weights)
     )
+    return joined.groupBy("query_id", "id").agg(*per_field)
+
+
+def combined(matches: DataFrame, tie_breaker: float) -> DataFrame:
+    """(query_id, id, score) of the scores per field in ``matches``."""
+    per_field = [F.col(c) for c in matches.columns if c.startswith("_s")]
+    return matches.select("query_id", "id", best_fields(per_field, tie_breaker).alias("score"))
+
+
+def keyword_scores(
+    index: Index,
+    queries: DataFrame,
+    fields: dict[str, float] | None = None,
+    tie_breaker: float = TIE_BREAKER,
+    k1: float = K1,
+    b: float = B,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(query_id, id, score) of every document that shares a term with the query."""
+    return combined(field_scores(index, queries, fields, k1, b, broadcast_bytes), tie_breaker)
 
 
 def search_keyword(
@@ -96,7 +110,9 @@ def search_keyword(
     k1: float = K1,
     b: float = B,
     digits: int = 4,
+    matches: DataFrame | None = None,
 ) -> DataFrame:
-    """(query_id, id, score, rank): the ``top_k`` best per query."""
-    scored = keyword_scores(index, queries, fields, tie_breaker, k1, b)
+    """(query_id, id, score, rank): the ``top_k`` best per query; ``matches`` = written ``field_scores``."""
+    matches = field_scores(index, queries, fields, k1, b) if matches is None else matches
+    scored = combined(matches, tie_breaker)
     return rank_hits(scored.withColumn("score", F.round("score", digits)), top_k)

@@ -85,6 +85,18 @@ def summarize(metrics: DataFrame, by: tuple[str, ...] = ("method",)) -> DataFram
     return metrics.groupBy(*by).agg(*[F.avg(m).alias(m) for m in METRICS])
 
 
+def rollup(metrics: DataFrame, by: tuple[str, ...] = ("query_type", "method")) -> DataFrame:
+    """Mean of each metric per group, per shorter group and over all, in one pass.
+
+    ``level`` is 0 for whole groups and has a bit per column that is summed up,
+    so a row of a null type and the row of all types are told apart.
+    """
+    return metrics.rollup(*by).agg(
+        F.grouping_id().cast("bigint").alias("level"), F.count(F.lit(1)).alias("queries"),
+        *[F.avg(m).alias(m) for m in METRICS],
+    )
+
+
 def summarize_method(metrics: DataFrame, method: str) -> DataFrame:
     if method not in METHODS:
         raise ValueError(f"unknown method: {method}")

@@ -627,6 +627,10 @@ ORACLES: dict[str, str] = {
     "metrics_by_method": _sql(f"select method, {_ALL_ROUNDED} from by_method"),
     "metrics_one_method": _sql(f"select method, {_ALL_ROUNDED} from by_method where method = 'hybrid'"),
     "metrics_by_type": _sql(f"select query_type, method, {_ALL_ROUNDED} from by_type"),
+    "metrics_rollup": _sql(
+        "select query_type, method, grouping_id(query_type, method)::bigint as level, count(*) as queries, "
+        + ", ".join(f"round(avg({m}), 6) as {m}" for m in _METRICS)
+        + " from metrics group by rollup (query_type, method)"),
     "improvement_over_baseline": _sql("select method, metric, round(improvement, 6) as improvement from change"),
     "metrics_grid": _sql(
         "select metric, method, round(round(value, 9), 4) as value, round(round(improvement, 9), 1) as improvement "

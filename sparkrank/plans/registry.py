@@ -358,7 +358,7 @@ def stem_vocabulary(spark, sf_dir):
 
 @register
 def postings(spark, sf_dir):
-    return workspace(spark, sf_dir).index.postings
+    return workspace(spark, sf_dir).index.postings.drop("shard")
 
 
 @register
@@ -498,7 +498,7 @@ def knn_recall(spark, sf_dir):
 @register
 def hybrid_linear(spark, sf_dir):
     ws = workspace(spark, sf_dir)
-    return fusion.search_hybrid(ws.index, ws.queries, ws.nearest)
+    return fusion.search_hybrid(ws.index, ws.queries, ws.nearest, matches=ws.matches)
 
 
 @register
@@ -588,6 +588,12 @@ def metrics_by_type(spark, sf_dir):
     return _rounded(metrics.summarize(workspace(spark, sf_dir).metrics, ("query_type", "method")))
 
 
+@register
+def metrics_rollup(spark, sf_dir):
+    """Means by type and method, by type, and over all, from one pass."""
+    return _rounded(metrics.rollup(workspace(spark, sf_dir).metrics, ("query_type", "method")))
+
+
 @register
 def improvement_over_baseline(spark, sf_dir):
     return _rounded(metrics.improvements(metrics.summarize(workspace(spark, sf_dir).metrics)))

@@ -88,9 +88,14 @@ class Workspace:
     def cells(self) -> cells.CellIndex:
         return cells.build_cells(self.vectors, f"{self.root}/cells")
 
+    @cached_property
+    def matches(self) -> DataFrame:
+        """Scores per field of all text matches, for the keyword and the hybrid search."""
+        return self._keep(keyword.field_scores(self.index, self.queries), "matches")
+
     @cached_property
     def bm25(self) -> DataFrame:
-        return self._keep(keyword.search_keyword(self.index, self.queries, WINDOW), "bm25")
+        return self._keep(keyword.search_keyword(self.index, self.queries, WINDOW, matches=self.matches), "bm25")
 
     @cached_property
     def nearest(self) -> DataFrame:
@@ -98,7 +103,7 @@ class Workspace:
 
     @cached_property
     def hybrid(self) -> DataFrame:
-        return self._keep(fusion.search_hybrid(self.index, self.queries, self.nearest), "hybrid")
+        return self._keep(fusion.search_hybrid(self.index, self.queries, self.nearest, matches=self.matches), "hybrid")
 
     @cached_property
     def rrf(self) -> DataFrame:

@@ -46,9 +46,14 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def write_bucketed(df: DataFrame, path: str, sort: list[str], buckets: int | None = None) -> DataFrame:
+def write_bucketed(
+    df: DataFrame, path: str, sort: list[str], buckets: int | None = None, partition: str | None = None
+) -> DataFrame:
     """Write hash-bucketed by ``id``; groupings that contain ``id`` then need no shuffle.
 
+    ``partition`` names a column whose values get a folder each, so that a filter
+    on it reads only those.
+
     Every write goes to a folder of its own, named by ``<path>/current`` once it
     is complete, so a failed or repeated write harms no reader.
     """
@@ -56,14 +61,14 @@ def write_bucketed(df: DataFrame, path: str, sort: list[str], buckets: int | Non
     n = buckets or shuffle_width(spark)
     build = uuid.uuid4().hex
     name = f"sr_{build}"
-    (
-        df.repartition(n, "id")
-        .write.bucketBy(n, "id")
-        .sortBy(*sort)
-        .option("path", f"{path}/{build}")
-        .saveAsTable(name)
+    writer = df.repartition(n, "id").write.bucketBy(n, "id").sortBy(*sort)
+    if partition:
+        writer = writer.partitionBy(partition)
+    writer.option("path", f"{path}/{build}").saveAsTable(name)
+    write_facts(
+        spark, f"{path}/current", build=F.lit(build), buckets=F.lit(n), sort=F.lit(sort),
+        partition=F.lit(partition).cast("string"),
     )
-    write_facts(spark, f"{path}/current", build=F.lit(build), buckets=F.lit(n), sort=F.lit(sort))
     return spark.table(name)
 
 
@@ -75,10 +80,13 @@ def open_bucketed(spark: SparkSession, path: str) -> DataFrame:
     fields = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(location).schema.fields
     )
+    parted = f"PARTITIONED BY ({current['partition']})" if current["partition"] else ""
     spark.sql(
-        f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY (id) SORTED BY "
+        f"CREATE TABLE {name} ({fields}) USING parquet {parted} CLUSTERED BY (id) SORTED BY "
         f"({', '.join(current['sort'])}) INTO {current['buckets']} BUCKETS LOCATION '{location}'"
     )
+    if parted:
+        spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 

@@ -161,3 +161,14 @@ def test_compare_methods_cuts_lists(spark):
     _, hits = docs_and_hits(spark)
     assert reports.compare_methods(hits, 1).count() == 2
     assert reports.compare_methods(hits.withColumn("method", F.lit("hybrid_rrf"))).count() == 0
+
+
+def test_rollup_tells_null_types_from_totals(spark):
+    rows = [("q1", None, "a", 1.0), ("q2", None, "b", 0.0), ("q3", "x", "a", 0.5)]
+    table = spark.createDataFrame(rows, "query_id string, query_type string, method string, precision double")
+    table = table.selectExpr("*", "precision as recall", "precision as mrr", "precision as ndcg")
+    made = {(r["query_type"], r["method"], r["level"]): (r["queries"], r["precision"]) for r in metrics.rollup(table).collect()}
+    assert made == {
+        (None, "a", 0): (1, 1.0), (None, "b", 0): (1, 0.0), ("x", "a", 0): (1, 0.5),
+        (None, None, 1): (2, 0.5), ("x", None, 1): (1, 0.5), (None, None, 3): (3, 0.5),
+    }

@@ -117,6 +117,28 @@ def test_postings_stay_in_place(spark, docs):
     assert "WindowGroupLimit" in above and "Bucketed: true" in plan
 
 
+def test_only_folders_of_the_tokens_are_read(spark, docs):
+    index = index_of(spark, docs, stem=False, shards=64)
+    queries = spark.createDataFrame(QUERIES[:1], "query_id string, query string")
+    found = index.postings_of(keyword.query_terms(index, queries))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [shard" in plan or "PartitionFilters: [isnotnull(shard" in plan
+    assert found.select("shard").distinct().count() < index.postings.select("shard").distinct().count()
+    one = index_of(spark, docs, stem=False, shards=1)
+    both = [as_lists(keyword.search_keyword(i, queries, 9)) for i in (index, one)]
+    assert both[0] == both[1] and both[0]
+
+
+def test_keyword_and_hybrid_from_one_pass(spark, docs):
+    index = index_of(spark, docs, stem=False)
+    queries = spark.createDataFrame(QUERIES, "query_id string, query string")
+    matches = keyword.field_scores(index, queries).persist()
+    assert as_lists(keyword.search_keyword(index, queries, 5, matches=matches)) == as_lists(keyword.search_keyword(index, queries, 5))
+    near = spark.createDataFrame([(QUERIES[0][0], docs[0][0], 0.9, 1)], "query_id string, id bigint, score double, rank int")
+    made = [as_lists(fusion.search_hybrid(index, queries, near, 5, matches=m)) for m in (matches, None)]
+    assert made[0] == made[1]
+
+
 def brute_knn(vectors, queries, k):
     out = {}
     for qid, q in queries:
