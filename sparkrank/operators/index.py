@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkrank.functions.sizing import broadcast_if_within
 from sparkrank.functions.text import analyze
 from sparkrank.sources.scratch import (
     open_bucketed, spread, write_bucketed, write_facts, write_table,
@@ -28,11 +29,20 @@ class Index:
     stop: tuple[str, ...] | None = None
     weights: dict[str, float] = field(default_factory=lambda: dict(FIELD_WEIGHTS))
     shards: int = SHARDS
+    path: str | None = None
+    #: Postings of earlier builds, newest first, each with the ids (id) that were replaced or removed since.
+    older: tuple[tuple[DataFrame, DataFrame], ...] = ()
 
-    def postings_of(self, tokens: DataFrame) -> DataFrame:
-        """The postings in the folders of ``tokens(tok)``; their numbers, at most ``shards``, become a partition filter."""
+    def postings_of(self, tokens: DataFrame) -> list[DataFrame]:
+        """Postings that count, per build, in the folders of ``tokens(tok)``.
+
+        The folders' numbers, at most ``shards``, become a partition filter.
+        """
         found = tokens.select(shard_of(F.col("tok"), self.shards).alias("shard")).distinct().collect()
-        return self.postings.where(F.col("shard").isin(sorted(r["shard"] for r in found)))
+        asked = F.col("shard").isin(sorted(r["shard"] for r in found))
+        return [self.postings.where(asked)] + [
+            postings.where(asked).join(broadcast_if_within(gone), "id", "left_anti") for postings, gone in self.older
+        ]
 
 
 def shard_of(tok: Column, shards: int) -> Column:
@@ -112,12 +122,16 @@ def build_index(
         tuple(stop) if stop is not None else None,
         weights,
         shards,
+        path,
     )
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
     """An index written earlier, also by another session."""
     kept = spark.read.parquet(f"{path}/settings").first()
+    older = []
+    if "older" in kept:
+        older = [(open_bucketed(spark, f"{at}/postings"), spark.read.parquet(gone)) for at, gone in kept["older"]]
     return Index(
         open_bucketed(spark, f"{path}/postings"),
         spark.read.parquet(f"{path}/term_stats"),
@@ -126,6 +140,57 @@ def open_index(spark: SparkSession, path: str) -> Index:
         () if kept["no_stop"] else tuple(kept["stop"]) if kept["stop"] else None,
         kept["weights"],
         kept["shards"],
+        path,
+        tuple(older),
+    )
+
+
+def update_index(index: Index, old: DataFrame, new: DataFrame, path: str, buckets: int | None = None) -> Index:
+    """The index after a batch of upserts and removals, below ``path``, without reading the documents that stay.
+
+    ``new`` are added or replacing documents, ``old`` the indexed versions of
+    those they replace and of those to remove (id and the fields). The batch
+    becomes postings of its own; earlier postings stay as they are, with the ids
+    that no longer count. Document frequencies, numbers and lengths of fields
+    are the stored ones plus signed counts of the batch, so scores are those of
+    a rebuild. Every search reads one build more per batch: rebuild now and then.
+    """
+    spark, fields = new.sparkSession, list(index.weights)
+    stop = list(index.stop) if index.stop is not None else None
+    ids = old.select("id").unionByName(new.select("id")).distinct()
+    gone = write_table(ids, f"{path}/gone")
+    made = build_postings(new, fields, index.stem, stop, buckets).withColumn("shard", shard_of(F.col("tok"), index.shards))
+    postings = write_bucketed(made, f"{path}/postings", ["field", "tok"], buckets, "shard")
+    lost = write_table(build_postings(old, fields, index.stem, stop, buckets), f"{path}/lost")
+    terms = index.term_stats.select("field", "tok", "df")
+    lengths = index.field_stats.select("field", "n", F.round(F.col("n") * F.col("avgdl")).cast("bigint").alias("total"))
+    for rows, sign in ((postings, 1), (lost, -1)):
+        terms = terms.unionByName(
+            build_term_stats(rows).select("field", "tok", (F.col("df") * sign).alias("df"))
+        )
+        per_field = rows.groupBy("id", "field").agg(F.max("dl").alias("dl")).groupBy("field")
+        lengths = lengths.unionByName(
+            per_field.agg((F.count(F.lit(1)) * sign).alias("n"), (F.sum("dl") * sign).alias("total"))
+        )
+    terms = terms.groupBy("field", "tok").agg(F.sum("df").alias("df")).where(F.col("df") > 0)
+    lengths = lengths.groupBy("field").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).where(F.col("n") > 0)
+    lengths = lengths.select("field", "n", (F.col("total").cast("double") / F.col("n")).alias("avgdl"))
+    folders, older = [], []
+    for number, (earlier, dead) in enumerate([(index.postings, None), *index.older]):
+        folder = f"{path}/gone_{number}"
+        both = gone if dead is None else gone.unionByName(dead).distinct()
+        older.append((earlier, write_table(both, folder)))
+        folders.append(folder)
+    paths = [index.path] if index.path else []
+    if index.older:
+        kept = spark.read.parquet(f"{index.path}/settings").first()
+        paths += [at for at, _ in kept["older"]]
+    facts = spark.read.parquet(f"{index.path}/settings").drop("older")
+    pairs = [F.struct(F.lit(a).alias("path"), F.lit(b).alias("gone")) for a, b in zip(paths, folders, strict=True)]
+    facts.withColumn("older", F.array(*pairs)).coalesce(1).write.mode("overwrite").parquet(f"{path}/settings")
+    return Index(
+        postings, write_table(terms, f"{path}/term_stats"), write_table(lengths, f"{path}/field_stats"),
+        index.stem, index.stop, index.weights, index.shards, path, tuple(older),
     )
 
 

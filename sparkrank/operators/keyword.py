@@ -76,10 +76,12 @@ def field_scores(
         F.sum(F.when(F.col("field") == f, part).otherwise(0.0)).alias(f"_s{i}")
         for i, f in enumerate(weights)
     ]
-    joined = join_small(
-        index.postings_of(asked), terms, ["field", "tok"], "id", broadcast_bytes, size * 2 * len(weights)
-    )
-    return joined.groupBy("query_id", "id").agg(*per_field)
+    found = None
+    for postings in index.postings_of(asked):  # one per build; a document counts in one of them
+        joined = join_small(postings, terms, ["field", "tok"], "id", broadcast_bytes, size * 2 * len(weights))
+        scored = joined.groupBy("query_id", "id").agg(*per_field)
+        found = scored if found is None else found.unionByName(scored)
+    return found
 
 
 def combined(matches: DataFrame, tie_breaker: float) -> DataFrame:

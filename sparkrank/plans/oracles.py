@@ -443,6 +443,15 @@ _GENERATED = {
 }
 
 
+# The catalog after the batch of ``index_after_upsert``.
+_CHANGED = ", ".join(f"{c}" for c in ("description", "category", "price", "brand", "rating", "text"))
+_UPSERTED = {
+    "products": f"""
+        select id, case when id % 10 = 0 then brand || ' ' || category else title end as title, {_CHANGED}
+        from ({CTES['products']}) where id % 10 <> 5
+        union all select id + 1000000000, title, {_CHANGED} from ({CTES['products']}) where id % 10 = 1""",
+}
+
 # The full analyser: tokens of both sides replaced by their stems.
 _STEMMED = {
     "whole_toks": CTES["kept_toks"],
@@ -581,6 +590,7 @@ ORACLES: dict[str, str] = {
         "select 'lang' as attribute, category as value, count(*) as n from products group by all "
         "union all select 'source', brand, count(*) from products group by all"),
     "bm25_topk": _sql("select * from bm25 where rank <= 10"),
+    "index_after_upsert": _sql("select * from bm25 where rank <= 10", other=_UPSERTED),
     "bm25_title_only": _sql(_ranked(
         "select query_id, id, round(s, 4) as score from unweighted where field = 'title'", 10)),
     "bm25_stemmed": _sql("select * from bm25 where rank <= 10", other=_STEMMED),

@@ -415,6 +415,20 @@ def bm25_topk(spark, sf_dir):
     return keyword.search_keyword(ws.index, ws.queries, 10)
 
 
+@register
+def index_after_upsert(spark, sf_dir):
+    """Every tenth document gets another title, every tenth is removed, every tenth comes again under a new id."""
+    ws = workspace(spark, sf_dir)
+    docs = ws.docs.select("id", "title", "description", "category", "brand")
+    old = docs.where(F.col("id") % 10 % 5 == 0)
+    title = F.concat_ws(" ", "brand", "category").alias("title")
+    new = docs.where(F.col("id") % 10 == 0).select("id", title, "description").unionByName(
+        docs.where(F.col("id") % 10 == 1).select((F.col("id") + 1_000_000_000).alias("id"), "title", "description")
+    )
+    updated = indexing.update_index(ws.index, old, new, scratch_root(spark), ws.buckets)
+    return keyword.search_keyword(updated, ws.queries, 10)
+
+
 @register
 def bm25_title_only(spark, sf_dir):
     ws = workspace(spark, sf_dir)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import math
 import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkrank.functions.sizing import measured_bytes
 
@@ -67,7 +69,7 @@ def write_bucketed(
     writer.option("path", f"{path}/{build}").saveAsTable(name)
     write_facts(
         spark, f"{path}/current", build=F.lit(build), buckets=F.lit(n), sort=F.lit(sort),
-        partition=F.lit(partition).cast("string"),
+        partition=F.lit(partition).cast("string"), schema=F.lit(df.schema.json()),
     )
     return spark.table(name)
 
@@ -77,9 +79,8 @@ def open_bucketed(spark: SparkSession, path: str) -> DataFrame:
     current = spark.read.parquet(f"{path}/current").first()
     location = f"{path}/{current['build']}"
     name = f"sr_{uuid.uuid4().hex}"
-    fields = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(location).schema.fields
-    )
+    schema = T.StructType.fromJson(json.loads(current["schema"]))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     parted = f"PARTITIONED BY ({current['partition']})" if current["partition"] else ""
     spark.sql(
         f"CREATE TABLE {name} ({fields}) USING parquet {parted} CLUSTERED BY (id) SORTED BY "

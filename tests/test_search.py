@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkrank.functions.porter2 import stem_word
 from sparkrank.functions.text import STOP_WORDS
 from sparkrank.operators import fusion, keyword, nearest
-from sparkrank.operators.index import build_index
+from sparkrank.operators.index import build_index, open_index, update_index
 from sparkrank.sources.scratch import scratch_root
 
 WORDS = "running shoes laptop phones cameras cotton dresses yoga mats blender the of quick fox".split()
@@ -120,7 +120,7 @@ def test_postings_stay_in_place(spark, docs):
 def test_only_folders_of_the_tokens_are_read(spark, docs):
     index = index_of(spark, docs, stem=False, shards=64)
     queries = spark.createDataFrame(QUERIES[:1], "query_id string, query string")
-    found = index.postings_of(keyword.query_terms(index, queries))
+    [found] = index.postings_of(keyword.query_terms(index, queries))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [shard" in plan or "PartitionFilters: [isnotnull(shard" in plan
     assert found.select("shard").distinct().count() < index.postings.select("shard").distinct().count()
@@ -129,6 +129,36 @@ def test_only_folders_of_the_tokens_are_read(spark, docs):
     assert both[0] == both[1] and both[0]
 
 
+def test_index_after_upserts_equals_rebuild(spark, docs):
+    """Two batches: replaced, added, removed and empty texts; statistics and hits are those of a rebuild."""
+    schema = "id bigint, title string, description string"
+    now = {d[0]: d for d in docs}
+    index = index_of(spark, docs, stem=False)
+    queries = spark.createDataFrame(QUERIES, "query_id string, query string")
+    ids = sorted(now)
+    batches = [
+        ([(i, f"{now[i][1]} red", None) for i in ids[:9]] + [(9001, "red wool", "blue"), (9002, "", None)], ids[9:14]),
+        ([(ids[0], "wool", "red red"), (9001, "blue", "blue cotton")], [ids[1], 9002]),
+        ([], []),
+    ]
+    for new, removed in batches:
+        old = [now[i] for i in {d[0] for d in new} | set(removed) if i in now]
+        made = [spark.createDataFrame(rows, schema) for rows in (old, new)]
+        index = update_index(index, *made, scratch_root(spark))
+        now.update({d[0]: d for d in new})
+        for i in removed:
+            now.pop(i, None)
+        fresh = index_of(spark, list(now.values()), stem=False)
+        for name in ("term_stats", "field_stats"):
+            a, b = (sorted(map(tuple, getattr(i, name).collect())) for i in (index, fresh))
+            assert a == b, name
+        again = open_index(spark, index.path)
+        wanted = as_lists(keyword.search_keyword(fresh, queries, 8))
+        assert wanted and as_lists(keyword.search_keyword(index, queries, 8)) == wanted
+        assert as_lists(keyword.search_keyword(again, queries, 8)) == wanted
+    assert len(index.older) == 3
+
+
 def test_keyword_and_hybrid_from_one_pass(spark, docs):
     index = index_of(spark, docs, stem=False)
     queries = spark.createDataFrame(QUERIES, "query_id string, query string")
