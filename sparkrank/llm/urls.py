@@ -64,18 +64,19 @@ class Rules:
         for verdict, rule in rules:
             host, slash, path = rule.partition("/")
             self.by_host.setdefault(host, []).append((slash + path, rule, verdict))
+        self.labels = max((host.count(".") + 1 for host in self.by_host), default=0)
 
     def fit(self, host: str, path: str) -> tuple[str, str] | None:
-        """(rule, verdict); of two of the same length the first in order of text."""
-        found, at = [], 0
-        while True:
-            for start, rule, verdict in self.by_host.get(host[at:], ()):
+        """(rule, verdict); of two of the same length the first in order of text.
+
+        Only as many labels at the end of the host are looked at as a rule has.
+        """
+        found, labels = [], host.rsplit(".", self.labels)
+        for count in range(1, min(len(labels), self.labels) + 1):
+            for start, rule, verdict in self.by_host.get(".".join(labels[-count:]), ()):
                 if path.startswith(start):
                     found.append((-len(rule), rule, verdict))
-            dot = host.find(".", at)
-            if dot < 0:
-                return min(found)[1:] if found else None
-            at = dot + 1
+        return min(found)[1:] if found else None
 
 
 def entropy(text: str) -> float:

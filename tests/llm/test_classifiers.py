@@ -1,5 +1,6 @@
 """Toxicity, quality and URL verdicts: held-out accuracy and edge cases."""
 
+import time
 import math
 import zlib
 
@@ -126,3 +127,16 @@ def test_trees_learn_what_lexical_features_tell():
     assert ((p >= 0.5) == allow[2000:]).mean() > 0.99
     one_sided = urls.grow([urls.features("a")] * 3, ["x"] * 3, np.array([False] * 3))
     assert one_sided.allowed([urls.features("b")], ["y"])[0] < 0.5
+
+
+def test_rules_by_every_suffix_and_long_hosts():
+    rules = urls.Rules((("allow", "com/"), ("block", "b.com/x/"), ("allow", "a.b.com/x/"), ("block", "c/")))
+    hosts = ["", "com", ".com", "b.com", "a.b.com", "z.a.b.com", "ab.com", "com.", "x.c", "c.", "..", "a..b.com", "b.com.c"]
+    plain = {"com": ("/", "com/", "allow"), "b.com": ("/x/", "b.com/x/", "block"), "a.b.com": ("/x/", "a.b.com/x/", "allow"), "c": ("/", "c/", "block")}
+    for host in hosts:
+        for path in ("/", "/x/", "/x", ""):
+            fits = [(len(r), r, v) for h, (p, r, v) in plain.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
+            assert rules.fit(host, path) == (max(fits)[1:] if fits else None)
+    started = time.process_time()
+    rules.fit("a." * 200_000 + "com", "/")
+    assert time.process_time() - started < 0.1
