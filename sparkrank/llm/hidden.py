@@ -88,10 +88,15 @@ class Batch:
 
     def _steps(self, model: Model, now: np.ndarray | None, first: int, last: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Per time: scaled forward probabilities and scales; ``now`` are those of the time before ``first``."""
+        ends, ones = self.at.tolist(), np.ones(len(model.first))
         for t in range(first, last):
-            now = model.first if now is None else now[: self.active[t]] @ model.moves
-            now = now * model.emits[self.symbols[self.at[t] : self.at[t + 1]]]
-            scale = now.sum(1)
+            emits = model.emits[self.symbols[ends[t] : ends[t + 1]]]
+            if now is None:
+                now = model.first * emits
+            else:
+                now = now[: ends[t + 1] - ends[t]] @ model.moves
+                now *= emits
+            scale = now @ ones
             now /= scale[:, None]
             yield t, now, scale
 
@@ -129,15 +134,18 @@ class Batch:
             base, own = self.at[first], slice(self.at[first], self.at[last])
             alpha = np.empty((self.at[last] - base, len(model.first)))
             weight = model.emits[self.symbols[own]]
+            ends, scales = (self.at - base).tolist(), np.empty(len(alpha))
             for t, now, scale in self._steps(model, starts[block], first, last):
-                alpha[self.at[t] - base : self.at[t + 1] - base] = now
-                weight[self.at[t] - base : self.at[t + 1] - base] /= scale[:, None]
-            beta = np.ones_like(alpha)
+                alpha[ends[t] : ends[t + 1]] = now
+                scales[ends[t] : ends[t + 1]] = scale
+            weight /= scales[:, None]
+            beta, back = np.ones_like(alpha), np.ascontiguousarray(model.moves.T)
             for t in range(last - 1, first - 1, -1):
-                here, there = self.at[t] - base, self.at[t + 1] - base
+                here, there = ends[t], ends[t + 1]
                 if after is not None:
-                    beta[here : here + len(after)] = after @ model.moves.T
-                after = weight[here:there] = weight[here:there] * beta[here:there]
+                    np.matmul(after, back, out=beta[here : here + len(after)])
+                after = weight[here:there]
+                after *= beta[here:there]
             # Pairs of each place with the one before: within the block, then across its start.
             active = self.active[first:last]
             later = np.arange(active[0], len(alpha))
@@ -343,7 +351,10 @@ def _rare_sums(sequences: DataFrame, known: Vocabulary) -> DataFrame:
     classes = F.broadcast(spark.createDataFrame(sizes, "class int, class_c double, types double"))
     every = sequences.select("_row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
     every = every.select("_row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
-    rows = every.join(known.counts, "word", "left").select("_row", "times", "c", _class("word").alias("class"))
+    # One long sorts faster than the words; the words decide.
+    given = known.counts.select(F.xxhash64("word").alias("h"), F.col("word").alias("known"), "c")
+    same = (F.xxhash64("word") == F.col("h")) & ~(F.col("word") != F.col("known"))
+    rows = every.join(given, same, "left").select("_row", "times", "c", _class("word").alias("class"))
     rows = rows.repartition("_row").join(classes, "class")
     seen = F.col("c").isNotNull()
     weight = F.when(seen, F.col("c") - DISCOUNT).otherwise(DISCOUNT * F.col("types") + DISCOUNT)
