@@ -36,8 +36,8 @@ STATES, ROUNDS = 8, 5
 STAY = 0.97
 #: Share of every state's emissions that follows the frequency of the symbol.
 SMOOTHED = 0.01
-#: Tokens that a task runs through at a time; their arrays are some 150 MB.
-TOKENS = 500_000
+#: Tokens that a task runs through at a time; their arrays are some 70 MB.
+TOKENS = 200_000
 
 
 #: A-Z become a-z and the white space that parts words becomes a space.
@@ -149,7 +149,7 @@ class Batch:
             # Pairs of each place with the one before: within the block, then across its start.
             active = self.active[first:last]
             later = np.arange(active[0], len(alpha))
-            moves += alpha[later - np.repeat(active[:-1], active[1:])].T @ weight[later]
+            moves += alpha[later - np.repeat(active[:-1], active[1:])].T @ weight[active[0] :]
             if block:
                 moves += starts[block][: active[0]].T @ weight[: active[0]]
             alpha *= beta
