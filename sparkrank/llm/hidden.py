@@ -30,7 +30,7 @@ from sparkrank.llm.counting import Tally, parts_of
 from sparkrank.llm.shared import ROWS, Batches, in_batches, kept, remainder
 
 FOLDS, HELD_OUT = 5, 1
-FREQUENT, CLASSES, LETTERS, DISCOUNT = 1e-5, 1024, 3, 0.5
+FREQUENT, CLASSES, LETTERS, DISCOUNT = 2e-6, 1024, 3, 0.5
 STATES, ROUNDS = 8, 5
 #: Chance to stay in a state, beside a move to any, before training.
 STAY = 0.97
@@ -220,7 +220,8 @@ def vocabulary(train: DataFrame) -> Vocabulary:
     counts = kept(word_counts(train))
     tokens, words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     frequent = F.col("c") >= tokens * FREQUENT
-    found = sorted((-r["c"], r["word"].encode("utf-8")) for r in counts.where(frequent).collect())
+    own = counts.where(frequent).toArrow()
+    found = sorted(zip((-c for c in own.column("c").to_pylist()), map(str.encode, own.column("word").to_pylist()), strict=True))
     own = {word: (at, -c) for at, (c, word) in enumerate(found)}
     symbols, types = np.zeros(len(own) + CLASSES), np.zeros(CLASSES)
     symbols[: len(own)] = [c for _, c in own.values()]
