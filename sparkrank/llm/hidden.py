@@ -36,8 +36,8 @@ STATES, ROUNDS = 8, 5
 STAY = 0.97
 #: Share of every state's emissions that follows the frequency of the symbol.
 SMOOTHED = 0.01
-#: Tokens that a task runs through at a time; their arrays are some 70 MB.
-TOKENS = 200_000
+#: Tokens that a task runs through at a time; their arrays are some 160 MB. Long texts take fewer steps side by side.
+TOKENS = 500_000
 
 
 #: A-Z become a-z and the white space that parts words becomes a space.
