@@ -36,8 +36,8 @@ STATES, ROUNDS = 8, 5
 STAY = 0.97
 #: Share of every state's emissions that follows the frequency of the symbol.
 SMOOTHED = 0.01
-#: Tokens that a task runs through at a time; their arrays are some 160 MB. Long texts take fewer steps side by side.
-TOKENS = 500_000
+#: Tokens that a task runs through at a time; their arrays are some 100 MB. Long texts take fewer steps side by side.
+TOKENS = 300_000
 
 
 #: A-Z become a-z and the white space that parts words becomes a space.
@@ -86,16 +86,24 @@ class Batch:
         self.symbols = np.empty(len(symbols), np.int64)
         self.symbols[self.place] = symbols
 
-    def _steps(self, model: Model, now: np.ndarray | None, first: int, last: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per time: scaled forward probabilities and scales; ``now`` are those of the time before ``first``."""
+    def _steps(
+        self, model: Model, now: np.ndarray | None, first: int, last: int, emits: np.ndarray | None = None
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Per time: scaled forward probabilities and scales.
+
+        ``now`` are those of the time before ``first``, ``emits`` the emissions
+        of all tokens of these times, where they are at hand.
+        """
         ends, ones = self.at.tolist(), np.ones(len(model.first))
+        base = ends[first]
         for t in range(first, last):
-            emits = model.emits[self.symbols[ends[t] : ends[t + 1]]]
+            from_, to = ends[t], ends[t + 1]
+            some = model.emits[self.symbols[from_:to]] if emits is None else emits[from_ - base : to - base]
             if now is None:
-                now = model.first * emits
+                now = model.first * some
             else:
-                now = now[: ends[t + 1] - ends[t]] @ model.moves
-                now *= emits
+                now = now[: to - from_] @ model.moves
+                now *= some
             scale = now @ ones
             now /= scale[:, None]
             yield t, now, scale
@@ -103,7 +111,8 @@ class Batch:
     def likelihoods(self, model: Model) -> np.ndarray:
         """Logarithm (base 10) of the exact likelihood of each sequence."""
         total = np.zeros(len(self.order))
-        for t, _, scale in self._steps(model, None, 0, len(self.active)):
+        emits = model.emits[self.symbols] if len(self.symbols) <= 2 * TOKENS else None
+        for t, _, scale in self._steps(model, None, 0, len(self.active), emits):
             total[: self.active[t]] += np.log10(scale)
         out = np.empty(len(total))
         out[self.order] = total
@@ -135,7 +144,7 @@ class Batch:
             alpha = np.empty((self.at[last] - base, len(model.first)))
             weight = model.emits[self.symbols[own]]
             ends, scales = (self.at - base).tolist(), np.empty(len(alpha))
-            for t, now, scale in self._steps(model, starts[block], first, last):
+            for t, now, scale in self._steps(model, starts[block], first, last, weight):
                 alpha[ends[t] : ends[t + 1]] = now
                 scales[ends[t] : ends[t + 1]] = scale
             weight /= scales[:, None]
