@@ -495,6 +495,7 @@ ORACLES: dict[str, str] = {
     "embedding_coverage": (
         "select count(*) as total, count(embedding) as embedded, count(*) - count(embedding) as missing "
         "from documents left join embeddings on doc_id = vec_id"),
+    "scan_json_array": _sql(f"select {_DOC} from products"),
     "roundtrip_catalog": _sql(f"select {_DOC} from products"),
     "roundtrip_vectors": (
         "select doc_id as id, p - 1 as pos, embedding[p]::double as value from ("

@@ -87,6 +87,14 @@ def roundtrip_catalog(spark, sf_dir):
     return _flat(catalog.load_products(spark, path, "json", schema=source.schema))
 
 
+@register
+def scan_json_array(spark, sf_dir):
+    path = scratch_root(spark)
+    source = standin.products(spark, sf_dir)
+    catalog.save(source, path, "json_array")
+    return _flat(catalog.load_products(spark, path, "json_array", schema=source.schema))
+
+
 @register
 def roundtrip_vectors(spark, sf_dir):
     path = scratch_root(spark)
