@@ -6,9 +6,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkrank.functions.sizing import broadcast_if_within
 from sparkrank.functions.text import analyze
+from sparkrank.operators.encoders import stamped
 from sparkrank.sources.scratch import (
     open_bucketed, spread, write_bucketed, write_facts, write_table,
 )
@@ -221,6 +223,40 @@ def index_stats(index: Index, vectors: DataFrame) -> DataFrame:
     )
 
 
+def _kind(of: T.DataType) -> str:
+    if isinstance(of, T.MapType):
+        return "object"
+    return "keyword" if isinstance(of, T.StringType) else of.simpleString()
+
+
+def index_mapping(index: Index, docs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """One row per field of the written tables: what it is, how it is searched, in how many rows it is filled.
+
+    Text fields have analyser and weight as the index was built, ``embedding``
+    the dimension and the encoder noted in the schema of ``vectors``; all other
+    columns of ``docs`` are stored for filters, sorting and facets.
+    """
+    steps = ["words"] + ["stop words"] * (index.stop is None or len(index.stop) > 0) + ["stems"] * index.stem
+
+    def row(name: str, kind: str, analyser=None, weight=None, dim=None, encoder=None) -> Column:
+        facts = {
+            "field": (name, "string"), "kind": (kind, "string"), "analyser": (analyser, "string"),
+            "weight": (weight, "double"), "dim": (dim, "bigint"), "encoder": (encoder, "string"),
+        }
+        filled = F.count(F.col(f"`{name}`")).alias("filled")
+        return F.struct(*[F.lit(v).cast(t).alias(k) for k, (v, t) in facts.items()], filled)
+
+    stored = [
+        row(f.name, "text", ", ".join(steps), index.weights[f.name])
+        if f.name in index.weights else row(f.name, _kind(f.dataType))
+        for f in docs.schema.fields if f.name != "embedding"
+    ]
+    encoder, dim = stamped(vectors)
+    rows = [(docs, stored), (vectors, [row("embedding", "vector", dim=dim, encoder=encoder)])]
+    fields, embedding = [df.agg(F.array(*of).alias("rows")).select(F.inline("rows")) for df, of in rows]
+    return fields.unionByName(embedding)
+
+
 def filter_keyword(docs: DataFrame, **equals: str) -> DataFrame:
     """Exact match on keyword columns."""
     for name, value in equals.items():

@@ -531,6 +531,18 @@ ORACLES: dict[str, str] = {
         "from dfs group by field) t using (field)"),
     "gen_products": _sql("select * from made"),
     "gen_ratings": _sql("select rating, count(*) as n from made group by rating"),
+    "index_mapping": _sql(" union all ".join(
+        f"select '{field}' as field, '{kind}' as kind, {analyser} as analyser, {weight}::double as weight, "
+        f"null::bigint as dim, null as encoder, count({field}) as filled from products"
+        for field, kind, analyser, weight in [
+            ("id", "bigint", "null", "null"), ("title", "text", "'words, stop words'", "2"),
+            ("description", "text", "'words, stop words'", "1"), ("category", "keyword", "null", "null"),
+            ("price", "double", "null", "null"), ("brand", "keyword", "null", "null"),
+            ("rating", "double", "null", "null"),
+        ]
+    ) + " union all select 'attributes', 'object', null, null, null, null, count(*) from products"
+        " union all select 'product_type', 'keyword', null, null, null, null, 0"
+        " union all select 'embedding', 'vector', null, null, 64, 'hashed words', count(*) from vecs where side = 'd'"),
     "gen_quota": _sql("select category, product_type, n from stock"),
     "gen_shuffled": _sql("select id, title from made"),
     "product_index": _sql("select category, product_type, pos, id from numbered"),
@@ -596,6 +608,7 @@ ORACLES: dict[str, str] = {
         "select query_id, id, round(s, 4) as score from unweighted where field = 'title'", 10)),
     "bm25_stemmed": _sql("select * from bm25 where rank <= 10", other=_STEMMED),
     "knn_exact": _sql("select * from near where rank <= 10"),
+    "knn_text": _sql("select * from near where rank <= 10"),
     "knn_bounded": _sql("select * from near where rank <= 10"),
     "knn_cells_recall": _sql(
         "select count(*) as wanted, 0::bigint as wrong_scores, true as most_found from near where rank <= 10"

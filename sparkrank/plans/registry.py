@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from sparkrank.functions.text import stem_words
 from sparkrank.operators import (
-    approximate, cells, embedding, fusion, generation, ingest, keyword, metrics, nearest, reports,
+    approximate, cells, embedding, encoders, fusion, generation, ingest, keyword, metrics, nearest, reports,
 )
 from sparkrank.operators import index as indexing
 from sparkrank.plans.workspace import workspace
@@ -196,6 +196,12 @@ def index_stats(spark, sf_dir):
     return indexing.index_stats(ws.index, ws.vectors)
 
 
+@register
+def index_mapping(spark, sf_dir):
+    ws = workspace(spark, sf_dir)
+    return indexing.index_mapping(ws.index, ws.docs, ws.vectors)
+
+
 # --- generation --------------------------------------------------------------
 
 
@@ -456,6 +462,12 @@ def knn_exact(spark, sf_dir):
     return nearest.search_vector(ws.vectors, ws.query_vectors, 10)
 
 
+@register
+def knn_text(spark, sf_dir):
+    ws = workspace(spark, sf_dir)
+    return encoders.search_text(ws.vectors, ws.queries, encoders.hashed(), 10)
+
+
 @register
 def knn_precomputed(spark, sf_dir):
     """The given vectors, asked with the mean vector of each label."""

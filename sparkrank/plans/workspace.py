@@ -7,7 +7,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkrank.operators import approximate, cells, embedding, fusion, generation, keyword, metrics, nearest
+from sparkrank.operators import approximate, cells, embedding, encoders, fusion, generation, keyword, metrics, nearest
 from sparkrank.operators import index as indexing
 from sparkrank.operators.reports import tag
 from sparkrank.plans.flow import run_flow
@@ -59,7 +59,7 @@ class Workspace:
     def vectors(self) -> DataFrame:
         """Hashed embeddings; a document without a token cannot be found by vector."""
         text = self.docs.select("id", embedding.combined_text().alias("text"))
-        dense = embedding.hashed_embedding(text, "id", "text", partitions=self.buckets)
+        dense = encoders.hashed(partitions=self.buckets).encode(text, "id", "text")
         findable = dense.where(F.exists("embedding", lambda x: x != 0))
         return self._keep_bucketed(findable, "vectors")
 

@@ -88,7 +88,11 @@ def open_bucketed(spark: SparkSession, path: str) -> DataFrame:
     )
     if parted:
         spark.catalog.recoverPartitions(name)
-    return spark.table(name)
+    opened = spark.table(name)
+    for field in schema.fields:
+        if field.metadata:
+            opened = opened.withMetadata(field.name, field.metadata)
+    return opened
 
 
 def bucket_count(df: DataFrame) -> int:

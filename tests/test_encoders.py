@@ -1,0 +1,82 @@
+"""Vectors keep their encoder; a search from text refuses another one."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from sparkrank.operators import embedding, encoders, nearest
+from sparkrank.operators.index import build_index, index_mapping, open_index
+from sparkrank.sources.scratch import open_bucketed, write_bucketed, write_table
+
+DOCS = [(1, "red ring", "a ring of gold"), (2, "blue cup", None), (3, "red cup", "cup and saucer"), (4, None, "")]
+
+
+def _lengths():
+    return lambda texts: np.array([[len(t) + 1, t.count("r"), t.count("c")] for t in texts])
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = spark.createDataFrame(DOCS, "id bigint, title string, description string")
+    return rows.withColumn("text", embedding.combined_text()).cache()
+
+
+@pytest.fixture(scope="module")
+def asked(spark):
+    return spark.createDataFrame([(10, "red ring"), (11, "cup"), (12, None), (13, "")], "query_id bigint, query string")
+
+
+@pytest.mark.parametrize("encoder", [encoders.hashed(), encoders.hashed(8), encoders.model("lengths", 3, _lengths)])
+def test_text_search_is_vector_search_of_the_encoded_queries(docs, asked, encoder):
+    vectors = encoder.encode(docs, "id", "text")
+    ready = encoder.run(asked, "query_id", "query")
+    assert encoders.stamped(vectors) == (encoder.name, encoder.dim)
+    got = encoders.search_text(vectors, asked, encoder, 3).collect()
+    assert sorted(got) == sorted(nearest.search_vector(vectors, ready, 3).collect())
+    assert got
+
+
+def test_another_encoder_is_refused(docs, asked):
+    vectors = encoders.hashed(8).encode(docs, "id", "text")
+    for other in (encoders.hashed(16), encoders.model("other", 8, _lengths)):
+        with pytest.raises(encoders.EncoderMismatch):
+            encoders.search_text(vectors, asked, other)
+    unknown = embedding.hashed_embedding(docs, "id", "text", 8)
+    with pytest.raises(encoders.EncoderMismatch, match="unknown"):
+        encoders.search_text(unknown, asked, encoders.hashed(8))
+    encoders.search_text(encoders.stamp(unknown, encoders.hashed(8)), asked, encoders.hashed(8)).collect()
+
+
+def test_a_model_of_another_length_fails(docs):
+    with pytest.raises(Exception, match="not of length 4"):
+        encoders.model("lengths", 4, _lengths).encode(docs, "id", "text").collect()
+
+
+def test_encoder_outlives_every_write(spark, docs, tmp_path):
+    vectors = encoders.hashed(8).encode(docs, "id", "text")
+    written = write_table(vectors, str(tmp_path / "plain"))
+    kept = write_bucketed(vectors, str(tmp_path / "buckets"), ["id"], 2)
+    opened = open_bucketed(spark, str(tmp_path / "buckets"))
+    for table in (written, spark.read.parquet(str(tmp_path / "plain")), kept, opened):
+        assert encoders.stamped(table) == ("hashed words", 8)
+    assert sorted(opened.collect()) == sorted(kept.collect())
+    plan = opened.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+@pytest.mark.parametrize(
+    "stem, stop, analyser",
+    [(True, None, "words, stop words, stems"), (False, [], "words"), (False, ["ring"], "words, stop words")],
+)
+def test_mapping_is_read_back(spark, docs, tmp_path, stem, stop, analyser):
+    rows = docs.drop("text")
+    build_index(rows, str(tmp_path / "index"), {"title": 3.0}, stem, stop, 2)
+    vectors = encoders.hashed(8).encode(docs, "id", "text")
+    found = index_mapping(open_index(spark, str(tmp_path / "index")), rows, vectors)
+    assert [tuple(r) for r in found.orderBy("field").collect()] == [
+        ("description", "keyword", None, None, None, None, 3),
+        ("embedding", "vector", None, None, 8, "hashed words", 4),
+        ("id", "bigint", None, None, None, None, 4),
+        ("title", "text", analyser, 3.0, None, None, 3),
+    ]
