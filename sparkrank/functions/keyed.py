@@ -10,14 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SCALE = 4294967296  # 2^32, the range of keyed_int
+DIGITS = 13
+SCALE = 16**DIGITS  # the range of keyed_int, exact as DOUBLE
 
 
 def keyed_int(seed: int, slot: str | Column, *keys: Column) -> Column:
-    """32-bit draw as BIGINT: the first 8 hex digits of md5('seed|key..|slot')."""
+    """52-bit draw as BIGINT: the first 13 hex digits of md5('seed|key..|slot').
+
+    Every value has an exact double, so a draw scaled to 0..size-1 stays below
+    size and reaches all of it up to billions of rows.
+    """
     slot_col = F.lit(slot) if isinstance(slot, str) else slot.cast("string")
     parts = [F.lit(str(seed)), *[k.cast("string") for k in keys], slot_col]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 8), 16, 10).cast("bigint")
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, DIGITS), 16, 10).cast("bigint")
 
 
 def keyed_uniform(seed: int, slot: str | Column, *keys: Column) -> Column:
@@ -25,6 +30,11 @@ def keyed_uniform(seed: int, slot: str | Column, *keys: Column) -> Column:
     return keyed_int(seed, slot, *keys) / F.lit(float(SCALE))
 
 
+def keyed_bucket(draw: Column, buckets: int) -> Column:
+    """Part 0..buckets-1 of a ``keyed_int``; it does not decrease with the draw."""
+    return F.floor(draw / F.lit(float(SCALE)) * buckets).cast("bigint")
+
+
 def keyed_index(seed: int, slot: str | Column, size: Column, *keys: Column) -> Column:
     """Draw in 0..size-1."""
     return F.floor(keyed_uniform(seed, slot, *keys) * size).cast("bigint")

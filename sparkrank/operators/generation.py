@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrank.functions.keyed import (
-    SCALE, keyed_index, keyed_int, keyed_pick, keyed_subset, keyed_uniform,
+    keyed_bucket, keyed_index, keyed_int, keyed_pick, keyed_subset, keyed_uniform,
 )
 from sparkrank.functions.ranking import number_rows
 from sparkrank.functions.sizing import broadcast_if_within
 from sparkrank.functions.text import title_case
-from sparkrank.sources.scratch import shuffle_width
+from sparkrank.sources.scratch import scratch_root, shuffle_width, write_table
 
 SEED = 42
 MIN_RELEVANT, MAX_RELEVANT = 5, 15
@@ -25,14 +25,13 @@ INDEX_BUCKETS = 256
 def number_templates(templates: DataFrame) -> DataFrame:
     """Templates plus cat_no, type_no (from 0, in name order) and types per category.
 
-    A template table is a dimension: one row per product type.
+    Categories are numbered in parallel, in parts by their first two bytes.
     """
     in_category = Window.partitionBy("category")
-    categories = templates.select("category").distinct()
-    numbered = categories.withColumn(
-        "cat_no", (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("category")) - 1).cast("bigint")
-    )
-    return templates.join(F.broadcast(numbered), "category").withColumns(
+    categories = templates.select("category").where(F.col("category").isNotNull()).distinct()
+    head = F.rpad(F.hex(F.substring(F.encode("category", "utf-8"), 1, 2)), 4, "0")
+    numbered = number_rows(categories, [], ["category"], F.conv(head, 16, 10).cast("bigint"), "cat_no")
+    return templates.join(broadcast_if_within(numbered), "category").withColumns(
         {
             "type_no": (F.row_number().over(in_category.orderBy("product_type")) - 1).cast("bigint"),
             "types": F.count(F.lit(1)).over(in_category),
@@ -40,24 +39,31 @@ def number_templates(templates: DataFrame) -> DataFrame:
     )
 
 
-def quota_slots(templates: DataFrame, n: int, seed: int = SEED) -> DataFrame:
+def _once(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder: what several steps read is computed once."""
+    return write_table(df, scratch_root(df.sparkSession))
+
+
+def _category_sizes(numbered: DataFrame) -> tuple[DataFrame, int]:
+    sizes = numbered.groupBy("cat_no").agg(F.max("types").alias("types"))
+    return broadcast_if_within(sizes), sizes.count()
+
+
+def quota_slots(templates: DataFrame, n: int, seed: int = SEED, numbered: DataFrame | None = None) -> DataFrame:
     """(slot 1..n, cat_no, type_no): equal shares per category and per type inside it.
 
     The rest of a category goes to random types of it, the rest of n to random
-    categories and types.
+    categories and types. ``numbered`` are the templates as ``number_templates``
+    numbers them, where the caller has them.
     """
-    numbered = broadcast_if_within(number_templates(templates))
-    sizes = numbered.groupBy("cat_no").agg(F.max("types").alias("types"))
-    n_categories = sizes.count()
+    sizes, n_categories = _category_sizes(_once(number_templates(templates)) if numbered is None else numbered)
     share = n // n_categories
     slots = templates.sparkSession.range(1, n + 1).withColumnRenamed("id", "slot")
     at = F.col("slot") - 1
     shared = at < share * n_categories
     by_quota = F.floor(at / F.lit(max(share, 1))).cast("bigint")
     random_cat = keyed_index(seed, "category", F.lit(n_categories), F.col("slot"))
-    placed = slots.withColumn("cat_no", F.when(shared, by_quota).otherwise(random_cat)).join(
-        F.broadcast(sizes), "cat_no"
-    )
+    placed = slots.withColumn("cat_no", F.when(shared, by_quota).otherwise(random_cat)).join(sizes, "cat_no")
     inside = at % F.lit(max(share, 1))
     per_type = F.floor(F.lit(share) / F.col("types")).cast("bigint")
     type_quota = F.floor(inside / F.greatest(per_type, F.lit(1))).cast("bigint")
@@ -83,8 +89,8 @@ def fill_slots(template: Column, values: Column) -> Column:
 
 def generate_products(templates: DataFrame, n: int, seed: int = SEED) -> DataFrame:
     """n products after the templates, without any shuffle of the product rows."""
-    numbered = broadcast_if_within(number_templates(templates))
-    rows = quota_slots(templates, n, seed).join(numbered, ["cat_no", "type_no"])
+    numbered = _once(number_templates(templates))
+    rows = quota_slots(templates, n, seed, numbered).join(broadcast_if_within(numbered), ["cat_no", "type_no"])
     slot = F.col("slot")
     named = rows.withColumns(
         {
@@ -132,7 +138,7 @@ def product_index(products: DataFrame, seed: int = SEED, buckets: int | None = N
     hashed = products.select(
         "category", "product_type", "id", keyed_int(seed, "index", F.col("id")).alias("_h")
     )
-    bucket = F.floor(F.col("_h") * buckets / SCALE)
+    bucket = keyed_bucket(F.col("_h"), buckets)
     return number_rows(hashed, ["category", "product_type"], ["_h", "id"], bucket).select(
         "category", "product_type", "pos", "id"
     )
@@ -142,19 +148,23 @@ def type_sizes(index: DataFrame) -> DataFrame:
     return index.groupBy("category", "product_type").agg(F.count(F.lit(1)).alias("n_products"))
 
 
-def draw_relevant(targets: DataFrame, index: DataFrame, seed: int = SEED) -> DataFrame:
+def draw_relevant(
+    targets: DataFrame, index: DataFrame, seed: int = SEED, sizes: DataFrame | None = None
+) -> DataFrame:
     """(query_id, id): 5 to 15 products of each target type, without replacement.
 
     ``targets`` is (query_id, category, product_type). Positions are drawn, then
     looked up in the index; products that are not drawn never meet a query.
+    ``sizes`` are the ``type_sizes`` of the index, where the caller has them.
     """
     keys = [F.col("query_id"), F.col("product_type")]
     spread = MAX_RELEVANT - MIN_RELEVANT + 1
     size = F.least(
         MIN_RELEVANT + keyed_index(seed, "relevant", F.lit(spread), *keys), F.col("n_products")
     )
-    drawn = (
-        targets.join(broadcast_if_within(type_sizes(index)), ["category", "product_type"])
+    sizes = _once(type_sizes(index)) if sizes is None else sizes
+    drawn = _once(
+        targets.join(broadcast_if_within(sizes), ["category", "product_type"])
         .withColumn("size", size)
         .select(
             "query_id", "category", "product_type",
@@ -171,7 +181,7 @@ def query_name(number: Column) -> Column:
 
 
 def template_queries(
-    templates: DataFrame, index: DataFrame, num_queries: int
+    templates: DataFrame, index: DataFrame, num_queries: int, sizes: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Queries and (query_id, category, product_type) targets of the templates.
 
@@ -180,19 +190,23 @@ def template_queries(
     ``num_queries``, counted over what was kept.
     """
     keys = ["stage", "template_no"]
-    targets = templates.select(
-        *keys, "category", F.explode("target_products").alias("product_type")
-    ).join(broadcast_if_within(type_sizes(index)), ["category", "product_type"], "left_semi")
-    kept = templates.join(targets.select(*keys).distinct(), keys, "left_semi")
-    bucket = F.col("stage") * 1_000_000 + F.floor(F.col("template_no") / 10_000)
-    numbered = number_rows(kept, [], keys, bucket, "query_no").where(
-        (F.col("stage") == 0) | (F.col("query_no") < num_queries)
-    ).withColumn("query_id", query_name(F.col("query_no") + 1))
+    sizes = type_sizes(index) if sizes is None else sizes
+    # a template comes back as one row with the targets that are left
+    kept = (
+        templates.select(*keys, "query", "query_type", "category", F.explode("target_products").alias("product_type"))
+        .join(broadcast_if_within(sizes), ["category", "product_type"], "left_semi")
+        .groupBy(*keys, "query", "query_type", "category")
+        .agg(F.collect_list("product_type").alias("found"))
+    )
+    bucket = F.col("stage").cast("bigint") * F.lit(1 << 40) + F.floor(F.col("template_no") / 10_000).cast("bigint")
+    numbered = _once(
+        number_rows(kept, [], keys, bucket, "query_no")
+        .where((F.col("stage") == 0) | (F.col("query_no") < num_queries))
+        .withColumn("query_id", query_name(F.col("query_no") + 1))
+    )
     return (
         numbered.select("query_id", "query", "query_type"),
-        targets.join(numbered.select(*keys, "query_id"), keys).select(
-            "query_id", "category", "product_type"
-        ),
+        numbered.select("query_id", "category", F.explode("found").alias("product_type")),
     )
 
 
@@ -206,24 +220,22 @@ def unmatched_targets(templates: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def filler_queries(
-    templates: DataFrame, index: DataFrame, first: int, count: int, seed: int = SEED
+    templates: DataFrame, index: DataFrame, first: int, count: int, seed: int = SEED, sizes: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """``count`` generated queries numbered from ``first``, with their targets.
 
     Drawn from the product types that have products, in three styles: brand and
     variation, "best" variation, variation and an attribute value.
     """
-    stocked = templates.join(
-        broadcast_if_within(type_sizes(index)), ["category", "product_type"], "left_semi"
-    )
-    numbered = number_templates(stocked)
-    sizes = numbered.groupBy("cat_no").agg(F.max("types").alias("types"))
-    n_categories = sizes.count()
+    sizes = type_sizes(index) if sizes is None else sizes
+    stocked = templates.join(broadcast_if_within(sizes), ["category", "product_type"], "left_semi")
+    numbered = _once(number_templates(stocked))
+    types, n_categories = _category_sizes(numbered)
     no = F.col("no")
     rows = (
         templates.sparkSession.range(first, first + count).withColumnRenamed("id", "no")
         .withColumn("cat_no", keyed_index(seed, "q-category", F.lit(n_categories), no))
-        .join(F.broadcast(sizes), "cat_no")
+        .join(types, "cat_no")
         .withColumn("type_no", keyed_index(seed, "q-type", F.col("types"), no))
         .drop("types")
         .join(broadcast_if_within(numbered), ["cat_no", "type_no"])
@@ -257,11 +269,12 @@ def generate_queries(
     seed: int = SEED,
 ) -> tuple[DataFrame, DataFrame]:
     """(queries, qrels): template queries filled up to ``num_queries``."""
-    queries, targets = template_queries(query_templates, index, num_queries)
+    sizes = _once(type_sizes(index))
+    queries, targets = template_queries(query_templates, index, num_queries, sizes)
     have = queries.count()
     if have < num_queries:
         more, more_targets = filler_queries(
-            product_templates, index, have + 1, num_queries - have, seed
+            product_templates, index, have + 1, num_queries - have, seed, sizes
         )
         queries, targets = queries.unionByName(more), targets.unionByName(more_targets)
-    return queries, draw_relevant(targets, index, seed)
+    return queries, draw_relevant(targets, index, seed, sizes)

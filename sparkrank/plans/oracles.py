@@ -21,11 +21,11 @@ def _toks(text: str) -> str:
 
 def _draw(slot: str, *keys: str, seed: int = 42) -> str:
     text = " || '|' || ".join([f"'{seed}'", *keys, slot])
-    return f"('0x' || substr(md5({text}), 1, 8))::bigint"
+    return f"('0x' || substr(md5({text}), 1, 13))::bigint"
 
 
 def _u(slot: str, *keys: str) -> str:
-    return f"({_draw(slot, *keys)} / 4294967296.0e0)"
+    return f"({_draw(slot, *keys)} / 4503599627370496.0e0)"
 
 
 def _index(slot: str, size: str, *keys: str) -> str:
@@ -409,6 +409,7 @@ def _stems(vocabulary: str) -> str:
 
 
 NUM_QUERIES = "(select count(*) from wishes)"
+CAPPED_QUERIES = "(select count(*) filter (stage = 0) + count(*) filter (stage <> 0) // 2 from wishes)"
 FILLED_QUERIES = "(select count(*) + count(*) // 3 + 1 from wishes)"
 
 
@@ -549,6 +550,7 @@ ORACLES: dict[str, str] = {
     "gen_queries": _sql(
         "select a.query_id, a.query, a.query_type, count(*) as n_relevant "
         "from all_asked a join made_qrels q using (query_id) group by all", NUM_QUERIES),
+    "gen_capped_queries": _sql("select query_id, query, query_type from template_asked", CAPPED_QUERIES),
     "sample_qrels": _sql("select query_id, id from made_qrels", NUM_QUERIES),
     "gen_filler_queries": _sql(
         "select a.query_id, a.query, a.query_type, count(*) as n_relevant "

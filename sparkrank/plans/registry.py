@@ -260,6 +260,16 @@ def gen_queries(spark, sf_dir):
     return queries.join(sizes, "query_id")
 
 
+@register
+def gen_capped_queries(spark, sf_dir):
+    """The first stage whole, of the later ones what half of them leaves room for."""
+    ws = workspace(spark, sf_dir)
+    n = ws.query_templates.agg(
+        F.count_if(F.col("stage") == 0).alias("first"), F.count_if(F.col("stage") != 0).alias("later")
+    ).first()
+    return generation.template_queries(ws.query_templates, ws.product_index, n["first"] + n["later"] // 2)[0]
+
+
 @register
 def sample_qrels(spark, sf_dir):
     return _labelled(spark, sf_dir, filled=False)[1]

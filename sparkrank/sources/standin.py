@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrank.functions.sizing import BROADCAST_BYTES, broadcast_if_within, measured_bytes
-from sparkrank.functions.keyed import SCALE, keyed_int
+from sparkrank.functions.keyed import keyed_bucket, keyed_int
 from sparkrank.functions.ranking import number_rows
 from sparkrank.functions.text import tokens, without_stop_words
 from sparkrank.operators.index import Index
+from sparkrank.sources.scratch import shuffle_width
 
 MAX_DOMAIN = 10_000
 SHORT_BLOCK = 200
@@ -211,5 +212,5 @@ def query_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     hashed = names.unionByName(brands).unionByName(regions).withColumn(
         "_h", keyed_int(42, "template", F.col("query"), F.col("category"))
     )
-    bucket = F.floor(F.col("_h") * 64 / SCALE)
+    bucket = keyed_bucket(F.col("_h"), max(64, 4 * shuffle_width(spark)))
     return number_rows(hashed, ["stage"], ["_h", "query"], bucket, "template_no").drop("_h")

@@ -7,6 +7,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from sparkrank.functions import keyed
 from sparkrank.functions.keyed import keyed_subset, keyed_uniform
 from sparkrank.functions.ranking import number_rows
 from sparkrank.operators import generation
@@ -53,6 +54,40 @@ def test_uniform_draws_are_spread(spark):
     assert abs(facts[2] - 0.5) < 0.01 and abs(facts[3] - math.sqrt(1 / 12)) < 0.01
 
 
+def test_draws_reach_beyond_32_bits_and_buckets_follow_them(spark):
+    rows = spark.range(20_000).select(keyed.keyed_int(7, "x", F.col("id")).alias("h"))
+    top = F.lit(keyed.SCALE - 1).cast("bigint")
+    size = 10**12
+    found = rows.unionByName(spark.range(1).select(top.alias("h"))).select(
+        "h", F.floor(F.col("h") / F.lit(float(keyed.SCALE)) * size).cast("bigint").alias("at"),
+        keyed.keyed_bucket(F.col("h"), 50_000).alias("bucket"),
+    ).orderBy("h").collect()
+    assert len({r["at"] for r in found}) == 20_001 and found[-1]["at"] < size and found[-1]["bucket"] == 49_999
+    assert any(r["at"] % 2**32 != r["at"] for r in found) and min(r["bucket"] for r in found) >= 0
+    assert [r["bucket"] for r in found] == sorted(r["bucket"] for r in found)
+
+
+def test_categories_are_numbered_in_name_order(spark):
+    names = ["b", "", "a", "ab", "é", "a\u0000", "Zoo", "zoo", "日本", "ab", None]
+    rows = spark.createDataFrame([(c, f"t{i}") for i, c in enumerate(names)], "category string, product_type string")
+    got = {r["category"]: r["cat_no"] for r in generation.number_templates(rows).collect()}
+    wanted = sorted({c for c in names if c is not None}, key=lambda c: c.encode())
+    assert got == {c: i for i, c in enumerate(wanted)}
+
+
+def test_late_template_numbers_stay_in_their_stage(spark):
+    products, _ = templates(spark)
+    index = generation.product_index(generation.generate_products(products, 30))
+    kind = index.first()
+    asked = spark.createDataFrame(
+        [(s, n, f"q{s}-{n}", kind["category"], [kind["product_type"]], "t") for s in (0, 1, 2) for n in (0, 3 * 10**10)],
+        "stage int, template_no bigint, query string, category string, target_products array<string>, query_type string",
+    )
+    queries, _ = generation.template_queries(asked, index, 100)
+    got = [r["query"] for r in queries.orderBy("query_id").collect()]
+    assert got == [f"q{s}-{n}" for s in (0, 1, 2) for n in (0, 3 * 10**10)]
+
+
 def test_subsets_have_no_repeats_and_cover_evenly(spark):
     drawn = spark.range(3000).select(
         keyed_subset(7, F.lit(4), F.lit(10), F.col("id")).alias("s")
