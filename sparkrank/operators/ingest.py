@@ -7,7 +7,7 @@ catalog is the last accepted version of every id.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +47,7 @@ def reject_reason(dim: int) -> Column:
 def ingest(
     batch: DataFrame, target: str, batch_no: int, dim: int, raise_on_error: bool = False
 ) -> DataFrame:
-    """Append one batch; returns its one-row stats (total, success, failed).
+    """Append one batch; returns its one-row stats (total, success, failed), counted as it is written.
 
     Rows of one id are ordered by ``seq``. Without that column nothing says
     which row is newer, so all rows of an id that repeats are rejected.
@@ -65,11 +65,36 @@ def ingest(
     if raise_on_error and not checked.where(F.col("reason").isNotNull()).isEmpty():
         raise RejectedRows("the batch holds invalid rows, nothing was written")
     path = f"{target.rstrip('/')}/batch={int(batch_no)}"
-    (
-        checked.withColumn("accepted", F.col("reason").isNull())
-        .write.mode("overwrite").partitionBy("accepted").parquet(path)
-    )
-    return ingest_stats(_log(batch.sparkSession, target, docs.schema), batch_no)
+    marked, seen = _observed(checked.withColumn("accepted", F.col("reason").isNull()), _STATS)
+    marked.write.mode("overwrite").partitionBy("accepted").parquet(path)
+    return _one_row(batch.sparkSession, seen.get, _STATS)
+
+
+_STATS = {"total": "count(1)", "success": "count_if(accepted)", "failed": "count_if(not accepted)"}
+_FACTS = {
+    "n": "count(1)", "without_vector": "count_if(coalesce(size(embedding), 0) <= 0)",
+    "min_dim": "cast(min(size(embedding)) as bigint)", "max_dim": "cast(max(size(embedding)) as bigint)",
+}
+
+
+def _measures(facts: dict[str, str]) -> list[Column]:
+    return [F.expr(what).alias(name) for name, what in facts.items()]
+
+
+def _observed(df: DataFrame, facts: dict[str, str]) -> tuple[DataFrame, Observation]:
+    """``df`` with aggregates that are known once it is written.
+
+    They are taken in the tasks that write, of which one attempt counts, so a
+    lost executor changes no number.
+    """
+    seen = Observation()
+    return df.observe(seen, *_measures(facts)), seen
+
+
+def _one_row(spark: SparkSession, found: dict, facts: dict[str, str]) -> DataFrame:
+    """The observed values as a row; counts of nothing are 0, extremes NULL."""
+    values = {name: found.get(name, 0 if what.startswith("count") else None) for name, what in facts.items()}
+    return spark.range(1).select(*[F.lit(v).cast("bigint").alias(name) for name, v in values.items()])
 
 
 def _log(spark: SparkSession, target: str, doc_schema: T.StructType) -> DataFrame:
@@ -103,11 +128,7 @@ def current_catalog(log: DataFrame) -> DataFrame:
 
 def ingest_stats(log: DataFrame, batch_no: int | None = None) -> DataFrame:
     rows = log if batch_no is None else log.where(F.col("batch") == batch_no)
-    return rows.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(F.col("accepted")).alias("success"),
-        F.count_if(~F.col("accepted")).alias("failed"),
-    )
+    return rows.agg(*_measures(_STATS))
 
 
 def rejects(log: DataFrame) -> DataFrame:
@@ -123,26 +144,28 @@ def sample_documents(docs: DataFrame, n: int = 3) -> DataFrame:
     return docs.orderBy("id").limit(n)
 
 
-def compact(log: DataFrame, path: str) -> None:
-    """Write the current catalog as the first batch of a new target."""
-    seq = current_catalog(log).drop("batch").withColumns(
+def compact(log: DataFrame, path: str) -> DataFrame:
+    """Write the current catalog as the first batch of a new target.
+
+    Returns one row (n, without_vector, min_dim, max_dim), taken as it is
+    written; ``verify_ingest`` takes it in place of a pass over the catalog.
+    """
+    rows = current_catalog(log).drop("batch").withColumns(
         {"reason": F.lit(None).cast("string"), "accepted": F.lit(True)}
     )
-    seq.write.mode("overwrite").partitionBy("accepted").parquet(f"{path.rstrip('/')}/batch=0")
+    rows, seen = _observed(rows, _FACTS)
+    rows.write.mode("overwrite").partitionBy("accepted").parquet(f"{path.rstrip('/')}/batch=0")
+    return _one_row(log.sparkSession, seen.get, _FACTS)
 
 
-def verify_ingest(docs: DataFrame, expected: int | None = None, k: int = 3) -> DataFrame:
+def verify_ingest(docs: DataFrame, expected: int | None = None, k: int = 3, facts: DataFrame | None = None) -> DataFrame:
     """One row: count, dimensions, rows without vector, and whether sampled rows find themselves.
 
     ``self_score`` is the lowest best score of the sampled rows searched by
-    their own vector: 1 when the search answers. ``ok`` sums all up.
+    their own vector: 1 when the search answers. ``ok`` sums all up. ``facts``
+    are those of ``compact``, if ``docs`` is what it wrote.
     """
-    facts = docs.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.coalesce(F.size("embedding"), F.lit(0)) <= 0).alias("without_vector"),
-        F.min(F.size("embedding")).cast("bigint").alias("min_dim"),
-        F.max(F.size("embedding")).cast("bigint").alias("max_dim"),
-    )
+    facts = docs.agg(*_measures(_FACTS)) if facts is None else facts
     sample = sample_documents(docs, k).select(F.col("id").alias("query_id"), "embedding")
     own = search_vector(docs.select("id", "embedding"), sample, top_k=k).where(F.col("rank") == 1)
     self_score = own.agg(F.min("score").alias("self_score"))

@@ -180,9 +180,10 @@ def ingest_streaming(spark, sf_dir):
 
 @register
 def verify_ingest(spark, sf_dir):
-    docs = ingest.current_catalog(_ingested(spark, sf_dir))
+    packed = scratch_root(spark)
+    facts = ingest.compact(_ingested(spark, sf_dir), packed)
     expected = catalog.embedded_only(standin.embedded_products(spark, sf_dir, rated=False)).count()
-    return ingest.verify_ingest(docs, expected)
+    return ingest.verify_ingest(ingest.read_log(spark, packed, "bigint"), expected, facts=facts)
 
 
 @register

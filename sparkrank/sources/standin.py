@@ -6,21 +6,25 @@ into title and body, and each item of ``benchmark`` is one query.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import islice
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sparkrank.functions.sizing import BROADCAST_BYTES, broadcast_if_within, measured_bytes
 from sparkrank.functions.keyed import keyed_bucket, keyed_int
 from sparkrank.functions.ranking import number_rows
 from sparkrank.functions.text import tokens, without_stop_words
 from sparkrank.operators.index import Index
-from sparkrank.sources.scratch import shuffle_width
+from sparkrank.sources.scratch import scratch_root, shuffle_width, write_table
 
 MAX_DOMAIN = 10_000
-SHORT_BLOCK = 200
+#: Text of short queries that one pass looks for; every task holds them as an automaton some hundred times larger.
+SHORT_BYTES = 1024 * 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,17 +78,55 @@ def queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _blocks(queries: DataFrame) -> Iterator[list[Row]]:
-    rows = queries.toLocalIterator()
-    while block := list(islice(rows, SHORT_BLOCK)):
-        yield block
+def _containing(body: DataFrame, asked: DataFrame) -> DataFrame:
+    """(query_id, id) of the texts that contain a query of ``asked``, in one pass over them.
 
+    ``asked`` is one block: it goes to every task. A text is read once, however
+    many queries there are. The empty query is in every text.
+    """
+    ids: dict[str, list] = {}
+    for row in asked.collect():
+        ids.setdefault(row["query"], []).append(row["query_id"])
+    everywhere = ids.pop("", [])
+    types = [to_arrow_type(asked.schema["query_id"].dataType), to_arrow_type(body.schema["id"].dataType)]
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = ahocorasick.Automaton()
+        for text in ids:
+            words.add_word(text, text)
+        words.make_automaton()
+        for batch in batches:
+            found, where = [], []
+            for doc, text in zip(batch.column("id").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                held = {word for _, word in words.iter(text)} if ids else ()
+                hits = everywhere + [q for word in held for q in ids[word]]
+                found += hits
+                where += [doc] * len(hits)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, types[0]), pa.array(where, types[1])], names=["query_id", "id"]
+            )
+
+    schema = f"query_id {asked.schema['query_id'].dataType.simpleString()}, id {body.schema['id'].dataType.simpleString()}"
+    return body.select("id", "body").mapInArrow(search, schema)
 
-def _containing(body: DataFrame, block: list[Row]) -> DataFrame:
-    """(query_id, id) of the texts that contain a query of ``block``, in one pass over them."""
-    asked = F.array(*[F.struct(F.lit(r["query_id"]).alias("query_id"), F.lit(r["query"]).alias("query")) for r in block])
-    hits = F.filter(asked, lambda q: F.contains(F.col("body"), q["query"]))
-    return body.select("id", F.explode(hits).alias("q")).select("q.query_id", "id")
+
+def _short_hits(body: DataFrame, short: DataFrame) -> DataFrame | None:
+    """(query_id, id) for queries looked up in all texts: one pass for each ``SHORT_BYTES`` of them.
+
+    Each block is written before the next is read, so no plan grows with their
+    number. None without such queries.
+    """
+    spark, folder = short.sparkSession, scratch_root(short.sparkSession)
+    kept = write_table(short, f"{folder}/short")
+    blocks = math.ceil(measured_bytes(kept) / SHORT_BYTES)
+    found = None
+    for block in range(blocks):
+        part = _containing(body, kept.where(F.pmod(F.xxhash64("query_id", "query"), F.lit(blocks)) == block))
+        part.write.mode("overwrite").parquet(f"{folder}/hits/block={block}")
+        found = part.schema
+    if found is None:
+        return None
+    return spark.read.schema(found).parquet(f"{folder}/hits").select("query_id", "id")
 
 
 def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFrame:
@@ -95,13 +137,12 @@ def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFram
     postings and only the documents found there are compared in full. The outer
     tokens are left out: they may be parts of longer words of the document. A
     query without an inner token that is no stop word is looked for in all
-    texts, ``SHORT_BLOCK`` such queries in a pass.
+    texts, many in a pass, see ``_short_hits``.
     """
     inner = tokens(F.col("query"))
     inner = without_stop_words(F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0))))
     body = docs.select("id", F.concat_ws("\n", "title", "description").alias("body"))
     short = queries.where(F.col("query").isNotNull() & (F.size(inner) == 0)).select("query_id", "query")
-    scanned = [_containing(body, block) for block in _blocks(short)]
     queries = queries.where(F.size(inner) > 0)
     checked = inner
     # a query of n bytes has at most n / 2 words of some 32 bytes with their id
@@ -126,9 +167,8 @@ def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFram
         .where(F.contains("body", F.col("query")))
         .select("query_id", "id")
     )
-    for more in scanned:
-        found = found.unionByName(more)
-    return found
+    more = _short_hits(body, short)
+    return found if more is None else found.unionByName(more)
 
 
 def product_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

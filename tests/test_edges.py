@@ -70,6 +70,20 @@ def test_short_passages_are_found(spark):
     assert {r["id"] for r in found if r["query_id"] == 2} == set(texts)
 
 
+@pytest.mark.parametrize("block_bytes", [1, 200, 1 << 20])
+def test_many_short_passages_in_any_number_of_passes(spark, monkeypatch, block_bytes):
+    monkeypatch.setattr(standin, "SHORT_BYTES", block_bytes)
+    texts = {1: "a\nab abc", 2: "", 3: "the of\x00", 4: "ünï 日本\nof", 5: "aaaa", 6: None}
+    asked = {10: "a", 11: "ab", 12: "aa", 13: "", 14: "日", 15: "ï 日", 16: "\x00", 17: "zz", 18: "a", 19: "\n"}
+    body = spark.createDataFrame(list(texts.items()), "id long, body string").withColumn("body", F.coalesce("body", F.lit("")))
+    short = spark.createDataFrame(list(asked.items()), "query_id int, query string")
+    found = standin._short_hits(body, short)
+    got = sorted(tuple(r) for r in found.collect())
+    assert got == sorted((q, i) for q, w in asked.items() for i, t in texts.items() if w in (t or ""))
+    assert [t.dataType.simpleString() for t in found.schema] == ["int", "bigint"]
+    assert standin._short_hits(body, short.limit(0)) is None
+
+
 def test_row_wise_queries_do_not_shuffle(spark):
     import __spark_entry__ as entry
 

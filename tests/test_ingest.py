@@ -89,6 +89,38 @@ def test_compact_keeps_the_current_rows(spark):
     assert {r["id"]: r["title"] for r in ingest.current_catalog(log).collect()} == {"a": "new", "b": "t"}
 
 
+def jobs_of(spark, work):
+    group = scratch_root(spark)
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_stats_cost_no_second_job(spark):
+    rows = spark.createDataFrame([row("a"), row("b"), *bad_rows()], SCHEMA)
+    for batch, wanted in ((rows, (7, 2, 5)), (rows.limit(0), (0, 0, 0)), (rows.where("false"), (0, 0, 0))):
+        target = scratch_root(spark)
+        batch = batch.repartition(2)
+        stats, jobs = jobs_of(spark, lambda: ingest.ingest(batch, target, 1, 2))  # noqa: B023
+        plain, alone = jobs_of(spark, lambda: batch.write.parquet(scratch_root(spark)))  # noqa: B023
+        assert jobs <= alone
+        assert tuple(stats.first()) == wanted
+
+
+def test_facts_of_the_packed_catalog_need_no_pass(spark):
+    target, packed = scratch_root(spark), scratch_root(spark)
+    ingest.ingest(spark.createDataFrame([row("a"), row("a", seq=2), row("b", vector=(3.0, 1.0)), *bad_rows()], SCHEMA), target, 1, 2)
+    facts = ingest.compact(ingest.read_log(spark, target), packed)
+    assert tuple(facts.first()) == (2, 0, 2, 2)
+    docs = ingest.read_log(spark, packed)
+    assert ingest.verify_ingest(docs, 2, facts=facts).collect() == ingest.verify_ingest(docs, 2).collect()
+    assert ingest.verify_ingest(docs, 2, facts=facts).first()["ok"]
+    empty = ingest.compact(docs.where("false"), scratch_root(spark))
+    assert tuple(empty.first()) == (0, 0, None, None)
+
+
 def test_verify(spark):
     docs = spark.createDataFrame([row(f"p{i}", vector=(i + 1.0, 1.0)) for i in range(5)], SCHEMA)
     good = ingest.verify_ingest(docs, 5).first()
