@@ -57,8 +57,10 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(f"size(filter(spans, s -> s.kind = '{kind}'))").cast("bigint").alias(f"n_{kind}")
         for kind in pii.BASE_KINDS
     ]
+    scores = F.array_join(F.transform("spans", lambda s: s.score.cast("string")), ",")
     return found.select(
-        "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+        "doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"),
+        scores.alias("scores"),
     )
 
 

@@ -140,3 +140,77 @@ def test_rules_by_every_suffix_and_long_hosts():
     started = time.process_time()
     rules.fit("a." * 200_000 + "com", "/")
     assert time.process_time() - started < 0.1
+
+
+@pytest.mark.parametrize("prior", [0.1, 0.6])
+def test_steps_follow_the_risk_by_finite_differences(monkeypatch, prior):
+    """The training again with a dense matrix, the risk as written and its slope by differences."""
+    steps, d = 12, 9
+    monkeypatch.setattr(toxicity, "STEPS", steps)
+    monkeypatch.setattr(toxicity, "_choose", lambda rows, words, positive: np.arange(d, dtype=np.uint32))
+    rng = np.random.default_rng(5)
+    x = (rng.random((60, d)) < 0.4).astype(float)
+    positive = np.arange(60) < 20
+    x[positive, :3] = rng.random((20, 3)) < 0.8
+    member = toxicity.train([np.flatnonzero(row).astype(np.uint32) for row in x], positive, prior)
+
+    def parts(theta):
+        z = x @ theta[:d] + theta[d]
+        as_clean, as_toxic = np.log1p(np.exp(-z)), np.log1p(np.exp(z))
+        clean = as_toxic[~positive].mean() - prior * as_toxic[positive].mean()
+        return prior * as_clean[positive].mean() + clean, clean
+
+    def slope(value, theta):
+        shifts = 1e-5 * np.eye(d + 1)
+        return np.array([(value(theta + s) - value(theta - s)) / 2e-5 for s in shifts])
+
+    theta = np.append(np.zeros(d), np.log(prior / (1 - prior)))
+    mean, square, negative = np.zeros(d + 1), np.zeros(d + 1), 0
+    for step in range(1, steps + 1):
+        if parts(theta)[1] >= 0:
+            g = slope(lambda t: parts(t)[0], theta)
+        else:
+            negative += 1
+            g = slope(lambda t: -parts(t)[1], theta)
+        g[:d] += toxicity.DECAY * theta[:d]
+        mean, square = 0.9 * mean + 0.1 * g, 0.999 * square + 0.001 * g * g
+        theta = theta - toxicity.RATE * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
+    assert np.allclose(member.weights, theta[:d], atol=1e-4) and abs(member.bias - theta[d]) < 1e-4
+    assert (negative > 0) == (prior > 0.5)
+
+
+def test_every_split_is_the_best_of_all(monkeypatch):
+    monkeypatch.setattr(urls, "LEAST", 4)
+    rng = np.random.default_rng(11)
+    values = np.round(rng.random((300, 4)) * 12)
+    edges = [np.unique(c)[:-1] for c in values.T]
+    binned = np.stack([np.searchsorted(e, c) for e, c in zip(edges, values.T, strict=True)], axis=1)
+    hessian = rng.random(300) * 0.25
+    gradient = np.where(values[:, 0] * values[:, 1] > 30, 0.5, -0.5) + rng.normal(0, 0.2, 300)
+    tree = urls._grow(binned, edges, gradient, hessian)
+
+    def gain(rows, feature, threshold):
+        left = rows[values[rows, feature] <= threshold]
+        right = rows[values[rows, feature] > threshold]
+        if min(len(left), len(right)) < urls.LEAST:
+            return 0.0
+        worth = [gradient[r].sum() ** 2 / (hessian[r].sum() + 1) for r in (left, right, rows)]
+        return worth[0] + worth[1] - worth[2]
+
+    nodes, split = {0: np.arange(300)}, 0
+    for node in range(len(tree.feature)):
+        rows = nodes[node]
+        best = max(gain(rows, f, t) for f in range(4) for t in edges[f])
+        f, t = tree.feature[node], tree.threshold[node]
+        if np.isfinite(t):
+            split += 1
+            assert abs(gain(rows, f, t) - best) < 1e-7 and best > 0
+        else:
+            assert best < 1e-7
+        above = values[rows, f] > t
+        nodes[2 * node + 1], nodes[2 * node + 2] = rows[~above], rows[above]
+    assert split > 3
+    for leaf, value in enumerate(tree.value):
+        rows = nodes[len(tree.feature) + leaf]
+        assert abs(value - gradient[rows].sum() / (hessian[rows].sum() + 1)) < 1e-9
+    assert np.allclose(tree.values(values), [tree.value[next(i for i in range(len(tree.value)) if r in nodes[len(tree.feature) + i])] for r in range(300)])

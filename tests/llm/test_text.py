@@ -64,6 +64,16 @@ def test_iban_ends_before_what_follows(iban, after):
     assert pii.masked(text) == f"IBAN [IBAN]{after}"
 
 
+@pytest.mark.parametrize("before, kept", [("", True), ("serial ", False), ("checksum of ", False), ("serial, bank ", True)])
+def test_score_decides_the_added_kinds_and_no_base_kind(before, kept):
+    text = f"{before}DE89370400440532013000"
+    found = [s for s in pii.spans_of(text) if s.kind == "iban"]
+    assert bool(found) == kept and (pii.masked(text) == f"{before}[IBAN]") == kept
+    assert all(s.score >= pii.THRESHOLD for s in found)
+    version = pii.spans_of("version 10.2.3.4")
+    assert [(s.kind, s.score) for s in version] == [("ip", 0.3)] and pii.masked("version 10.2.3.4") == "version [IP]"
+
+
 def test_ibans_in_a_row_and_wrong_ones():
     assert pii.masked(f"bank {' '.join(IBANS)} Thanks") == "bank [IBAN] [IBAN] [IBAN] [IBAN] Thanks"
     for text in ("DE88 3704 0044 0532 0130 00 Thanks", "XDE89 3704 0044 0532 0130 00 A", "DE89 3704 0044 0532 0130 00A B", "DE89 3704 A"):
