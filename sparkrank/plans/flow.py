@@ -97,7 +97,7 @@ def run_flow(
     if "embed" not in skip:
         embed(spark, root, encoder)
     query_vectors = spark.read.parquet(f"{root}/query_vectors")
-    buckets = bucket_count(spark.read.parquet(f"{root}/embedded"))
+    buckets = bucket_count(spark, f"{root}/embedded")
     if "ingest" not in skip:
         embedded = spark.read.parquet(f"{root}/embedded")
         dim = embedding.embedding_stats(embedded).first()["max_dim"]

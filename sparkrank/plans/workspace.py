@@ -29,7 +29,7 @@ class Workspace:
 
     @cached_property
     def buckets(self) -> int:
-        return bucket_count(standin.products(self.spark, self.sf_dir))
+        return bucket_count(self.spark, f"{self.sf_dir.rstrip('/')}/documents.parquet")
 
     def _keep_bucketed(self, df: DataFrame, name: str) -> DataFrame:
         return write_bucketed(df, f"{self.root}/{name}", ["id"], self.buckets)
@@ -165,7 +165,9 @@ _OPEN: dict[tuple[str, str, bool], tuple[tuple[str, ...], Workspace]] = {}
 
 
 def _files(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
-    return tuple(sorted(f for name in INPUTS for f in standin.table(spark, sf_dir, name).inputFiles()))
+    """Names of the input files: a listing, which opens none of them."""
+    paths = [f"{sf_dir.rstrip('/')}/{name}.parquet" for name in INPUTS]
+    return tuple(sorted(spark.read.format("binaryFile").load(paths).inputFiles()))
 
 
 def workspace(spark: SparkSession, sf_dir: str, stem: bool = False) -> Workspace:

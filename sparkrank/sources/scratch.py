@@ -11,9 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparkrank.functions.sizing import measured_bytes
-
-BUCKET_BYTES = 512 * 1024 * 1024
+#: Parquet files that make one bucket; their rows take some three times that in memory.
+BUCKET_BYTES = 160 * 1024 * 1024
 #: Spark allows 100,000; beyond this number buckets grow instead.
 MAX_BUCKETS = 50_000
 
@@ -95,10 +94,13 @@ def open_bucketed(spark: SparkSession, path: str) -> DataFrame:
     return opened
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets for a table and all that is derived from it: one per core, or more if it is large."""
-    spark = df.sparkSession
-    by_size = math.ceil(measured_bytes(df) / BUCKET_BYTES)
+def bucket_count(spark: SparkSession, path: str) -> int:
+    """Buckets for the table at ``path`` and all that is derived from it: one per core, or more if it is large.
+
+    The size is that of its files; no row is read.
+    """
+    files = spark.read.format("binaryFile").load(path).agg(F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+    by_size = math.ceil(files.first()["bytes"] / BUCKET_BYTES)
     return min(MAX_BUCKETS, max(spark.sparkContext.defaultParallelism, by_size))
 
 

@@ -93,6 +93,19 @@ def test_row_wise_queries_do_not_shuffle(spark):
         assert plan.count("Exchange") <= exchanges, key
 
 
+def test_buckets_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
+    import os
+
+    from sparkrank.sources import scratch
+
+    path = str(tmp_path / "t")
+    spark.range(1000).repartition(3).write.parquet(path)
+    size = sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.startswith("part"))
+    assert scratch.bucket_count(spark, path) == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(scratch, "BUCKET_BYTES", size / 100)
+    assert scratch.bucket_count(spark, path) == 100
+
+
 def test_changed_files_give_a_new_workspace(spark, tmp_path):
     from sparkrank.plans.workspace import INPUTS
 
