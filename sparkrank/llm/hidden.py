@@ -9,8 +9,8 @@ distributed table that documents are joined with; what passes the driver are
 the frequent words, the classes and the parameters, all of bounded size.
 
 Each round of Baum-Welch adds up expected counts within tasks, then across
-partitions. The forward recursion is scaled at every token, so likelihoods are
-exact for texts of any length.
+partitions. The forward recursion is scaled every few tokens and at the end of a
+text, so likelihoods are exact for texts of any length.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -38,6 +39,8 @@ STAY = 0.97
 SMOOTHED = 0.01
 #: Tokens that a task runs through at a time; their arrays are some 100 MB. Long texts take fewer steps side by side.
 TOKENS = 300_000
+#: Tokens from one scaling to the next. An emission is at least SMOOTHED times half a token among all of training, so eight do not underflow.
+SCALED = 8
 
 
 #: A-Z become a-z and the white space that parts words becomes a space.
@@ -85,35 +88,44 @@ class Batch:
         self.place = self.at[time] + np.repeat(rank, lengths)
         self.symbols = np.empty(len(symbols), np.int64)
         self.symbols[self.place] = symbols
+        times = np.arange(len(self.active))
+        #: Times at which probabilities are scaled, among them the last one of every sequence.
+        self.scaled = ((times % SCALED == SCALED - 1) | (np.diff(self.active, append=0) < 0)).tolist()
 
     def _steps(
-        self, model: Model, now: np.ndarray | None, first: int, last: int, emits: np.ndarray | None = None
-    ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """Per time: scaled forward probabilities and scales.
+        self, model: Model, now: np.ndarray | None, first: int, last: int, emits: np.ndarray | None = None,
+        keep: np.ndarray | None = None,
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray | None]]:
+        """Per time: forward probabilities and, where they are scaled, scales.
 
         ``now`` are those of the time before ``first``, ``emits`` the emissions
-        of all tokens of these times, where they are at hand.
-        """
+        of all tokens of these times, where they are at hand. The probabilities
+        are written to ``keep``, if given, a row per token.
+        """
         ends, ones = self.at.tolist(), np.ones(len(model.first))
         base = ends[first]
         for t in range(first, last):
             from_, to = ends[t], ends[t + 1]
-            some = model.emits[self.symbols[from_:to]] if emits is None else emits[from_ - base : to - base]
+            some = np.take(model.emits, self.symbols[from_:to], 0) if emits is None else emits[from_ - base : to - base]
+            out = np.empty_like(some) if keep is None else keep[from_ - base : to - base]
             if now is None:
-                now = model.first * some
+                np.multiply(model.first, some, out=out)
             else:
-                now = now[: to - from_] @ model.moves
-                now *= some
-            scale = now @ ones
-            now /= scale[:, None]
+                np.dot(now[: to - from_], model.moves, out=out)
+                out *= some
+            now, scale = out, None
+            if self.scaled[t]:
+                scale = now @ ones
+                now /= scale[:, None]
             yield t, now, scale
 
     def likelihoods(self, model: Model) -> np.ndarray:
         """Logarithm (base 10) of the exact likelihood of each sequence."""
         total = np.zeros(len(self.order))
-        emits = model.emits[self.symbols] if len(self.symbols) <= 2 * TOKENS else None
+        emits = np.take(model.emits, self.symbols, 0) if len(self.symbols) <= 2 * TOKENS else None
         for t, _, scale in self._steps(model, None, 0, len(self.active), emits):
-            total[: self.active[t]] += np.log10(scale)
+            if scale is not None:
+                total[: len(scale)] += np.log10(scale)
         out = np.empty(len(total))
         out[self.order] = total
         return out
@@ -142,28 +154,27 @@ class Batch:
             first, last = cuts[block], cuts[block + 1]
             base, own = self.at[first], slice(self.at[first], self.at[last])
             alpha = np.empty((self.at[last] - base, len(model.first)))
-            weight = model.emits[self.symbols[own]]
-            ends, scales = (self.at - base).tolist(), np.empty(len(alpha))
-            for t, now, scale in self._steps(model, starts[block], first, last, weight):
-                alpha[ends[t] : ends[t + 1]] = now
-                scales[ends[t] : ends[t + 1]] = scale
-            weight /= scales[:, None]
+            weight = np.take(model.emits, self.symbols[own], 0)
+            ends = (self.at - base).tolist()
+            for t, _, scale in self._steps(model, starts[block], first, last, weight, alpha):
+                if scale is not None:
+                    weight[ends[t] : ends[t + 1]] /= scale[:, None]
             beta, back = np.ones_like(alpha), np.ascontiguousarray(model.moves.T)
             for t in range(last - 1, first - 1, -1):
                 here, there = ends[t], ends[t + 1]
                 if after is not None:
-                    np.matmul(after, back, out=beta[here : here + len(after)])
+                    np.dot(after, back, out=beta[here : here + len(after)])
                 after = weight[here:there]
                 after *= beta[here:there]
             # Pairs of each place with the one before: within the block, then across its start.
             active = self.active[first:last]
             later = np.arange(active[0], len(alpha))
-            moves += alpha[later - np.repeat(active[:-1], active[1:])].T @ weight[active[0] :]
+            moves += np.take(alpha, later - np.repeat(active[:-1], active[1:]), 0).T @ weight[active[0] :]
             if block:
                 moves += starts[block][: active[0]].T @ weight[: active[0]]
             alpha *= beta
-            for state in range(len(model.first)):
-                counts[:, state] += np.bincount(self.symbols[own], alpha[:, state], len(counts))
+            cells = self.symbols[own][:, None] * len(model.first) + np.arange(len(model.first))
+            counts += np.bincount(cells.ravel(), alpha.ravel(), counts.size).reshape(counts.shape)
             begun = alpha[: active[0]].sum(0)
         return (begun if len(cuts) > 1 else np.zeros_like(model.first)), model.moves * moves
 
@@ -240,11 +251,13 @@ def vocabulary(train: DataFrame) -> Vocabulary:
     return Vocabulary(counts, tokens, words, own, symbols, types)
 
 
-class _Symbols(dict):
-    """Symbols of the frequent words; any other word gets that of its class."""
-
-    def __missing__(self, word: bytes) -> int:
-        return len(self) + class_of(word)
+def _numbered(words: list[bytes], own: dict[bytes, int]) -> tuple[np.ndarray, list[bytes]]:
+    """Symbols of ``words``, and those of them that emit the symbol of their class."""
+    symbols = np.fromiter(map(own.get, words, repeat(-1)), np.int32, len(words))
+    at = np.flatnonzero(symbols < 0)
+    others = [words[i] for i in at.tolist()]
+    symbols[at] = [len(own) + class_of(word) for word in others]
+    return symbols, others
 
 
 def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
@@ -253,7 +266,7 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
     names = ["_row", "doc_id", "held_out", "n_tokens", "symbols", "base", "rare", "times"]
 
     def make(batches: Batches) -> Batches:
-        number = _Symbols((word, at) for word, (at, _) in own.items()).__getitem__
+        number = {word: at for word, (at, _) in own.items()}
         logs = np.zeros(len(own) + CLASSES)
         logs[: len(own)] = [math.log10((c + 0.5) / whole) for _, c in own.values()]
         for whole_batch in batches:
@@ -263,8 +276,8 @@ def encoded(docs: DataFrame, known: Vocabulary) -> DataFrame:
                 for text in batch.column(3):
                     parts, others = [], Counter()
                     for words in words_in_parts(text.as_py()):
-                        part = np.fromiter(map(number, words), np.int32, len(words))
-                        others.update([words[i] for i in np.flatnonzero(part >= len(own)).tolist()])
+                        part, few = _numbered(words, number)
+                        others.update(few)
                         parts.append(part)
                     symbols.append(np.concatenate(parts))
                     base.append(float(logs[symbols[-1]].sum()))
