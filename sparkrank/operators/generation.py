@@ -1,7 +1,8 @@
 """Labelled retrieval data from templates: products, queries, ground truth.
 
 All draws are keyed by row (see ``functions.keyed``): the same seed gives the
-same rows on any cluster.
+same rows on any cluster. Lists of a template too long for its row are rows of
+their own (see ``operators.domains``) and give the same draws.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from sparkrank.functions.keyed import (
 from sparkrank.functions.ranking import number_rows
 from sparkrank.functions.sizing import broadcast_if_within
 from sparkrank.functions.text import title_case
+from sparkrank.operators.domains import ATTRIBUTE, BRAND, VARIATION, found_value, look_up, with_long_sizes
 from sparkrank.sources.scratch import scratch_root, shuffle_width, write_table
 
 SEED = 42
@@ -87,21 +89,41 @@ def fill_slots(template: Column, values: Column) -> Column:
     )
 
 
-def generate_products(templates: DataFrame, n: int, seed: int = SEED) -> DataFrame:
-    """n products after the templates, without any shuffle of the product rows."""
-    numbered = _once(number_templates(templates))
+def _product_position(seed: int, row: Column):
+    """Position of a product in a long list; the product type itself, before all variations, is -1."""
+
+    def position(name: Column, size: Column) -> Column:
+        base = keyed_index(seed, "base", size + 1, row) - 1
+        return F.when(name == VARIATION, base).otherwise(keyed_index(seed, name, size, row))
+
+    return position
+
+
+def generate_products(
+    templates: DataFrame, n: int, seed: int = SEED, long_values: DataFrame | None = None
+) -> DataFrame:
+    """n products after the templates, without any shuffle of the product rows.
+
+    ``long_values`` are the lists that are not in ``templates``, as
+    ``domains.split_lists`` makes them. With them, the products of such a
+    template are shuffled for their values and once more to get them back.
+    """
+    numbered = _once(with_long_sizes(number_templates(templates), long_values))
     rows = quota_slots(templates, n, seed, numbered).join(broadcast_if_within(numbered), ["cat_no", "type_no"])
     slot = F.col("slot")
+    rows = look_up(rows, "slot", long_values, _product_position(seed, slot))
     named = rows.withColumns(
         {
-            "variation": keyed_pick(
-                seed, "base", F.concat(F.array("product_type"), F.col("variations")), slot
+            "variation": F.coalesce(
+                found_value(F.lit(VARIATION)),
+                keyed_pick(seed, "base", F.concat(F.array("product_type"), F.col("variations")), slot),
             ),
-            "brand": keyed_pick(seed, "brand", F.col("brands"), slot),
+            "brand": F.coalesce(found_value(F.lit(BRAND)), keyed_pick(seed, "brand", F.col("brands"), slot)),
             "chosen": F.transform_values(
                 "attributes",
-                lambda k, v: F.get(
-                    v, keyed_index(seed, F.concat(F.lit("attr:"), k), F.size(v), slot).cast("int")
+                lambda k, v: F.coalesce(
+                    found_value(F.concat(F.lit(ATTRIBUTE), k)),
+                    F.get(v, keyed_index(seed, F.concat(F.lit(ATTRIBUTE), k), F.size(v), slot).cast("int")),
                 ),
             ),
             "template": keyed_pick(seed, "description", F.col("description_templates"), slot),
@@ -220,7 +242,8 @@ def unmatched_targets(templates: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def filler_queries(
-    templates: DataFrame, index: DataFrame, first: int, count: int, seed: int = SEED, sizes: DataFrame | None = None
+    templates: DataFrame, index: DataFrame, first: int, count: int, seed: int = SEED, sizes: DataFrame | None = None,
+    long_values: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``count`` generated queries numbered from ``first``, with their targets.
 
@@ -229,7 +252,7 @@ def filler_queries(
     """
     sizes = type_sizes(index) if sizes is None else sizes
     stocked = templates.join(broadcast_if_within(sizes), ["category", "product_type"], "left_semi")
-    numbered = _once(number_templates(stocked))
+    numbered = _once(with_long_sizes(number_templates(stocked), long_values))
     types, n_categories = _category_sizes(numbered)
     no = F.col("no")
     rows = (
@@ -241,12 +264,20 @@ def filler_queries(
         .join(broadcast_if_within(numbered), ["cat_no", "type_no"])
     )
     attribute = keyed_pick(seed, "q-attribute", F.array_sort(F.map_keys("attributes")), no)
-    parts = rows.withColumns(
+
+    def position(name: Column, size: Column) -> Column:
+        drawn = F.when(name.startswith(ATTRIBUTE), F.lit("q-value")).otherwise(F.concat(F.lit("q-"), name))
+        return keyed_index(seed, drawn, size, no)
+
+    value = keyed_pick(seed, "q-value", F.try_element_at("attributes", attribute), no)
+    parts = look_up(rows, "no", long_values, position).withColumns(
         {
-            "variation": keyed_pick(seed, "q-variation", F.col("variations"), no),
-            "brand": keyed_pick(seed, "q-brand", F.col("brands"), no),
+            "variation": F.coalesce(
+                found_value(F.lit(VARIATION)), keyed_pick(seed, "q-variation", F.col("variations"), no)
+            ),
+            "brand": F.coalesce(found_value(F.lit(BRAND)), keyed_pick(seed, "q-brand", F.col("brands"), no)),
             "style": keyed_index(seed, "q-style", F.lit(3), no),
-            "value": keyed_pick(seed, "q-value", F.try_element_at("attributes", attribute), no),
+            "value": F.coalesce(found_value(F.concat(F.lit(ATTRIBUTE), attribute)), value),
         }
     )
     text = (
@@ -267,6 +298,7 @@ def generate_queries(
     index: DataFrame,
     num_queries: int,
     seed: int = SEED,
+    long_values: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(queries, qrels): template queries filled up to ``num_queries``."""
     sizes = _once(type_sizes(index))
@@ -274,7 +306,7 @@ def generate_queries(
     have = queries.count()
     if have < num_queries:
         more, more_targets = filler_queries(
-            product_templates, index, have + 1, num_queries - have, seed, sizes
+            product_templates, index, have + 1, num_queries - have, seed, sizes, long_values
         )
         queries, targets = queries.unionByName(more), targets.unionByName(more_targets)
     return queries, draw_relevant(targets, index, seed, sizes)

@@ -31,14 +31,14 @@ def hashed_encoder(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def generate(
     spark: SparkSession, root: str, product_templates: DataFrame, query_templates: DataFrame,
-    n_products: int, num_queries: int,
+    n_products: int, num_queries: int, long_values: DataFrame | None = None,
 ) -> None:
     products = write_table(
-        generation.generate_products(product_templates, n_products), f"{root}/products"
+        generation.generate_products(product_templates, n_products, long_values=long_values), f"{root}/products"
     )
     index = write_table(generation.product_index(products), f"{root}/product_index")
     queries, qrels = generation.generate_queries(
-        product_templates, query_templates, index, num_queries
+        product_templates, query_templates, index, num_queries, long_values=long_values
     )
     write_table(queries, f"{root}/queries")
     write_table(qrels, f"{root}/qrels")
@@ -84,8 +84,12 @@ def run_flow(
     stem: bool = True,
     k: int = 10,
     skip: tuple[str, ...] = (),
+    long_values: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Run the stages not named in ``skip``, evaluate and report; returns hits, metrics and reports."""
+    """Run the stages not named in ``skip``, evaluate and report; returns hits, metrics and reports.
+
+    ``long_values`` are the lists of ``product_templates`` that are kept as rows (``operators.domains``).
+    """
     unknown = set(skip) - set(STAGES)
     if unknown:
         raise ValueError(f"unknown stages: {sorted(unknown)}")
@@ -93,7 +97,7 @@ def run_flow(
     if "generate" not in skip:
         if product_templates is None or query_templates is None:
             raise ValueError("the generate stage needs templates")
-        generate(spark, root, product_templates, query_templates, n_products, num_queries)
+        generate(spark, root, product_templates, query_templates, n_products, num_queries, long_values)
     if "embed" not in skip:
         embed(spark, root, encoder)
     query_vectors = spark.read.parquet(f"{root}/query_vectors")

@@ -209,7 +209,8 @@ def index_mapping(spark, sf_dir):
 def _products(spark, sf_dir):
     """As many products as ``part`` has rows."""
     n = standin.table(spark, sf_dir, "part").count()
-    return generation.generate_products(workspace(spark, sf_dir).templates, n)
+    ws = workspace(spark, sf_dir)
+    return generation.generate_products(ws.templates, n, long_values=ws.template_values)
 
 
 @register
@@ -250,7 +251,8 @@ def _query_count(spark, sf_dir, filled: bool) -> int:
 def _labelled(spark, sf_dir, filled: bool):
     ws = workspace(spark, sf_dir)
     return generation.generate_queries(
-        ws.templates, ws.query_templates, ws.product_index, _query_count(spark, sf_dir, filled)
+        ws.templates, ws.query_templates, ws.product_index, _query_count(spark, sf_dir, filled),
+        long_values=ws.template_values,
     )
 
 

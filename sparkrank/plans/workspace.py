@@ -123,8 +123,19 @@ class Workspace:
         return self._keep(union, "hits")
 
     @cached_property
+    def _template_tables(self) -> tuple[DataFrame, DataFrame | None]:
+        templates, long_values = standin.product_templates(self.spark, self.sf_dir)
+        long_values = self._keep(long_values, "template_values")
+        return self._keep(templates, "templates"), None if long_values.isEmpty() else long_values
+
+    @property
     def templates(self) -> DataFrame:
-        return self._keep(standin.product_templates(self.spark, self.sf_dir), "templates")
+        return self._template_tables[0]
+
+    @property
+    def template_values(self) -> DataFrame | None:
+        """Values of the lists that are too long for a row of ``templates``, if there are any."""
+        return self._template_tables[1]
 
     @cached_property
     def query_templates(self) -> DataFrame:
@@ -134,7 +145,7 @@ class Workspace:
     def made_products(self) -> DataFrame:
         """As many generated products as ``part`` has rows."""
         n = standin.table(self.spark, self.sf_dir, "part").count()
-        return self._keep(generation.generate_products(self.templates, n), "made_products")
+        return self._keep(generation.generate_products(self.templates, n, long_values=self.template_values), "made_products")
 
     @cached_property
     def product_index(self) -> DataFrame:
@@ -152,7 +163,7 @@ class Workspace:
         n = standin.table(self.spark, self.sf_dir, "part").count()
         return run_flow(
             self.spark, f"{self.root}/flow", self.templates, self.query_templates, n,
-            self.filled_queries, stem=False,
+            self.filled_queries, stem=False, long_values=self.template_values,
         )
 
     @cached_property

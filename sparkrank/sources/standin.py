@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -19,10 +19,10 @@ from sparkrank.functions.sizing import BROADCAST_BYTES, broadcast_if_within, mea
 from sparkrank.functions.keyed import keyed_bucket, keyed_int
 from sparkrank.functions.ranking import number_rows
 from sparkrank.functions.text import tokens, without_stop_words
+from sparkrank.operators.domains import ATTRIBUTE, BRAND, LIST_VALUES, VARIATION, split_lists
 from sparkrank.operators.index import Index
 from sparkrank.sources.scratch import scratch_root, shuffle_width, write_table
 
-MAX_DOMAIN = 10_000
 #: Text of short queries that one pass looks for; every task holds them as an automaton some hundred times larger.
 SHORT_BYTES = 1024 * 1024
 
@@ -171,47 +171,48 @@ def passage_qrels(docs: DataFrame, queries: DataFrame, index: Index) -> DataFram
     return found if more is None else found.unionByName(more)
 
 
-def product_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Template table of the generator: the attribute domains of ``part`` per type.
+def product_templates(
+    spark: SparkSession, sf_dir: str, limit: int = LIST_VALUES
+) -> tuple[DataFrame, DataFrame]:
+    """Template table of the generator, the attribute domains of ``part`` per type, and its long lists.
 
-    The lists of a template hold what a person would write down: at most
-    ``MAX_DOMAIN`` distinct values each, which is checked before they are built.
+    Lists of more than ``limit`` values are empty in the template and come as
+    rows (see ``operators.domains``). A part without a type or a noun belongs to
+    no template.
     """
-    part = table(spark, sf_dir, "part")
     words = F.split("p_name", " ")
-    domains = [F.approx_count_distinct(c).alias(c) for c in ("p_name", "p_brand", "p_size")]
-    widest = part.groupBy("p_type", F.get(words, F.lit(1)).alias("noun")).agg(*domains).agg(
-        F.max(F.greatest("p_name", "p_brand", "p_size")).alias("n")
-    ).first()["n"]
-    if (widest or 0) > MAX_DOMAIN:
-        raise ValueError(f"{widest} distinct values are no template list")
-    return (
-        part.select(
-            F.col("p_type").alias("category"),
-            F.get(words, F.lit(1)).alias("product_type"),
-            F.get(words, F.lit(0)).alias("finish"),
-            "p_name", "p_brand", "p_size", "p_retailprice",
-        )
-        .groupBy("category", "product_type")
-        .agg(
-            F.sort_array(F.collect_set("p_name")).alias("variations"),
-            F.sort_array(F.collect_set("p_brand")).alias("brands"),
-            F.sort_array(F.collect_set(F.concat(F.lit("size "), F.col("p_size")))).alias("sizes"),
-            F.sort_array(F.collect_set("finish")).alias("finishes"),
-            F.min("p_retailprice").alias("price_lo"),
-            F.max("p_retailprice").alias("price_hi"),
-        )
-        .select(
-            "category", "product_type", "variations", "brands",
-            F.create_map(F.lit("size"), F.col("sizes"), F.lit("finish"), F.col("finishes")).alias("attributes"),
-            F.lit("size").alias("key_attr"),
-            "price_lo", "price_hi",
-            F.array(
-                F.lit("A {variation} in {finish} finish, {size}."),
-                F.lit("This {variation} comes as {size}. Choose {finish}."),
-            ).alias("description_templates"),
-        )
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_type").alias("category"),
+        F.get(words, F.lit(1)).alias("product_type"),
+        F.get(words, F.lit(0)).alias("finish"),
+        "p_name", "p_brand", "p_size", "p_retailprice",
+    ).dropna(subset=["category", "product_type"])
+    named = {
+        VARIATION: F.col("p_name"), BRAND: F.col("p_brand"),
+        f"{ATTRIBUTE}size": F.concat(F.lit("size "), F.col("p_size")), f"{ATTRIBUTE}finish": F.col("finish"),
+    }
+    pairs = F.array(*[F.struct(F.lit(name).alias("name"), value.alias("value")) for name, value in named.items()])
+    lists, long_values = split_lists(part.select("category", "product_type", F.inline(pairs)), limit)
+    prices = part.groupBy("category", "product_type").agg(
+        F.min("p_retailprice").alias("price_lo"), F.max("p_retailprice").alias("price_hi")
+    )
+
+    def values(name: str) -> Column:
+        return F.coalesce(F.try_element_at("lists", F.lit(name)), F.array().cast("array<string>"))
+
+    templates = prices.join(lists, ["category", "product_type"], "left").select(
+        "category", "product_type", values(VARIATION).alias("variations"), values(BRAND).alias("brands"),
+        F.create_map(
+            F.lit("size"), values(f"{ATTRIBUTE}size"), F.lit("finish"), values(f"{ATTRIBUTE}finish")
+        ).alias("attributes"),
+        F.lit("size").alias("key_attr"),
+        "price_lo", "price_hi",
+        F.array(
+            F.lit("A {variation} in {finish} finish, {size}."),
+            F.lit("This {variation} comes as {size}. Choose {finish}."),
+        ).alias("description_templates"),
     )
+    return templates, long_values
 
 
 def query_templates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from sparkrank.functions import keyed
 from sparkrank.functions.keyed import keyed_subset, keyed_uniform
 from sparkrank.functions.ranking import number_rows
-from sparkrank.operators import generation
+from sparkrank.operators import domains, generation
 from sparkrank.operators.metrics import METRICS
 from sparkrank.plans.flow import run_flow
-from sparkrank.sources import catalog
+from sparkrank.sources import catalog, standin
 from sparkrank.sources.schema import PRODUCT, QUERY
 from sparkrank.sources.scratch import scratch_root
 
@@ -254,3 +254,88 @@ def test_flow_and_reuse_of_stages(spark):
     assert means(rebuilt) == by_method
     with pytest.raises(ValueError, match="unknown stages"):
         run_flow(spark, root, skip=("coffee",))
+
+
+def as_rows(templates):
+    """(category, product_type, name, value) of all lists of ``templates``."""
+    lists = F.map_concat(
+        F.create_map(F.lit("variation"), F.col("variations"), F.lit("brand"), F.col("brands")),
+        F.transform_keys("attributes", lambda k, _: F.concat(F.lit("attr:"), k)),
+    )
+    rows = templates.select("category", "product_type", F.explode(lists).alias("name", "list"))
+    return rows.select("category", "product_type", "name", F.explode("list").alias("value"))
+
+
+def only_short(templates, limit):
+    def cut(values):
+        return F.when(F.size(values) <= limit, F.array_sort(values)).otherwise(F.array().cast("array<string>"))
+
+    return templates.withColumns(
+        {
+            "variations": cut(F.col("variations")), "brands": cut(F.col("brands")),
+            "attributes": F.transform_values("attributes", lambda _, v: cut(v)),
+        }
+    )
+
+
+@pytest.mark.parametrize("limit", [0, 1])
+def test_long_lists_give_the_same_rows(spark, limit):
+    products, asked = templates(spark)
+    lists = only_short(products, 100).persist()
+    _, long_values = domains.split_lists(as_rows(products), limit)
+    long_values = long_values.persist()
+    short = only_short(products, limit)
+    whole = generation.generate_products(lists, 120)
+    rowed = generation.generate_products(short, 120, long_values=long_values)
+    assert sorted(map(str, rowed.collect())) == sorted(map(str, whole.collect()))
+    index = generation.product_index(whole).persist()
+    expected = generation.generate_queries(lists, asked, index, 60)
+    got = generation.generate_queries(short, asked, index, 60, long_values=long_values)
+    for mine, other in zip(got, expected, strict=True):
+        assert sorted(map(str, mine.collect())) == sorted(map(str, other.collect()))
+
+
+def test_split_lists(spark):
+    rows = [("a", "x", "brand", v) for v in ["é", "b", "Z", "b", None]] + [("a", "x", "variation", "one"), (None, "x", "brand", "q")]
+    rows += [("b", "x", "brand", f"v{i % 7}") for i in range(30)]
+    values = spark.createDataFrame(rows, "category string, product_type string, name string, value string")
+    lists, long_values = domains.split_lists(values, 3)
+    assert {(r["category"], r["product_type"]): r["lists"] for r in lists.collect()} == {
+        ("a", "x"): {"brand": ["Z", "b", "é"], "variation": ["one"]}
+    }
+    assert sorted(map(tuple, long_values.collect())) == [("b", "x", "brand", i, f"v{i}") for i in range(7)]
+    lists, long_values = domains.split_lists(values.limit(0), 3)
+    assert lists.isEmpty() and long_values.isEmpty()
+
+
+def test_twenty_thousand_values_in_one_list(spark):
+    n = 20_000
+    names = spark.range(n).select(
+        F.lit("tools").alias("category"), F.lit("saw").alias("product_type"), F.lit("variation").alias("name"),
+        F.format_string("saw %05d", "id").alias("value"),
+    )
+    lists, long_values = domains.split_lists(names)
+    long_values = long_values.persist()
+    assert lists.isEmpty()
+    assert long_values.where(F.col("value") != F.format_string("saw %05d", "pos")).isEmpty()
+    template = spark.createDataFrame(
+        [("tools", "saw", [], ["Acme"], {}, "", 1.0, 2.0, ["{variation}"])], PT_SCHEMA
+    )
+    made = generation.generate_products(template, 2 * n, long_values=long_values)
+    index = keyed.keyed_index(generation.SEED, "base", F.lit(n + 1), F.col("id"))
+    expected = spark.range(1, 2 * n + 1).select(
+        F.when(index == 0, "saw").otherwise(F.format_string("saw %05d", index - 1)).alias("description")
+    )
+    assert made.count() == 2 * n
+    assert made.select("description").exceptAll(expected).isEmpty()
+
+
+def test_templates_of_parts_with_long_lists(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    short, none = standin.product_templates(spark, sf_dir)
+    cut, long_values = standin.product_templates(spark, sf_dir, limit=1)
+    assert none.isEmpty() and not long_values.isEmpty()
+    whole = generation.generate_products(short, 300)
+    assert sorted(map(str, generation.generate_products(cut, 300, long_values=long_values).collect())) == sorted(
+        map(str, whole.collect())
+    )
