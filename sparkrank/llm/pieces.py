@@ -316,15 +316,28 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode_nbest(docs: DataFrame, n: int = BEST, model: str | None = None, with_ids: bool = True) -> DataFrame:
+def _lists(ids: tuple[bytes, ...]) -> pa.ListArray:
+    """Packed ids as arrays of int, without an object per row."""
+    ends = np.cumsum([0, *map(len, ids)]) // 4
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+
+
+def encode_nbest(
+    docs: DataFrame, n: int = BEST, model: str | None = None, with_ids: bool = True, packed: bool = False
+) -> DataFrame:
     """doc_id, rank (from 1), score, n_pieces, ids, ids_crc32 and round_trip: up to ``n`` rows per document.
 
-    ``ids`` is an array of int (left out unless ``with_ids``), ids_crc32 the
-    checksum of them as little-endian 32-bit numbers, and round_trip tells
-    whether they decode to the normalised text.
+    ``ids`` is an array of int (left out unless ``with_ids``) or, ``packed``, the
+    same as little-endian 32-bit numbers in a binary, which costs Spark less;
+    ids_crc32 is the checksum of those bytes, and round_trip tells whether they
+    decode to the normalised text.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "rank", "score", "n_pieces", "ids", "ids_crc32", "round_trip"]
+    ids_type = pa.binary() if packed else pa.list_(pa.int32())
+
+    def spelled(ids: tuple[bytes, ...]) -> pa.Array:
+        return pa.array(ids, ids_type) if packed else _lists(ids)
 
     def make(batches: Batches) -> Batches:
         coder = segmenter(model or default_model())
@@ -334,23 +347,26 @@ def encode_nbest(docs: DataFrame, n: int = BEST, model: str | None = None, with_
                 rows = []
                 for at, text in enumerate(texts(batch.column(1))):
                     for rank, (score, ids, same) in enumerate(coder.segment(text, n), 1):
-                        kept_ids = np.frombuffer(ids, "<i4") if with_ids else None
-                        rows.append((at, rank, score, len(ids) // 4, kept_ids, zlib.crc32(ids), same))
-                at, *columns = zip(*rows, strict=True)
-                kinds = [pa.int32(), pa.float64(), pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.bool_()]
-                made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+                        rows.append((at, rank, score, len(ids) // 4, ids, zlib.crc32(ids), same))
+                at, ranks, scores, sizes, ids, sums, sames = zip(*rows, strict=True)
+                made = [
+                    pa.array(ranks, pa.int32()), pa.array(scores, pa.float64()), pa.array(sizes, pa.int64()),
+                    spelled(ids) if with_ids else pa.nulls(len(ids), ids_type),
+                    pa.array(sums, pa.int64()), pa.array(sames, pa.bool_()),
+                ]
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), *made], names=names)
 
-    schema = f"doc_id {kind}, rank int, score double, n_pieces bigint, ids array<int>, ids_crc32 bigint, round_trip boolean"
+    ids_kind = "binary" if packed else "array<int>"
+    schema = f"doc_id {kind}, rank int, score double, n_pieces bigint, ids {ids_kind}, ids_crc32 bigint, round_trip boolean"
     found = in_batches(docs.select("doc_id", "text")).mapInArrow(make, schema)
     return found if with_ids else found.drop("ids")
 
 
 def decode(rows: DataFrame, ids: str = "ids", model: str | None = None, text: str = "text") -> DataFrame:
-    """``rows`` plus ``text``: the text that the array of ids in ``ids`` stands for; null for null."""
+    """``rows`` plus ``text``: the text that ``ids``, an array of ids or a binary of packed ones, stands for; null for null."""
     @F.pandas_udf(T.StringType())
     def to_text(column: pd.Series) -> pd.Series:
         coder = segmenter(model or default_model())
-        return column.map(lambda i: None if i is None else coder.text(list(i)))
+        return column.map(lambda i: None if i is None else coder.text(bytes(i) if isinstance(i, (bytes, bytearray)) else list(i)))
 
     return rows.withColumn(text, to_text(ids))

@@ -29,7 +29,7 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode_nbest(table(spark, sf_dir, "documents"), with_ids=False)
+    return pieces.encode_nbest(table(spark, sf_dir, "documents"), packed=True)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

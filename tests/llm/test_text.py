@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from sparkrank.llm import packing, pieces, pii
+from sparkrank.llm import packing, pieces, pii, queries
 
 TEXTS = [
     None, "", " ", "the cat", "The  Cat!", "hello\nworld\t\r", "日本ab क़ é ǅ", "a².b x.y².z", "▁a ▁▁ b", "İ! <|endoftext|> it's",
@@ -137,6 +137,18 @@ def test_nbest_of_a_table(spark, segmenter):
     assert pieces.encode_nbest(docs.limit(0)).count() == 0
 
 
+def test_the_nbest_query_returns_its_segmentations(spark, tmp_path, segmenter):
+    texts = [None, "", "the cat", "日本ab क़ é", "long words " * 300]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    found = defaultdict(list)
+    for r in pieces.decode(queries.op5_nbest_pieces(spark, str(tmp_path))).orderBy("rank").collect():
+        ids = bytes(r["ids"])
+        assert r["n_pieces"] == len(ids) // 4 and r["ids_crc32"] == zlib.crc32(ids) and r["text"] == segmenter.text(ids)
+        found[r["doc_id"]].append((r["score"], ids))
+    assert found == {i: segmenter.encode(t, 4) for i, t in enumerate(texts)}
+
+
 def test_ids_are_those_of_the_tokenizer(spark):
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rng = random.Random(3)
