@@ -169,6 +169,32 @@ def test_keyword_and_hybrid_from_one_pass(spark, docs):
     assert made[0] == made[1]
 
 
+@pytest.mark.parametrize("fields", [None, {"title": 0.0, "description": 1.0}])
+def test_tasks_return_only_their_best_matches(spark, monkeypatch, fields):
+    """Ties, repeated and missing ids and queries: the hits of all matches, of which k per query and task are made."""
+    monkeypatch.setattr(keyword, "BLOCK_CELLS", 50)
+    rows = [(f"d{i:03d}", "quick fox" if i % 3 else "laptop", "yoga mats " * (i % 4)) for i in range(90)]
+    rows += [(None, "quick laptop", "fox"), (None, "fox", "mats"), ("d001", "laptop laptop", "yoga")]
+    index = build_index(
+        spark.createDataFrame(rows, "id string, title string, description string"), scratch_root(spark), stem=False, buckets=2
+    )
+    asked = [("a", "quick fox"), ("b", "laptop yoga"), (None, "mats"), ("a", "fox"), ("c", "nowhere"), ("d", "")]
+    queries = spark.createDataFrame(asked, "query_id string, query string")
+    all_matches = keyword.field_scores(index, queries, fields)
+    best = keyword.best_matches(index, queries, 4, fields)
+    assert best.count() <= 2 * 3 * 4 < all_matches.count()
+    wanted = keyword.search_keyword(index, queries, 4, fields, matches=all_matches).collect()
+    assert wanted and sorted(map(str, keyword.search_keyword(index, queries, 4, fields).collect())) == sorted(map(str, wanted))
+    assert keyword.best_matches(index, queries, 4, fields, term_bytes=0) is None
+    near = spark.createDataFrame(
+        [("a", "d004", 0.9, 1), ("a", "d080", 5.0, 2), ("b", "new", 7.0, 1), ("c", "d001", 0.5, 1)],
+        "query_id string, id string, score double, rank int",
+    )
+    if fields is None:
+        made = [fusion.search_hybrid(index, queries, near, 4, matches=m).collect() for m in (None, all_matches)]
+        assert made[0] and sorted(map(str, made[0])) == sorted(map(str, made[1]))
+
+
 def brute_knn(vectors, queries, k):
     out = {}
     for qid, q in queries:
