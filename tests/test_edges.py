@@ -106,6 +106,16 @@ def test_buckets_follow_the_size_of_the_files(spark, tmp_path, monkeypatch):
     assert scratch.bucket_count(spark, path) == 100
 
 
+def test_buckets_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    """Small rows compress well, so bytes alone would leave millions of them in a bucket."""
+    from sparkrank.sources import scratch
+
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("'same' AS id").write.parquet(path)
+    monkeypatch.setattr(scratch, "BUCKET_ROWS", 10)
+    assert scratch.bucket_count(spark, path) == 100
+
+
 def test_changed_files_give_a_new_workspace(spark, tmp_path):
     from sparkrank.plans.workspace import INPUTS
 
