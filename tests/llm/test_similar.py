@@ -3,6 +3,7 @@
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -166,6 +167,92 @@ def test_groups_without_links_are_not_compared_in_pairs():
     assert time.process_time() - started < 1.0
 
 
+@pytest.mark.parametrize("i", [24627, 39640, 89557])
+def test_a_pair_without_a_common_minhash_key_links(spark, i):
+    """Similarity 0.8 exactly; as candidates by such keys both texts stayed."""
+    words = [f"{c}{i}" for c in "abcdefghi"]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, "another text")]
+    own, other = (similar.keys_of(similar.shingles_of(t)) for _, t in rows[:2])
+    assert not any(a == b for a, b in zip(own, other, strict=True))
+    assert brute_kept(rows) == [1, 3]
+    assert sorted(r["doc_id"] for r in similar.dedup(docs_of(spark, rows)).collect()) == [1, 3]
+
+
+def families(rng, n, longest):
+    """Sets of hashes around common ones, of many sizes, most a little above or below similarity 0.8 to others."""
+    sets = []
+    for _ in range(n):
+        base = rng.integers(0, 1 << 64, int(rng.integers(1, longest)), np.uint64)
+        for _ in range(4):
+            cut, more = (int(len(base) * x) for x in rng.uniform(0, 0.16, 2))
+            sets.append(np.unique(np.concatenate([rng.permutation(base)[cut:], rng.integers(0, 1 << 64, more, np.uint64)])))
+    return sets
+
+
+def entry_rows(sets, common, ranks, part):
+    made = [similar.entries_of(s, common, ranks, part) for s in sets]
+    node = np.repeat(np.arange(len(sets)), [len(m) for m in made])
+    rows = np.insert(np.concatenate(made), 1, node, axis=1)
+    return rows[np.argsort(rows[:, 0], kind="stable")]
+
+
+def linked_pairs(sets):
+    held = [set(s.tolist()) for s in sets]
+    return [(a, b) for b in range(len(held)) for a in range(b) if held[a] and similarity(held[a], held[b]) >= 0.8]
+
+
+def groups_of(n, pairs):
+    parent = list(range(n))
+
+    def find(a):
+        while parent[a] != a:
+            a = parent[a]
+        return a
+
+    for a, b in pairs:
+        parent[find(a)] = find(b)
+    return [find(a) for a in range(n)]
+
+
+@pytest.mark.parametrize("part, longest", [(similar.PART, 60), (similar.PART, 1500), (8, 60), (1, 40), (384, 700)])
+def test_candidates_lose_no_link(part, longest):
+    """Any order and any number of parts: all linked pairs are joined, and few others."""
+    rng = np.random.default_rng(part + longest)
+    sets = families(rng, 60, longest)
+    common = np.unique(rng.choice(np.concatenate(sets), 200))
+    rows = entry_rows(sets, common, rng.permutation(len(common)), part)
+    group, wanted = groups_of(len(sets), similar.bucket_links(rows).tolist()), linked_pairs(sets)
+    assert len(wanted) > 50 and all(group[a] == group[b] for a, b in wanted)
+    assert part != similar.PART or all(a // 4 == b // 4 for b in range(len(sets)) for a in range(b) if group[a] == group[b])
+
+
+@pytest.mark.parametrize("close, bucket", [(16, 16_384), (2, 16_384), (3, 12)])
+def test_buckets_of_any_size_and_batch(monkeypatch, close, bucket):
+    """Sixty sets around one: searched in steps, as a forest, or beyond the limit all taken as candidates."""
+    rng = np.random.default_rng(13)
+    base = rng.integers(0, 1 << 64, 100, np.uint64)
+    sets = [np.unique(np.append(rng.permutation(base)[int(rng.integers(0, 14)) :], [np.uint64(i)])) for i in range(60)]
+    sets += families(rng, 10, 50)
+    rows = entry_rows(sets, base[:0], np.zeros(0, np.int64), similar.PART)
+    monkeypatch.setattr(similar, "CLOSE", close)
+    monkeypatch.setattr(similar, "BUCKET", bucket)
+    names = [f"c{x}" for x in range(rows.shape[1])]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in rows[at : at + 7].T], names=names) for at in range(0, len(rows), 7)]
+    found = [(a, b) for batch in similar._candidates(iter(batches)) for a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+    group = groups_of(len(sets), found)
+    assert all(group[a] == group[b] for a, b in linked_pairs(sets))
+
+
+def test_unrelated_sets_with_a_common_passage_are_no_candidates():
+    """A third of every set is common to all: known as common it comes last, else places and parities tell."""
+    rng = np.random.default_rng(14)
+    passage = rng.integers(0, 1 << 64, 100, np.uint64)
+    sets = [np.unique(np.append(passage, rng.integers(0, 1 << 64, 200, np.uint64))) for _ in range(300)]
+    for common in (passage[:0], np.sort(passage)):
+        rows = entry_rows(sets, common, np.arange(len(common)), similar.PART)
+        assert len(similar.bucket_links(rows)) == 0
+
+
 def test_clashing_names_stay(spark):
     rows = [(1, "a b c", 5, "x", 1, 2), (2, "a b c", 6, "y", 3, 4), (3, "other", 7, "z", 5, 6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _row long, _doc string, node int, _bits int")
